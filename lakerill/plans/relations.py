@@ -96,6 +96,8 @@ SQL = {
         l_shipdate as sale_ts from lineitem""",
     "chg": """select case event_type when 'signup' then 'c' when 'error' then 'd' else 'u' end as op,
         event_id as seq, ts, user_id as k, value, props from events""",
+    "accounts": """select * from (select *, row_number() over (partition by k order by seq desc) as rn from chg) ranked
+        where rn = 1 and op <> 'd'""",
     "docs": "select * from documents left join labels using (doc_id)",
 }
 
