@@ -2,6 +2,7 @@
 
 from .casts import align, as_of_column, to_millis
 from .draws import draw
+from .money import money_again, money_sums, money_total
 from .predicates import end_anchored, newer, same_key
 from .skew import MAX_HOT_KEYS, hot_keys, small_enough
 
@@ -12,6 +13,9 @@ __all__ = [
     "draw",
     "end_anchored",
     "hot_keys",
+    "money_again",
+    "money_sums",
+    "money_total",
     "newer",
     "same_key",
     "small_enough",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,23 +14,18 @@ def totals_by_dimension(
     fact_key: str,
     dimension_key: str,
     by: list[str],
-    count: str,
-    sums: dict[str, Column] | None = None,
+    sums: Sequence[Column],
+    again: Sequence[Column],
 ) -> DataFrame:
-    """Count and sums of the facts per attribute ``by`` of their dimension row (inner join).
+    """Aggregates of the facts per attribute ``by`` of their dimension row (inner join).
 
-    Facts are added up per key before the join: map tasks combine the rows of a hot key, and what is
-    shuffled and joined is one row per key. A dimension key that occurs twice counts its facts twice,
-    as the plain join does.
+    ``sums`` aggregate facts, ``again`` aggregate the results of ``sums``. Facts are added up per key
+    before the join: map tasks combine the rows of a hot key, and what is shuffled and joined is one row
+    per key. A dimension key that occurs twice counts its facts twice, as the plain join does.
     """
-    sums = sums or {}
-    per_key = facts.groupBy(fact_key).agg(
-        F.count(F.lit(1)).alias(count), *[F.sum(value).alias(name) for name, value in sums.items()]
-    )
-    joined = per_key.join(
-        dimension.select(F.col(dimension_key).alias("__key"), *by), F.col(fact_key) == F.col("__key")
-    )
-    return joined.groupBy(*by).agg(F.sum(count).alias(count), *[F.sum(name).alias(name) for name in sums])
+    per_key = facts.groupBy(fact_key).agg(*sums)
+    attributes = dimension.select(F.col(dimension_key).alias("__key"), *by)
+    return per_key.join(attributes, F.col(fact_key) == F.col("__key")).groupBy(*by).agg(*again)
 
 
 def orphan_counts(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

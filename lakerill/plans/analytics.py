@@ -1,7 +1,7 @@
 """Sales analytics: counts, revenue, days, dashboard tiles.
 
-``sales`` and ``products`` have the columns of :mod:`lakerill.specs`. Money is added up as decimals and
-turned into doubles at the end, so results do not depend on the order of the tasks. Two revenues exist
+``sales`` and ``products`` have the columns of :mod:`lakerill.specs`. Money is added up
+exactly and turned into doubles at the end, so results do not depend on the order of the tasks. Two revenues exist
 and are kept apart: ``sum(qty * price)`` and the dashboard's ``sum(price)``.
 """
 
@@ -12,48 +12,54 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import as_of_column
+from ..functions import as_of_column, money_again, money_sums, money_total
 from ..operators.joins import totals_by_dimension
 
 #: Groups a chart shows at most.
 CHART_ROWS = 10_000
 
 
-def _order_value() -> Column:
-    return F.col("qty") * F.col("price")
+def _count() -> Column:
+    return F.count(F.lit(1)).alias("sales_count")
+
+
+def _revenue(name: str = "total_revenue") -> list[Column]:
+    return money_sums(name, F.col("price"), F.col("qty"))
 
 
 def sales_count_by_product_id(sales: DataFrame, row_limit: int = CHART_ROWS) -> DataFrame:
     """Sales per product id, most first; the chart's row limit is part of the question."""
-    counts = sales.groupBy("product_id").agg(F.count(F.lit(1)).alias("sales_count"))
+    counts = sales.groupBy("product_id").agg(_count())
     return counts.orderBy(F.desc("sales_count"), F.asc_nulls_last("product_id")).limit(row_limit)
 
 
-def _by_name(sales: DataFrame, products: DataFrame, sums: dict[str, Column] | None = None) -> DataFrame:
-    totals = totals_by_dimension(sales, products, "product_id", "id", ["name"], "sales_count", sums)
-    return totals.withColumnRenamed("name", "product_name")
-
-
-def _ranked(totals: DataFrame, measure: str) -> DataFrame:
-    return totals.orderBy(F.desc_nulls_last(measure), F.asc_nulls_last("product_name"))
-
-
-def _revenue_by_name(sales: DataFrame, products: DataFrame) -> DataFrame:
-    totals = _by_name(sales, products, {"total_revenue": _order_value()})
-    return totals.withColumn("total_revenue", F.col("total_revenue").cast("double"))
+def _by_name(
+    sales: DataFrame, products: DataFrame, sums: list[Column], again: list[Column], measures: dict[str, Column]
+) -> DataFrame:
+    """Measures per product name, the last one from high to low."""
+    totals = totals_by_dimension(sales, products, "product_id", "id", ["name"], sums, again)
+    named = totals.select(F.col("name").alias("product_name"), *[m.alias(n) for n, m in measures.items()])
+    return named.orderBy(F.desc_nulls_last(list(measures)[-1]), F.asc_nulls_last("product_name"))
 
 
 def sales_and_revenue_by_product(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Sales count and revenue per product name, highest revenue first."""
-    return _ranked(_revenue_by_name(sales, products), "total_revenue")
+    again = [F.sum("sales_count").alias("sales_count"), *money_again("total_revenue")]
+    measures = {
+        "sales_count": F.col("sales_count"),
+        "total_revenue": money_total("total_revenue").cast("double"),
+    }
+    return _by_name(sales, products, [_count(), *_revenue()], again, measures)
 
 
 def sales_count_by_product_name(sales: DataFrame, products: DataFrame) -> DataFrame:
-    return _ranked(_by_name(sales, products), "sales_count")
+    again = [F.sum("sales_count").alias("sales_count")]
+    return _by_name(sales, products, [_count()], again, {"sales_count": F.col("sales_count")})
 
 
 def revenue_by_product_name(sales: DataFrame, products: DataFrame) -> DataFrame:
-    return _ranked(_revenue_by_name(sales, products).drop("sales_count"), "total_revenue")
+    measures = {"total_revenue": money_total("total_revenue").cast("double")}
+    return _by_name(sales, products, _revenue(), money_again("total_revenue"), measures)
 
 
 def top_products(sales: DataFrame, products: DataFrame, k: int = 5) -> DataFrame:
@@ -71,7 +77,8 @@ def daily_revenue_trend(sales: DataFrame) -> DataFrame:
 
     The running total goes over one row per day, and a calendar of four-digit years has few days.
     """
-    days = sales.groupBy(F.to_date("sale_ts").alias("sale_date")).agg(F.sum(_order_value()).alias("revenue"))
+    days = sales.groupBy(F.to_date("sale_ts").alias("sale_date")).agg(*_revenue("revenue"))
+    days = days.select("sale_date", money_total("revenue").alias("revenue"))
     so_far = Window.orderBy(F.asc_nulls_last("sale_date")).rowsBetween(Window.unboundedPreceding, 0)
     return days.select(
         "sale_date",
@@ -86,12 +93,13 @@ def total_units(sales: DataFrame) -> DataFrame:
 
 def total_price(sales: DataFrame) -> DataFrame:
     """The dashboard's revenue tile: the sum of the prices."""
-    return sales.agg(F.sum("price").cast("double").alias("total_price"))
+    parts = sales.agg(*money_sums("total_price", F.col("price")))
+    return parts.select(money_total("total_price").cast("double").alias("total_price"))
 
 
 def average_order_value(sales: DataFrame) -> DataFrame:
-    value = _order_value()
-    return sales.agg((F.sum(value).cast("double") / F.count(value)).alias("average_order_value"))
+    parts = sales.agg(*_revenue("value"), F.count(F.col("qty") * F.col("price")).alias("n"))
+    return parts.select((money_total("value").cast("double") / F.col("n")).alias("average_order_value"))
 
 
 def max_sale_ts(sales: DataFrame) -> DataFrame:
@@ -127,14 +135,16 @@ def dashboard_tiles(sales: DataFrame) -> DataFrame:
     Grouping sets expand the per-product sums instead of the sales, so sales are read and shuffled once.
     """
     per_product = sales.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("qty").alias("units"), F.sum("price").alias("price")
+        _count(), F.sum("qty").alias("total_units"), *money_sums("total_price", F.col("price"))
     )
-    return per_product.groupingSets([["product_id"], []], "product_id").agg(
+    tiles = per_product.groupingSets([["product_id"], []], "product_id").agg(
         F.grouping("product_id").cast("int").alias("is_total"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("sales_count"),
-        F.sum("units").alias("total_units"),
-        F.sum("price").cast("double").alias("total_price"),
+        F.coalesce(F.sum("sales_count"), F.lit(0)).alias("sales_count"),
+        F.sum("total_units").alias("total_units"),
+        *money_again("total_price"),
     )
+    price = money_total("total_price").cast("double").alias("total_price")
+    return tiles.select("product_id", "is_total", "sales_count", "total_units", price)
 
 
 def data_latency(

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import as_of_column
 from ..operators.joins import orphan_counts
 from .rows import invalid
-from .rules import Rule
+from .rules import COMPARISONS, Rule
 
 _NOW = re.compile(r"\b(?:current_timestamp|localtimestamp|now)\b(?:\(\))?", re.IGNORECASE)
 _AS_OF = "__as_of"
-_COLUMNS = ("table", "check_name", "value", "threshold", "passed", "status")
+_NOT_ANSWERABLE = (AnalysisException, ParseException, KeyError)
 
 
 class QualityGateError(RuntimeError):
@@ -72,29 +72,75 @@ def _values(df: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def _passes(rule: Rule, value: Column) -> Column:
-    limit = F.lit(float(rule.threshold))
-    outcome = {
-        "=": value == limit,
-        "!=": value != limit,
-        ">": value > limit,
-        ">=": value >= limit,
-        "<": value < limit,
-        "<=": value <= limit,
-    }[rule.comparison]
-    return F.coalesce(outcome, F.lit(False))
+def _answerable(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame]) -> bool:
+    """Whether Spark can analyse the rule's plan; nothing runs."""
+    try:
+        _table_parts(df, [rule], tables)
+    except _NOT_ANSWERABLE:
+        return False
+    return True
 
 
-def _result(rule: Rule, value: Column, error: bool = False) -> Column:
-    value = value.cast("double")
-    passed = F.lit(False) if error else _passes(rule, value)
-    status = F.lit("ERROR") if error else F.when(passed, "PASS").otherwise("FAIL")
-    cells = (F.lit(rule.table), F.lit(rule.name), value, F.lit(float(rule.threshold)), passed, status)
-    return F.struct(*[cell.alias(name) for cell, name in zip(cells, _COLUMNS)])
+def _text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _rows(df: DataFrame, results: Sequence[Column]) -> DataFrame:
-    return df.select(F.inline(F.array(*results)))
+def _rows(measured: DataFrame, rules: Sequence[tuple[Rule, str]], error: bool = False) -> DataFrame:
+    """One row per rule from a one-row frame that holds each rule's value in the column named with it."""
+    cells = ", ".join(
+        f"struct({_text_literal(r.table)} as `table`, {_text_literal(r.name)} as check_name,"
+        f" cast({value} as double) as value, {float(r.threshold)!r}D as threshold,"
+        f" '{r.comparison}' as comparison, {str(error).lower()} as broken)"
+        for r, value in rules
+    )
+    return measured.selectExpr(f"inline(array({cells}))")
+
+
+def _judged(results: DataFrame) -> DataFrame:
+    outcomes = " ".join(f"when '{c}' then value {c} threshold" for c in COMPARISONS)
+    return results.selectExpr(
+        "`table`", "check_name", "value", "threshold", f"coalesce(case comparison {outcomes} end, false) as passed", "broken"
+    ).selectExpr(
+        "`table`",
+        "check_name",
+        "value",
+        "threshold",
+        "passed",
+        "case when broken then 'ERROR' when passed then 'PASS' else 'FAIL' end as status",
+    )
+
+
+def _together(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    measured = df.agg(*[_measure(r, df).alias(f"v{i}") for i, r in enumerate(rules)])
+    return _rows(measured, [(r, f"v{i}") for i, r in enumerate(rules)])
+
+
+def _alone(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
+    if rule.metric == "orphan_count":
+        parent, parent_key = tables[rule.args["parent"]], rule.args["parent_column"]
+        orphans = orphan_counts(_filtered(df, rule), parent, rule.column, parent_key)
+        value = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("v"))
+    else:
+        value = _filtered(df, rule).agg(_measure(rule, df).alias("v"))
+    return _rows(value, [(rule, "v")])
+
+
+def _duplicates(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    return _rows(_values(df, rules[0]), [(r, r.metric) for r in rules])
+
+
+def _table_parts(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    parts = []
+    shared = [r for r in rules if _in_one_pass(r)]
+    if shared:
+        parts.append(_together(df, shared))
+    by_column: dict[tuple, list[Rule]] = {}
+    for rule in rules:
+        if rule.metric in ("duplicate_count", "surplus_count"):
+            by_column.setdefault((rule.column, rule.filter), []).append(rule)
+        elif rule not in shared:
+            parts.append(_alone(df, rule, tables))
+    return parts + [_duplicates(df, same) for same in by_column.values()]
 
 
 def report(
@@ -112,46 +158,24 @@ def report(
     """
     session = spark or next(iter(tables.values())).sparkSession
     parts: list[DataFrame] = []
-    errors: list[Column] = []
-    nothing = F.lit(None)
+    broken: list[Rule] = []
     for table in dict.fromkeys(r.table for r in rules):
         mine = [r for r in rules if r.table == table]
         df = tables.get(table)
         if df is None:
-            errors += [_result(r, nothing, error=True) for r in mine]
+            broken += mine
             continue
         if any(_needs_as_of(r) for r in mine):
             df = df.withColumn(_AS_OF, as_of_column(as_of))
-        together: list[tuple[Rule, Column]] = []
-        by_column: dict[tuple, list[Rule]] = {}
-        for rule in mine:
-            try:
-                if _in_one_pass(rule):
-                    measure = _measure(rule, df)
-                    df.agg(measure)  # analysis only: reports what the table cannot answer
-                    together.append((rule, measure))
-                elif rule.metric in ("duplicate_count", "surplus_count"):
-                    _values(df, rule)
-                    by_column.setdefault((rule.column, rule.filter), []).append(rule)
-                elif rule.metric == "orphan_count":
-                    parent, parent_key = tables[rule.args["parent"]], rule.args["parent_column"]
-                    orphans = orphan_counts(_filtered(df, rule), parent, rule.column, parent_key)
-                    total = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("v"))
-                    parts.append(_rows(total, [_result(rule, F.col("v"))]))
-                else:
-                    value = _filtered(df, rule).agg(_measure(rule, df).alias("v"))
-                    parts.append(_rows(value, [_result(rule, F.col("v"))]))
-            except (AnalysisException, ParseException, KeyError):
-                errors.append(_result(rule, nothing, error=True))
-        if together:
-            measured = df.agg(*[m.alias(f"v{i}") for i, (_, m) in enumerate(together)])
-            results = [_result(r, F.col(f"v{i}")) for i, (r, _) in enumerate(together)]
-            parts.append(_rows(measured, results))
-        for same in by_column.values():
-            parts.append(_rows(_values(df, same[0]), [_result(r, F.col(r.metric)) for r in same]))
-    if errors:
-        parts.append(_rows(session.range(1), errors))
-    return reduce(DataFrame.unionAll, parts)
+        try:
+            parts += _table_parts(df, mine, tables)
+        except _NOT_ANSWERABLE:  # find out which rules the table cannot answer
+            good = [r for r in mine if _answerable(df, r, tables)]
+            broken += [r for r in mine if r not in good]
+            parts += _table_parts(df, good, tables)
+    if broken:
+        parts.append(_rows(session.range(1), [(r, "null") for r in broken], error=True))
+    return _judged(reduce(DataFrame.unionAll, parts))
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
