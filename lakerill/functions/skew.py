@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: No table can have more hot keys than this: a hot key holds at least 1/MAX_HOT_KEYS of all rows.
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
 
 
 def hot_keys(df: DataFrame, key: Sequence[str], order: str, min_rows: int) -> DataFrame:
