@@ -7,6 +7,7 @@ from .state import (
     dedup,
     latest_by_window,
     latest_state,
+    merge_large,
     merge_small,
     net_changes,
     op_counts,
@@ -29,6 +30,7 @@ __all__ = [
     "latest_by_window",
     "latest_state",
     "memory_table",
+    "merge_large",
     "merge_small",
     "net_changes",
     "op_counts",

@@ -2,7 +2,7 @@
 
     <root>/_table.json                          key, order and schema
     <root>/log/writer=<w>/batch_id=<n>/         one folder per committed batch
-    <root>/base/version=<v>/                    compacted state, tombstones included
+    <root>/base/version=<v>/                    compacted state, tombstones included, bucketed by key
     <root>/base/_version=<v>.json               batches that state covers: written last, commits it
 
 A batch counts once Spark's job commit has left ``_SUCCESS`` in its folder, so readers never see half a
@@ -13,6 +13,7 @@ per key, whichever batch it came in and however often.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from dataclasses import dataclass
@@ -24,13 +25,18 @@ from pyspark.sql import types as T
 from ..functions import align, small_enough
 from ..sources import files
 from ..specs import DELETE, TableSpec
-from .state import dedup, latest_state, merge_small
+from .state import dedup, latest_state, merge_large, merge_small
 
 #: Uncovered batches of at most this size on disk are checked for being small enough to broadcast.
 SMALL_TAIL_BYTES = 16 * 1024 * 1024
 #: Largest newest-per-key tail that is broadcast, in memory.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+#: A bucket of the base holds about this much.
+BUCKET_BYTES = 1024 * 1024 * 1024
+#: Spark's own limit.
+MAX_BUCKETS = 100_000
+
 _BATCH = re.compile(r"writer=([^/]+)/batch_id=(\d+)")
 _VERSION = re.compile(r"_version=(\d+)\.json$")
 
@@ -52,6 +58,7 @@ class Base:
     path: str
     covered: frozenset[str]
     upto: int
+    buckets: int
 
 
 class LogTable:
@@ -145,29 +152,45 @@ class LogTable:
     ) -> DataFrame:
         """Current rows, or the rows as of a batch number or an event time.
 
-        With a base and few changes since, the base is read without a shuffle; otherwise the newest
-        change per key is found by one aggregation.
+        With a base, the changes since are reduced to the newest per key and joined to it: broadcast if
+        they are small, else shuffled to the buckets of the base. Without one, the newest change per key
+        is found by one aggregation.
         """
         spec = self.spec
         wanted = columns or ([*spec.change_schema.fieldNames()] if keep_deletes else spec.columns)
         if as_of_ts is not None:
             # a base no longer knows older images, so event time is answered from the log
             return self._latest(self.log(as_of_batch, as_of_ts), wanted, keep_deletes)
-        base = self._base(as_of_batch)
-        batches = [b for b in self.batches(as_of_batch) if base is None or b.name not in base.covered]
-        tail = self._read_log(batches).drop("writer", "batch_id")
+        base, batches = self._parts(as_of_batch)
         if base is None:
-            return self._latest(tail, wanted, keep_deletes)
-        state = self.spark.read.schema(spec.change_schema).parquet(base.path)
-        if not batches:
-            return self._visible(state, wanted, keep_deletes)
+            return self._latest(self._read_log(batches).drop("writer", "batch_id"), wanted, keep_deletes)
         needed = list(dict.fromkeys([*spec.key, *spec.order, "op", *wanted]))
-        state, tail = state.select(*needed), tail.select(*needed)
-        if sum(files.size(self.spark, b.path) for b in batches) <= self.small_tail_bytes:
-            newest = latest_state(tail, spec.key, spec.order, keep_deletes=True).select(*needed)
-            if small_enough(newest, BROADCAST_BYTES):
-                return self._visible(merge_small(state, newest, spec.key, spec.order), wanted, keep_deletes)
-        return self._latest(state.unionByName(tail), wanted, keep_deletes)
+        small = sum(files.size(self.spark, b.path) for b in batches) <= self.small_tail_bytes
+        return self._visible(self._merged(base, batches, needed, small), wanted, keep_deletes)
+
+    def _parts(self, as_of_batch: int | None) -> tuple[Base | None, list[Batch]]:
+        """The base to start from and the batches it does not cover."""
+        base = self._base(as_of_batch)
+        covered = base.covered if base else frozenset()
+        return base, [b for b in self.batches(as_of_batch) if b.name not in covered]
+
+    def _merged(self, base: Base, batches: list[Batch], columns: list[str], small: bool) -> DataFrame:
+        """Newest row of every key, deletes included. The base is not shuffled either way."""
+        spec = self.spec
+        state = self._open(base).select(*columns)
+        if not batches:
+            return state
+        tail = self._read_log(batches).select(*columns)
+        newest = latest_state(tail, spec.key, spec.order, keep_deletes=True).select(*columns)
+        if small and small_enough(newest, BROADCAST_BYTES):
+            return merge_small(state, newest, spec.key, spec.order)
+        if base.buckets != self._shuffle_partitions():
+            # Spark would rather shuffle both sides to its own number than the tail to fewer buckets
+            newest = newest.repartition(base.buckets, *spec.key)
+        return merge_large(state, newest, spec.key, spec.order)
+
+    def _shuffle_partitions(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _latest(self, log: DataFrame, wanted: list[str], keep_deletes: bool) -> DataFrame:
         spec = self.spec
@@ -191,26 +214,67 @@ class LogTable:
             if as_of_batch is None or note["upto"] <= as_of_batch:
                 version = int(_VERSION.search(path).group(1))
                 folder = f"{self.root}/base/version={version}"
-                found.append(Base(version, folder, frozenset(note["covered"]), note["upto"]))
+                found.append(Base(version, folder, frozenset(note["covered"]), note["upto"], note["buckets"]))
         return max(found, key=lambda b: b.version, default=None)
 
-    def compact(self, upto: int | None = None, drop_deletes_before: Column | None = None) -> int | None:
+    def _table_name(self, path: str) -> str:
+        return "lakerill_" + hashlib.md5(path.encode()).hexdigest()
+
+    def _open(self, base: Base) -> DataFrame:
+        """The files of a base as a bucketed table, entered into this session's catalog if need be."""
+        name = self._table_name(base.path)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spec.change_schema)
+            key = ", ".join(f"`{k}`" for k in self.spec.key)
+            self.spark.sql(
+                f"create table if not exists {name} ({columns}) using parquet"
+                f" clustered by ({key}) sorted by ({key}) into {base.buckets} buckets location '{base.path}'"
+            )
+        return self.spark.table(name)
+
+    def _buckets(self, base: Base | None, batches: list[Batch]) -> int:
+        """Buckets for a new base: those of the last one, unless the table has outgrown them."""
+        paths = [b.path for b in batches] + ([base.path] if base else [])
+        stored = sum(files.size(self.spark, p) for p in paths)
+        wanted = min(MAX_BUCKETS, max(self._shuffle_partitions(), -(-stored // BUCKET_BYTES)))
+        return base.buckets if base and wanted <= 4 * base.buckets else wanted
+
+    def compact(
+        self, upto: int | None = None, drop_deletes_before: Column | None = None, buckets: int | None = None
+    ) -> int | None:
         """Fold the batches up to ``upto`` into a new base and return its version.
 
+        The last base is joined with the changes since, bucket by bucket, so only the changes are
+        shuffled; the first base, and one with another number of ``buckets``, takes a shuffle of it all.
         Tombstones stay, because a change older than the delete may still arrive and would revive the
         row. ``drop_deletes_before`` gives the event time before which nothing arrives any more.
         The log stays too, for time travel.
         """
+        spec = self.spec
         covered = self.batches(upto)
         if not covered:
             return None
-        state = self.read(as_of_batch=upto, keep_deletes=True)
+        base, batches = self._parts(upto)
+        columns = spec.change_schema.fieldNames()
+        number = buckets or self._buckets(base, batches)
+        if base is None:
+            state = latest_state(self._read_log(batches).select(*columns), spec.key, spec.order, keep_deletes=True)
+        else:
+            state = self._merged(base, batches, columns, small=False)
+        if base is None or number != base.buckets or not batches:
+            state = state.repartition(number, *spec.key)
         if drop_deletes_before is not None:
             gone = (F.col("op") == DELETE) & (F.col("ts") < drop_deletes_before)
             state = state.where(~F.coalesce(gone, F.lit(False)))
         taken = files.glob(self.spark, f"{self.root}/base/version=*")
         version = 1 + max((int(p.rsplit("=", 1)[1]) for p in taken), default=-1)
-        state.write.parquet(f"{self.root}/base/version={version}")
-        note = {"upto": max(b.batch_id for b in covered), "covered": [b.name for b in covered]}
+        folder = f"{self.root}/base/version={version}"
+        writer = state.select(*columns).write.format("parquet").option("path", folder)
+        writer.bucketBy(number, *spec.key).sortBy(*spec.key).saveAsTable(self._table_name(folder))
+        note = {
+            "upto": max(b.batch_id for b in covered),
+            "covered": [b.name for b in covered],
+            "buckets": number,
+        }
         files.write_text(self.spark, f"{self.root}/base/_version={version}.json", json.dumps(note))
         return version

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -172,3 +173,23 @@ def merge_small(base: DataFrame, tail: DataFrame, key: Sequence[str], order: Seq
     # at most one row per key of the tail, hence as small as the tail
     fresh = tail.alias("t").join(F.broadcast(known).alias("k"), same_key("t", "k", key), "left_anti")
     return kept.unionByName(fresh.select(*columns))
+
+
+def merge_large(base: DataFrame, tail: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """:func:`merge_small` for a tail of any size, by a full join on the key.
+
+    On a base bucketed by the key only the tail is shuffled.
+    """
+    columns = base.columns
+    in_base = F.lit(True).alias("__in_base")
+    b, t = base.select("*", in_base).alias("b"), tail.select(*columns).alias("t")
+    # plain equality, which buckets serve; a NULL key equals nothing and is seen to below
+    same = reduce(lambda x, y: x & y, [F.col(f"b.{k}") == F.col(f"t.{k}") for k in key])
+    use_tail = F.coalesce(newer("t", "b", order), F.col("b.__in_base").isNull())
+    merged = b.join(t, same, "full").select(
+        *[F.when(use_tail, F.col(f"t.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in columns]
+    )
+    unknown = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in key])
+    nulls = base.where(unknown).unionByName(tail.select(*columns).where(unknown))
+    nulls = latest_state(nulls, key, order, keep_deletes=True).select(*columns)
+    return merged.where(~unknown).unionByName(nulls)

@@ -54,6 +54,34 @@ def test_out_of_order_batches_and_compaction(spark, folder, small_tail_bytes):
     assert as_dict(t.read(as_of_batch=3)) == replay(r for p in in_batches(rows, 6, 31)[:4] for r in p)
 
 
+@pytest.mark.parametrize("small_tail_bytes", [16 << 20, 0])
+def test_null_keys_are_keys_like_others(spark, folder, small_tail_bytes):
+    t = table(spark, folder, small_tail_bytes=small_tail_bytes)
+    t.append_batch(frame(spark, [("c", 1, START, None, 1.0, "a"), ("c", 2, START, 5, 1.0, "b")]), 0)
+    t.compact()
+    t.append_batch(frame(spark, [("u", 3, START, None, 2.0, "c"), ("c", 4, START, 6, 2.0, "d")]), 1)
+    want = {None: (2.0, "c"), 5: (1.0, "b"), 6: (2.0, "d")}
+    assert as_dict(t.read()) == want and t.read().count() == 3
+    t.compact()
+    assert as_dict(t.read()) == want and t.read().count() == 3
+
+
+def test_base_is_one_file_per_bucket_and_opens_in_any_session(spark, folder):
+    rows = random_log(500, 100, 47)
+    t = table(spark, folder, small_tail_bytes=0)
+    t.append_batch(frame(spark, rows[:300]), 0)
+    t.compact(buckets=6)
+    t.append_batch(frame(spark, rows[300:]), 1)
+    t.compact()
+    for version in (0, 1):
+        names = os.listdir(f"{folder}/t/base/version={version}")
+        assert len([n for n in names if n.endswith(".parquet")]) == 6
+    other = LogTable(spark.newSession(), f"{folder}/t", ACCOUNTS)
+    assert as_dict(other.read()) == replay(rows)
+    spark.sql(f"drop table {t._table_name(t._base().path)}")  # as in a session that has not seen it
+    assert as_dict(t.read()) == replay(rows)
+
+
 def test_late_change_does_not_revive_a_deleted_row(spark, folder):
     t = table(spark, folder)
     t.append_batch(frame(spark, [("d", 9, START, 1, None, None), ("c", 8, START, 2, 2.0, "b")]), 0)
