@@ -1,12 +1,21 @@
 """Reading tables and change feeds, and generating rows."""
 
 from .changes import flatten_images, read_changes
-from .generators import digit_spine, number_spine, products_batch, seed_products, seed_sales
+from .generators import (
+    EVERY_TWO_MINUTES,
+    digit_spine,
+    number_spine,
+    products_batch,
+    products_stream,
+    seed_products,
+    seed_sales,
+)
 from .ids import assign_ids
 from .snapshot import chunk_counts, key_range, snapshot_chunks, snapshot_options, snapshot_read
 from .tables import TABLES, read_table, register_tables, scan, stream_table
 
 __all__ = [
+    "EVERY_TWO_MINUTES",
     "TABLES",
     "assign_ids",
     "chunk_counts",
@@ -15,6 +24,7 @@ __all__ = [
     "key_range",
     "number_spine",
     "products_batch",
+    "products_stream",
     "read_changes",
     "read_table",
     "register_tables",

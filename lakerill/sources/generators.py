@@ -6,7 +6,7 @@ re-run task produces the rows it produced before.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,10 @@ SEED_MAX_QTY = 4
 SECONDS_PER_DAY = 86_400
 BATCH_PRODUCTS = 5
 BATCH_MAX_CENTS = 100_000
+BATCH_SECONDS = 120
+
+#: Rhythm of the change generator.
+EVERY_TWO_MINUTES = {"processingTime": f"{BATCH_SECONDS} seconds"}
 
 
 def number_spine(spark: SparkSession, n: int = SEED_SALES) -> DataFrame:
@@ -86,3 +90,16 @@ def products_batch(batches: DataFrame, seed: int = 0) -> DataFrame:
         (cents / 100).cast("decimal(10,2)").alias("price"),
         F.col("ts").alias("created_at"),
     )
+
+
+def products_stream(spark: SparkSession, start: datetime, seed: int = 0) -> DataFrame:
+    """The change generator as a stream: a batch of new products per micro-batch, two minutes apart from
+    ``start`` (UTC) on. A restarted stream makes the same products again."""
+    ticks = spark.readStream.format("rate-micro-batch").options(
+        rowsPerBatch=1,
+        numPartitions=1,
+        startTimestamp=int(start.replace(tzinfo=timezone.utc).timestamp() * 1000),
+        advanceMillisPerBatch=BATCH_SECONDS * 1000,
+    )
+    stamp = F.timestamp_micros(F.unix_micros("timestamp")).cast("timestamp_ntz")
+    return products_batch(ticks.load().select((F.col("value") + 1).alias("batch_no"), stamp.alias("ts")), seed)

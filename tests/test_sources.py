@@ -18,6 +18,7 @@ from lakerill.sources import (
     key_range,
     number_spine,
     products_batch,
+    products_stream,
     read_changes,
     register_tables,
     scan,
@@ -72,6 +73,29 @@ def test_products_batch(spark):
     assert all(0 <= r.price <= 1000 for r in rows)
 
 
+def test_products_stream(spark, folder):
+    """Five products per micro-batch, two minutes apart, the same after a restart from nothing."""
+    seen = []
+    for run in ("a", "b"):
+        rows = {}
+
+        def keep(batch, batch_id):
+            rows[batch_id] = sorted(tuple(r) for r in batch.collect())
+
+        stream = products_stream(spark, NOW).writeStream.foreachBatch(keep)
+        q = stream.option("checkpointLocation", f"{folder}/{run}").trigger(processingTime="0 seconds").start()
+        while len(rows) < 3:
+            assert q.exception() is None
+            q.awaitTermination(0.2)
+        q.stop()
+        seen.append([rows[i] for i in range(3)])
+    first = [[(r[0], r[1]) for r in batch] for batch in seen[0]]
+    assert all(len(batch) == 5 for batch in first)
+    assert first[0][0] == ("AUTO-20240601120000-001", "Auto Generated Product 1.1")
+    assert first[1][4] == ("AUTO-20240601120200-005", "Auto Generated Product 2.5")
+    assert seen[0] == seen[1]
+
+
 @pytest.mark.parametrize("order", [[], ["v"], ["v", "w"]])
 def test_assign_ids_without_gaps(spark, order):
     """Dense, unique, in order; two thirds of the rows are identical."""
