@@ -1,12 +1,13 @@
 """A keyed lake table kept as a log of change batches.
 
     <root>/_table.json                          key, order and schema
-    <root>/log/writer=<w>/batch_id=<n>/         one folder per committed batch
+    <root>/log/writer=<w>/batch_id=<n>/         one folder per batch
+    <root>/log/_commits/<w>.<n>                 empty file per batch: written last, commits it
     <root>/base/version=<v>/                    compacted state, tombstones included, bucketed by key
     <root>/base/_version=<v>.json               batches that state covers: written last, commits it
 
-A batch counts once Spark's job commit has left ``_SUCCESS`` in its folder, so readers never see half a
-batch. Writing a batch again replaces its folder. Every stream writes under a name of its own, hence
+A batch counts once its commit file is there, so readers never see half a batch, and one listing finds
+all batches. Writing a batch again withdraws the commit and replaces the folder. Every stream writes under a name of its own, hence
 two jobs that ingest the same feed cannot overwrite each other's batches; the state is the newest change
 per key, whichever batch it came in and however often.
 """
@@ -37,7 +38,7 @@ BUCKET_BYTES = 1024 * 1024 * 1024
 #: Spark's own limit.
 MAX_BUCKETS = 100_000
 
-_BATCH = re.compile(r"writer=([^/]+)/batch_id=(\d+)")
+_COMMIT = re.compile(r"/([^/]+)\.(\d+)$")
 _VERSION = re.compile(r"_version=(\d+)\.json$")
 
 
@@ -91,19 +92,24 @@ class LogTable:
     def batches(self, as_of_batch: int | None = None) -> list[Batch]:
         """Committed batches, up to a batch number if one is given."""
         found = []
-        for done in files.glob(self.spark, f"{self.root}/log/writer=*/batch_id=*/_SUCCESS"):
-            path = done.rsplit("/", 1)[0]
-            writer, number = _BATCH.search(path).groups()
-            if as_of_batch is None or int(number) <= as_of_batch:
-                found.append(Batch(writer, int(number), path))
+        for path in files.glob(self.spark, f"{self.root}/log/_commits/*"):
+            commit = _COMMIT.search(path)
+            if commit and (as_of_batch is None or int(commit[2]) <= as_of_batch):
+                found.append(Batch(commit[1], int(commit[2]), self._folder(commit[1], int(commit[2]))))
         return found
 
+    def _folder(self, writer: str, batch_id: int) -> str:
+        return f"{self.root}/log/writer={writer}/batch_id={batch_id}"
+
     def append_batch(self, changes: DataFrame, batch_id: int, writer: str = "batch") -> None:
         """Commit change records as batch ``batch_id`` of ``writer``, replacing an earlier attempt."""
         if "/" in writer:
             raise ValueError("a writer is one path segment")
         rows = align(changes, self.spec).select(*self.spec.change_schema.fieldNames())
-        rows.write.mode("overwrite").parquet(f"{self.root}/log/writer={writer}/batch_id={batch_id}")
+        commit = f"{self.root}/log/_commits/{writer}.{batch_id}"
+        files.delete(self.spark, commit)
+        rows.write.mode("overwrite").parquet(self._folder(writer, batch_id))
+        files.write_text(self.spark, commit, "")
 
     def next_batch_id(self, writer: str = "batch") -> int:
         return 1 + max((b.batch_id for b in self.batches() if b.writer == writer), default=-1)

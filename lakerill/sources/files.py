@@ -16,6 +16,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete one file if it is there."""
+    _, p, fs = _fs(spark, path)
+    fs.delete(p, False)
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths matching ``pattern``, sorted."""
     _, p, fs = _fs(spark, pattern)
