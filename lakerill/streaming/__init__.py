@@ -1,6 +1,6 @@
 """Streaming jobs: ingest, periodic quality scans, throughput."""
 
-from .ingest import EVERY_MINUTE, read_metrics, start_ingest, stream_id
+from .ingest import EVERY_MINUTE, ingest_latency, read_metrics, start_ingest, stream_id
 from .quality_scan import PeriodicScan, last_scan, read_scans, start_quality_scan
 from .throughput import THROUGHPUT, start_throughput, throughput
 
@@ -8,6 +8,7 @@ __all__ = [
     "EVERY_MINUTE",
     "THROUGHPUT",
     "PeriodicScan",
+    "ingest_latency",
     "last_scan",
     "read_metrics",
     "read_scans",

@@ -28,6 +28,7 @@ METRICS_SCHEMA = schema_of(
     max_seq=BIGINT,
     first_ts=TIMESTAMP,
     last_ts=TIMESTAMP,
+    ingested_at=TIMESTAMP,
 )
 
 
@@ -52,7 +53,8 @@ def _metrics(table: LogTable) -> list:
 
 
 def _record_metrics(table: LogTable, seen: Mapping[str, Any], writer: str, batch_id: int) -> None:
-    row = table.spark.range(1).select(*[F.lit(seen[f.name]).cast(f.dataType).alias(f.name) for f in METRICS_SCHEMA])
+    noted = [F.lit(seen[f.name]).cast(f.dataType).alias(f.name) for f in METRICS_SCHEMA if f.name in seen]
+    row = table.spark.range(1).select(*noted, F.localtimestamp().alias("ingested_at"))
     row.write.mode("overwrite").parquet(f"{table.root}/metrics/writer={writer}/batch_id={batch_id}")
 
 
@@ -63,6 +65,12 @@ def read_metrics(table: LogTable) -> DataFrame:
     return table.spark.read.schema(schema).parquet(f"{table.root}/metrics")
 
 
+def ingest_latency(table: LogTable) -> DataFrame:
+    """Seconds from the newest event of every batch to its commit."""
+    behind = F.unix_micros(F.col("ingested_at").cast("timestamp")) - F.unix_micros(F.col("last_ts").cast("timestamp"))
+    return read_metrics(table).select("writer", "batch_id", "n_changes", (behind / 1_000_000).alias("latency_seconds"))
+
+
 def start_ingest(
     changes: DataFrame,
     table: LogTable,

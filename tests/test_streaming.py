@@ -13,6 +13,7 @@ from lakerill.quality import Rule
 from lakerill.sources import read_changes
 from lakerill.streaming import (
     THROUGHPUT,
+    ingest_latency,
     last_scan,
     read_metrics,
     read_scans,
@@ -51,6 +52,8 @@ def test_shuffled_micro_batches_equal_the_replay(spark, folder):
     assert as_dict(t.read()) == replay(rows)
     m = read_metrics(t).agg(F.count("batch_id"), F.sum("n_changes"), F.sum("n_deletes"), F.max("max_seq")).first()
     assert tuple(m) == (4, 300, sum(r[0] == "d" for r in rows), 299)
+    waits = ingest_latency(t).collect()
+    assert len(waits) == 4 and all(w.latency_seconds > 0 for w in waits)  # events of long ago
 
 
 def test_restart_goes_on_and_replay_changes_nothing(spark, folder):
