@@ -14,10 +14,10 @@ from ..sources import stream_table
 from ..specs import PRODUCTS
 from ..streaming import (
     THROUGHPUT,
+    PeriodicScan,
     last_scan,
     read_metrics,
     start_ingest,
-    start_quality_scan,
     start_throughput,
     throughput,
 )
@@ -66,9 +66,10 @@ def _quality(spark, folder):
     root = new_folder(spark, "scan")
     table = LogTable(spark, f"{root}/table", ACCOUNTS)
     out = f"{root}/scans"
-    start_quality_scan(
-        change_stream(spark, folder), table, ACCOUNT_RULES, out, f"{root}/checkpoint", ONCE, every_seconds=0
-    ).awaitTermination()
+    scan = PeriodicScan(ACCOUNT_RULES, out)
+    stream = change_stream(spark, folder)
+    start_ingest(stream, table, f"{root}/checkpoint", ONCE, after_batch=scan).awaitTermination()
+    scan.finish(table)
     return last_scan(spark, out).drop("scan_ts", "scan")
 
 

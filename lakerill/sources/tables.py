@@ -22,12 +22,10 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def stream_table(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
+def stream_table(spark: SparkSession, folder: str, table: str, max_files: int = 1000) -> DataFrame:
     """The files of a table as a stream, at most ``max_files`` per micro-batch."""
     schema = read_table(spark, folder, table).schema
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     # as a pattern, because a stream takes a table of one file only that way
     return reader.parquet(f"{folder}/{table}.parque[t]")
 

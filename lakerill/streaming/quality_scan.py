@@ -48,12 +48,23 @@ class PeriodicScan:
         self.others = dict(others or {})
         self.as_of = as_of
         self._last: float | None = None
+        self._waiting: int | None = None
 
     def __call__(self, table: LogTable, batch_id: int) -> None:
         now = time.monotonic()
         if self._last is not None and now - self._last < self.every_seconds:
+            self._waiting = batch_id
             return
         self._last = now
+        self._scan(table, batch_id)
+
+    def finish(self, table: LogTable) -> None:
+        """Scan what was committed since the last scan, after a stream that has ended."""
+        if self._waiting is not None:
+            self._scan(table, self._waiting)
+
+    def _scan(self, table: LogTable, batch_id: int) -> None:
+        self._waiting = None
         found = report({**self.others, table.spec.name: table.read()}, self.rules, self.as_of, table.spark)
         stamped = found.withColumn("scan_ts", as_of_column(None)).select(*SCAN_SCHEMA.fieldNames())
         # a few rows: one per rule

@@ -26,9 +26,10 @@ def throughput(
     A stream with a ``lateness`` closes each window that long after its end and forgets it; without
     one it keeps a counter per window and counts every record, however late.
     """
-    timed = events.select(F.col(ts).cast("timestamp").alias("event_ts"))
+    timed = events.select(F.col(ts).alias("event_ts"))
     if events.isStreaming and lateness:
-        timed = timed.withWatermark("event_ts", lateness)
+        # watermarks only exist on timestamps with a zone
+        timed = timed.withColumn("event_ts", F.col("event_ts").cast("timestamp")).withWatermark("event_ts", lateness)
     counts = timed.groupBy(F.window("event_ts", window).alias("w")).agg(F.count(F.lit(1)).alias("n_records"))
     return counts.select(
         F.col("w.start").cast("timestamp_ntz").alias("window_start"),

@@ -9,7 +9,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from lakerill import session
-from lakerill.functions import align, draw
+from lakerill.functions import align, draw, to_millis
 from lakerill.plans.relations import ACCOUNTS
 from lakerill.sources import (
     assign_ids,
@@ -159,6 +159,19 @@ def test_align_types(spark):
     assert align(raw.drop("price"), PRODUCTS_WIDE).first().price is None
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_milliseconds_in_any_time_zone(spark, zone):
+    """Also at an hour that a change of clocks leaves out."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        text = ["2024-03-10 02:30:00.123999", "2024-01-01 00:00:59.999999", "1960-05-05 05:05:05.000001"]
+        df = spark.createDataFrame([(t,) for t in text], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+        got = df.select(to_millis(F.col("t")).cast("string")).collect()
+        assert [r[0] for r in got] == ["2024-03-10 02:30:00.123", "2024-01-01 00:00:59.999", "1960-05-05 05:05:05"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_register_tables_and_scan(spark):
     tables = register_tables(spark, SMALL)
     assert spark.sql("select count(*) from nation join region on n_regionkey = r_regionkey").first()[0] == 25

@@ -13,6 +13,7 @@ from lakerill.quality import Rule
 from lakerill.sources import read_changes
 from lakerill.streaming import (
     THROUGHPUT,
+    PeriodicScan,
     ingest_latency,
     last_scan,
     read_metrics,
@@ -117,8 +118,21 @@ def test_scans_keep_their_distance(spark, folder):
     write_feed(spark, folder, random_log(40, 5, 59), 3)
     t, out = LogTable(spark, f"{folder}/t", ACCOUNTS), f"{folder}/scans"
     rules = [Rule("accounts", "rows", "row_count", comparison=">")]
-    start_quality_scan(feed(spark, folder), t, rules, out, f"{folder}/cp", ONCE, every_seconds=3600).awaitTermination()
+    scan = PeriodicScan(rules, out, every_seconds=3600)
+    run(spark, folder, t, after_batch=scan)
     assert [r.scan for r in read_scans(spark, out).collect()] == [0]
+    scan.finish(t)
+    assert sorted(r.scan for r in read_scans(spark, out).collect()) == [0, 2]
+    assert last_scan(spark, out).first().value == t.read().count()
+
+
+def test_compaction_while_ingesting(spark, folder):
+    rows = random_log(300, 30, 67)
+    write_feed(spark, folder, rows, 5)
+    t = LogTable(spark, f"{folder}/t", ACCOUNTS)
+    run(spark, folder, t, compact_every=2)
+    assert t._base().version == 1 and len(t._parts(None)[1]) == 1
+    assert as_dict(t.read()) == replay(rows)
 
 
 def windows(rows):
