@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +14,8 @@ from ..specs import TableSpec
 def to_millis(ts: Column) -> Column:
     """A zone-less timestamp cut to milliseconds, whatever the session's time zone."""
     ts = ts.cast("timestamp_ntz")
-    return ts - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), ts) % F.lit(Decimal("0.001")))
+    micros = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint") % 1000
+    return ts - micros * F.expr("interval '0.000001' second")
 
 
 def align(df: DataFrame, spec: TableSpec) -> DataFrame:

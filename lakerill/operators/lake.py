@@ -33,9 +33,8 @@ SMALL_TAIL_BYTES = 16 * 1024 * 1024
 #: Largest newest-per-key tail that is broadcast, in memory.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
-#: A bucket of the base holds about this much.
-BUCKET_BYTES = 1024 * 1024 * 1024
-#: Spark's own limit.
+#: A bucket of the base holds about this much, more once a table needs more buckets than Spark allows.
+BUCKET_BYTES = 64 * 1024 * 1024
 MAX_BUCKETS = 100_000
 
 _COMMIT = re.compile(r"/([^/]+)\.(\d+)$")
@@ -242,7 +241,7 @@ class LogTable:
         """Buckets for a new base: those of the last one, unless the table has outgrown them."""
         paths = [b.path for b in batches] + ([base.path] if base else [])
         stored = sum(files.size(self.spark, p) for p in paths)
-        wanted = min(MAX_BUCKETS, max(self._shuffle_partitions(), -(-stored // BUCKET_BYTES)))
+        wanted = min(MAX_BUCKETS, max(1, -(-stored // BUCKET_BYTES)))
         return base.buckets if base and wanted <= 4 * base.buckets else wanted
 
     def compact(
