@@ -15,9 +15,9 @@ from .text import batches_of_text, pack, pack_steps, unpack, unpack_steps, with_
 #: The base of the polynomial, odd, so that it has an inverse modulo 2**64; and what it is raised to at most at once.
 _BASE = 0x9E3779B97F4A7C15
 _NO_ID = (1 << 63) - 1  # a null doc_id counts as the largest
-_BLOCK = 8 << 20  # bytes of text hashed at once in a task
+BLOCK = 8 << 20  # bytes of text hashed at once in a task
 #: Windows that meet in one group at most, on average; about 60 bytes of memory each.
-_GROUP = 1_000_000
+GROUP = 1_000_000
 _SHARD = "shard long, ids binary, sums binary, starts binary, at binary, hashes binary"
 _ADDED = "n_words long, n_removed long, removed_spans array<struct<start: long, end: long>>"
 _FLAGS = "id long, sum long, starts binary"
@@ -73,7 +73,7 @@ def _shard_schema() -> pa.Schema:
     return pa.schema([("shard", pa.int64()), *((n, pa.binary()) for n in names)])
 
 
-def _shards(window: int, bits: int):
+def _shards(window: int, bits: int, block: int):
     """Per block of documents: its different windows, dealt to 2**bits shards by hash; and what the block itself settles.
 
     A window that several documents of the block have is sent once, for the smallest of them: however common it is, a
@@ -83,7 +83,7 @@ def _shards(window: int, bits: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _shard_schema()
-        for batch in batches_of_text(batches, "text", _BLOCK):
+        for batch in batches_of_text(batches, "text", block):
             batch = batch.sort_by("id")
             doc_ids, doc_sums = (batch[c].to_numpy().astype(np.int64) for c in ("id", "sum"))
             codes, bounds = word_codes(batch["text"], lambda w: xxhash.xxh64_intdigest(w))
@@ -150,7 +150,7 @@ def _settle(width: int):
 
 def _apply(window: int, names: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of_text(batches, "text", _BLOCK):
+        for batch in batches_of_text(batches, "text", BLOCK):
             texts, totals, removed, spans = batch["text"].to_pylist(), [], [], []
             for i, flags in enumerate(batch["__flags"].to_pylist()):
                 parts = words(texts[i])
@@ -176,11 +176,11 @@ def _apply(window: int, names: list[str]):
     return run
 
 
-def remove_repeated(docs: DataFrame, window: int = 50) -> DataFrame:
+def remove_repeated(docs: DataFrame, window: int = 50, block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """Remove every word covered by a window of ``window`` words that also starts in a document with a smaller doc_id.
 
     Every window of every text is hashed (Rabin-Karp, a polynomial modulo 2**64 over 64-bit word codes). Blocks of
-    documents send each of their different windows once to a shard of the hash space, packed; a shard holds about a million
+    documents (``block`` bytes of text) send each of their different windows once to a shard of the hash space, packed; a shard holds about ``group``
     windows and finds the smallest document of each. Flagged starts go back to their document, where overlapping windows
     merge into maximal intervals. The text crosses the network once, for that last step.
 
@@ -197,9 +197,9 @@ def remove_repeated(docs: DataFrame, window: int = 50) -> DataFrame:
         F.coalesce(F.crc32("text"), F.lit(0)).cast("bigint").alias("__sum"),
     )
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(8, int(np.ceil(np.log2(max(1, chars / 6 / _GROUP)))))
+    bits = max(8, int(np.ceil(np.log2(max(1, chars / 6 / group)))))
     shards = keyed.select(F.col("__id").alias("id"), F.col("__sum").alias("sum"), "text").mapInArrow(
-        _shards(window, bits), _SHARD
+        _shards(window, bits, block), _SHARD
     )
     flags = shards.groupBy("shard").applyInArrow(_settle(8 - bits // 8), _FLAGS)
     flags = flags.groupBy(F.col("id").alias("__id"), F.col("sum").alias("__sum")).agg(

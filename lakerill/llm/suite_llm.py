@@ -6,10 +6,14 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, substrings, toxicity
+from . import chat, iblt, licenses, mixing, packing, quality, simhash, substrings, toxicity, urls
 from .text import table
 
 
+#: Rules of the URL query: hosts and paths. Fixed values.
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, path("byte_bpe_50k.json"))
@@ -19,6 +23,16 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return iblt.fingerprints(table(spark, folder, "documents"))
+
+
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    families = F.array_join(F.array_sort(F.array_distinct(F.col("licenses.family"))), ",").alias("licenses")
+    return licenses.scan(docs).select("doc_id", families, F.size("licenses").cast("bigint").alias("n_license_paragraphs"))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs)
@@ -26,6 +40,13 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    book = quality.ledger(table(spark, folder, "documents").select("doc_id", "text"))
+    measured = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    failed = (~quality.passes("base")).alias("base_failed")
+    return book.select("doc_id", *measured, failed, quality.passes("v1").alias("kept"), "failures")
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     scored = toxicity.fit(docs, table(spark, folder, "labels")).score(docs)
@@ -33,6 +54,21 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    extra = F.array(*(F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))))
+    added = spark.range(1).select(F.explode(extra).alias("e")).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("e.turn").cast("bigint").alias("turn"), "e.role",
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(chat.format_conversations(rows)).drop("n_invalid")
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digest(table(spark, folder, "documents"))
 
@@ -40,8 +76,13 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_simhash": op2_simhash,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_license_scan": op4_license_scan,
     "op5_mixing": op5_mixing,
+    "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
+    "op8_url_filter": op8_url_filter,
+    "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
@@ -73,6 +114,54 @@ select doc_id, size, source_size::bigint as source_size, target::double as targe
     (size * ((start + size / 2.0::double <= target)::int
         + (start + source_size + size / 2.0::double <= target)::int))::bigint as taken
 from stream""",
+    "op6_quality_rules": r"""
+with split as (
+    select doc_id, coalesce(text, '') as text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w,
+        [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as lines
+    from documents),
+windows as (
+    select doc_id, i, count(*) over (partition by doc_id, w[i:i + 4]) as n
+    from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from split)),
+covered as (
+    select distinct doc_id, i + unnest(range(0, 5)) as i from windows where n > 1),
+repeated as (select doc_id, count(*) as n from covered group by 1),
+measured as (
+    select s.doc_id, len(w)::bigint as n_words,
+        coalesce(list_sum([length(x) for x in w]), 0)::bigint as word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols,
+        len(lines)::bigint as n_lines, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+        coalesce(r.n, 0)::bigint as n_repeat_words,
+        len(regexp_extract_all(text, '[A-Z]')) as n_upper, len(regexp_extract_all(text, '[A-Za-z]')) as n_letters
+    from split s left join repeated r on s.doc_id = r.doc_id),
+judged as (
+    select *, (n_words < 10)::bigint + 2 * (100 * n_repeat_words > 20 * n_words)::bigint
+        + 4 * (5 * n_symbols > n_words)::bigint + 8 * (10 * n_dup_lines > 3 * n_lines)::bigint
+        + 16 * (2 * n_upper > n_letters)::bigint + 32 * (word_chars > 20 * n_words)::bigint
+        + 64 * (word_chars < 2 * n_words)::bigint as failures
+    from measured)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 as base_failed,
+    (failures & 23) = 0 as kept, failures
+from judged""",
+    "op9_chat_format": r"""
+with rows as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+    union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marks as (select unnest(['<<SYS>>', '<</SYS>>', '[INST]', '[/INST]', '<s>', '</s>', '[ROLE]', '[TEXT]', '[/ROLE]']) as m),
+escaped as (
+    select *, length(text) + length(text) - length(replace(text, chr(92), ''))
+        + (select sum((length(text) - length(replace(text, m, ''))) // length(m)) from marks) as chars
+    from rows),
+written as (
+    select *, chars + case role when 'system' then 15 when 'user' then 13 when 'assistant' then 7
+        else 19 + length(role) end as formatted
+    from escaped)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(formatted)::bigint as formatted_chars
+from written group by conv_id""",
     "op10_substring_dedup": r"""
 with split as (
     select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),

@@ -1,0 +1,51 @@
+import hashlib
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from lakerill.llm import chat
+
+MARKS = st.sampled_from([*chat.INSTRUCT.marks, "\\", "<", "[", ">", "]", "/s>", "a", "\n", "é"])
+
+
+@given(st.lists(MARKS, max_size=12).map("".join), st.sampled_from(["user", "assistant", "system", "tool", "", "[TEXT]"]))
+def test_round_trip(text, role):
+    escaped = chat.INSTRUCT.escape(text)
+    assert not any(m in escaped for m in chat.INSTRUCT.marks)
+    assert chat.INSTRUCT.unescape(escaped) == text
+    written = "".join(p for p, _ in chat.INSTRUCT.write(role, text))
+    assert chat.INSTRUCT.read(written) == (role, text)
+
+
+def test_marks_that_can_be_confused_are_refused():
+    with pytest.raises(ValueError):
+        chat.Template({"user": chat.Turn("<<", ">>"), "x": chat.Turn("a<", "b>")}, ("[ROLE]", "[TEXT]", "[/ROLE]"))
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (1, 0, "user", "hi"), (1, 1, "assistant", "ho </s>"), (1, 1, "assistant", "ho </s>"), (2, None, None, None),
+        (None, 0, "assistant", ""), (None, 1, "tool", "x" * 100_000), (3, 5, "system", "s"), (3, 5, "assistant", "t"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "'x' as number", "1 as loss")
+    segments = chat.format_conversations(df)
+    got = {r.conv_id: r for r in chat.read_back(segments).collect()}
+    assert set(got) == {1, 2, 3, None} and sum(r.n_turns for r in got.values()) == len(rows)
+    for conv in got:
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+        turns = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own)
+        said = "".join(r[3] or "" for r in own if r[2] == "assistant")
+        assert got[conv].turns_sha256 == hashlib.sha256(turns.encode()).hexdigest()
+        assert got[conv].loss_sha256 == hashlib.sha256(said.encode()).hexdigest() and got[conv].loss_chars == len(said)
+    assert {c: r.n_invalid for c, r in got.items()} == {1: 1, 2: 1, 3: 1, None: 2}
+    assert chat.read_back(chat.format_conversations(df.limit(0))).collect() == []
+
+
+def test_loss_flags(spark):
+    df = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a\\b")], "conv_id long, turn long, role string, text string")
+    rows = sorted(chat.format_conversations(df).collect())
+    assert [(r.text, r.loss, r.valid) for r in rows] == [
+        ("[INST]", False, True), ("q", False, True), ("[/INST]", False, True),
+        ("<s>", False, True), ("a\\\\b", True, True), ("</s>", False, True),
+    ]

@@ -1,0 +1,62 @@
+"""The training-data queries against their SQL, and the pipeline stage by stage."""
+
+import pytest
+from compare import compare, connect
+from helpers_llm import SMALL, awkward, documents, empty
+from test_simhash_llm import plain_components
+from test_substrings_llm import plain as plain_removal
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from lakerill.llm import suite_llm
+
+PLAIN = ["op1_best_fit_packing", "op2_simhash", "op3_fingerprints", "op4_license_scan", "op7_toxicity", "op8_url_filter"]
+
+
+def test_registered():
+    assert {*suite_llm.QUERIES, "pipeline"} <= set(entry.queries())
+    assert set(suite_llm.ORACLE) <= set(suite_llm.QUERIES)
+    assert len({n.split("_")[0] for n in suite_llm.QUERIES}) == 10
+
+
+@pytest.mark.parametrize("name", list(suite_llm.ORACLE))
+def test_against_sql(spark, name):
+    assert compare(spark, connect(SMALL), SMALL, suite_llm.QUERIES[name], suite_llm.ORACLE[name]) is None
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_a_row_for_each(spark, name):
+    df = suite_llm.QUERIES[name](spark, SMALL)
+    key = "page_id" if "page_id" in df.columns else "doc_id"
+    whole = spark.read.parquet(f"{SMALL}/{'pages' if key == 'page_id' else 'documents'}.parquet")
+    assert {r[0] for r in df.select(key).collect()} == {r[0] for r in whole.select(key).collect()}
+
+
+def test_pipeline_stages(spark):
+    docs = documents(spark).cache()
+    stages = dict(corpus_pipeline.STAGES)
+    clean = stages["toxicity"](spark, docs, SMALL).cache()
+    assert clean.columns == docs.columns and 0 < clean.count() <= docs.count()
+    once = stages["near_duplicates"](spark, clean, SMALL).cache()
+    want = {c for _, _, c in plain_components(clean.collect())}
+    assert sorted(r.doc_id for r in once.collect()) == sorted(want)
+    cut = stages["substrings"](spark, once, SMALL).cache()
+    lost = {d: n for d, _, n, _ in plain_removal(once.collect(), 50)}
+    before = {r.doc_id: r for r in once.collect()}
+    for r in cut.collect():
+        assert len((r.text or "").split()) == len((before[r.doc_id].text or "").split()) - lost[r.doc_id]
+        assert r.n_chars == len(r.text)
+    mixed = stages["mixing"](spark, cut, SMALL).cache()
+    assert mixed.columns == docs.columns
+    packed = stages["packing"](spark, mixed, SMALL)
+    assert packed.where("piece = 0").count() == mixed.count()
+    for df in (docs, clean, once, cut, mixed):
+        df.unpersist()
+
+
+def test_pipeline_with_awkward_documents(spark, folder):
+    awkward(spark).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (8, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).count() > 0
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty(spark), folder).collect() == []
