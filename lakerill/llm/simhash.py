@@ -57,19 +57,21 @@ def _flips(width: int, most: int) -> np.ndarray:
     return np.array([sum(1 << i for i in c) for c in sets], np.uint64)
 
 
-def _roots(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
-    parent = list(range(n))
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
+    """Places of links that join all that ``a``, ``b`` join, without a circle."""
+    parent, kept = list(range(n)), []
 
     def find(x: int) -> int:
         while parent[x] != x:
             parent[x] = x = parent[parent[x]]
         return x
 
-    for x, y in zip(a.tolist(), b.tolist()):
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
         x, y = find(x), find(y)
         if x != y:
             parent[max(x, y)] = min(x, y)
-    return [find(x) for x in range(n)]
+            kept.append(i)
+    return kept
 
 
 def _collide(radius: int, bits: int):
@@ -110,9 +112,9 @@ def _collide(radius: int, bits: int):
             pair = np.array(sorted(links), np.int64)
             a, b = pair // len(prints), pair % len(prints)
             near = np.bitwise_count(prints[a] ^ prints[b]) <= radius
-            root = np.array(_roots(a[near], b[near], len(prints)), np.int64)
-            b = np.flatnonzero(root != np.arange(len(prints)))
-            a = root[b]
+            a, b = a[near], b[near]
+            kept = _forest(a, b, len(prints))
+            a, b = a[kept], b[kept]
         signed = prints.view(np.int64)
         return pa.table({"a": signed[a], "b": signed[b]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
