@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 TABLES, WIDTH = 3, 8
 #: A block that does not peel is cut into this many, a power of two; so often at most, then digests are compared one by one.
 SPLIT_BITS, LEVELS = 3, 6
+#: Up to three sentences of a line, or what is left of it.
+_PARAGRAPH = r"(?:[^.!?\n]+[.!?]+ ?){1,3}|[^\n]+"
 _ROUNDS = TABLES * WIDTH  # each round empties a cell at least
 #: Documents in a slice of the doc_id order, about; and the most slices.
 _SLICE, _MOST_SLICES = 1000, 1 << 16
@@ -26,10 +28,10 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def paragraphs(text: str | Column) -> Column:
-    """The different digests of a text's paragraphs: its lines, cut after sentence ends. A null has none."""
+    """The different digests of a text's paragraphs: its lines, cut after every third sentence. A null has none."""
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    pieces = F.split(text, r"\n|(?<=[.!?]) ")
-    return F.array_distinct(F.transform(F.filter(pieces, lambda p: p != ""), lambda p: F.xxhash64(p)))
+    pieces = F.regexp_extract_all(text, F.lit(_PARAGRAPH), F.lit(0))
+    return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
 def _cell(key: Column, table: int) -> Column:
@@ -171,7 +173,8 @@ def _slice_of(doc_id: Column, lows: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text``, ``digests`` of every row and ``next_text``, ``next_digests`` of the one after it by descending doc_id.
+    """``doc_id``, ``text``, ``digests``, ``cells`` (their sketch) of every row, and ``next_text``, ``next_digests``,
+    ``next_cells`` of the one after it by descending doc_id.
 
     After the last row comes the first; nulls are last, rows with equal doc_id go by their text's hash. The order is cut into
     slices of about a thousand documents by ranges of doc_id; the head of each slice is also sent to the slice before it, so the
@@ -197,10 +200,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     sent = sent.otherwise(F.array(F.struct("slice", F.lit(0).alias("donor"))))
     rows = rows.select("doc_id", "text", F.explode(sent).alias("to")).select("doc_id", "text", "to.slice", "to.donor")
     rows = rows.repartition("slice").withColumn("digests", paragraphs("text"))
+    rows = rows.withColumn("cells", sketch(F.col("digests")))
     order = Window.partitionBy("slice").orderBy(F.col("donor"), F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     rows = rows.select(
-        "doc_id", "text", "digests", "donor",
-        F.lead("text").over(order).alias("next_text"), F.lead("digests").over(order).alias("next_digests"),
+        "doc_id", "text", "digests", "cells", "donor",
+        *(F.lead(c).over(order).alias(f"next_{c}") for c in ("text", "digests", "cells")),
     )
     return rows.where("donor = 0").drop("donor")
 
@@ -223,18 +227,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         "digests",
+        "cells",
         paragraphs("edited").alias("edited_digests"),
-        F.coalesce("next_digests", F.array().cast("array<bigint>")).alias("next_digests"),
-    )
-    cells = {n: sketch(F.col(n)) for n in ("digests", "edited_digests", "next_digests")}
-    rows = rows.withColumns({f"{n}_cells": c for n, c in cells.items()})
-    a, own = F.col("digests"), F.col("digests_cells")
+        "next_digests",
+        "next_cells",
+    ).withColumn("edited_cells", sketch(F.col("edited_digests")))
+    a, own = F.col("digests"), F.col("cells")
     return rows.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         as_text(own).alias("fingerprint"),
-        as_text(F.col("edited_digests_cells")).alias("edited_fingerprint"),
-        likeness(a, F.col("edited_digests"), own, F.col("edited_digests_cells")).alias("near_edited"),
-        likeness(a, F.col("next_digests"), own, F.col("next_digests_cells")).alias("near_next"),
+        as_text(F.col("edited_cells")).alias("edited_fingerprint"),
+        likeness(a, F.col("edited_digests"), own, F.col("edited_cells")).alias("near_edited"),
+        likeness(a, F.col("next_digests"), own, F.col("next_cells")).alias("near_next"),
     )
