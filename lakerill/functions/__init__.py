@@ -4,7 +4,7 @@ from .casts import align, as_of_column, to_millis
 from .draws import draw
 from .money import money_again, money_sums, money_total
 from .predicates import end_anchored, newer, same_key
-from .skew import MAX_HOT_KEYS, hot_keys, small_enough
+from .skew import MAX_HOT_KEYS, hot_keys
 
 __all__ = [
     "MAX_HOT_KEYS",
@@ -18,6 +18,5 @@ __all__ = [
     "money_total",
     "newer",
     "same_key",
-    "small_enough",
     "to_millis",
 ]

@@ -26,7 +26,5 @@ def same_key(left: str, right: str, key: Iterable[str]) -> Column:
 
 
 def newer(left: str, right: str, order: Sequence[str]) -> Column:
-    """Whether the row aliased ``left`` is newer than the one aliased ``right``."""
-    if len(order) == 1:
-        return F.col(f"{left}.{order[0]}") > F.col(f"{right}.{order[0]}")
+    """Whether the row aliased ``left`` is newer than the one aliased ``right``; a NULL is older than any value."""
     return F.struct(*[F.col(f"{left}.{c}") for c in order]) > F.struct(*[F.col(f"{right}.{c}") for c in order])

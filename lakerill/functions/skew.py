@@ -1,4 +1,4 @@
-"""Finding hot keys and checking sizes before anything is broadcast."""
+"""Finding hot keys."""
 
 from __future__ import annotations
 
@@ -6,41 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: No table can have more hot keys than this: a hot key holds at least 1/MAX_HOT_KEYS of all rows.
 MAX_HOT_KEYS = 100_000
 
 
-def hot_keys(df: DataFrame, key: Sequence[str], order: str, min_rows: int) -> DataFrame:
-    """Keys too large for one task, with the span of ``order`` and the width of a slice of it.
+def hot_keys(df: DataFrame, key: Sequence[str], min_rows: int) -> DataFrame:
+    """Keys too large for one task, with their number of rows ``n``.
 
     A hot key has ``min_rows`` rows or more and at least one in MAX_HOT_KEYS of all rows, so the
-    result has at most MAX_HOT_KEYS rows whatever the size of ``df``. ``width`` cuts the span of a
-    key into slices of about ``min_rows`` rows. Only the key and order columns are read, and the
+    result has at most MAX_HOT_KEYS rows whatever the size of ``df``. Only the key columns are read, and the
     counts are combined before the shuffle.
     """
-    counts = df.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi")
-    )
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()  # reads no column
     floor = F.greatest(F.lit(min_rows), F.ceil(total / F.lit(MAX_HOT_KEYS)))
-    slices = F.ceil(F.col("n") / F.lit(min_rows))
-    width = F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) / slices))
-    return counts.where(F.col("n") >= floor).select(*key, "lo", width.cast("bigint").alias("width"))
-
-
-def small_enough(df: DataFrame, max_bytes: int) -> bool:
-    """Whether ``df`` takes at most ``max_bytes`` in memory, by counting (runs ``df`` once)."""
-    fixed = F.lit(0)
-    texts = F.lit(0)
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            texts = texts + F.coalesce(F.octet_length(f.name), F.lit(0))
-            fixed = fixed + 16
-        elif isinstance(f.dataType, T.AtomicType):
-            fixed = fixed + 16
-        else:
-            texts = texts + F.octet_length(F.to_json(F.struct(f.name)))
-    used = df.agg(F.sum((fixed + texts).cast("bigint")).alias("b")).first()[0]
-    return (used or 0) <= max_bytes
+    return counts.where(F.col("n") >= floor)

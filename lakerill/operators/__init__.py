@@ -7,8 +7,7 @@ from .state import (
     dedup,
     latest_by_window,
     latest_state,
-    merge_large,
-    merge_small,
+    merge,
     net_changes,
     op_counts,
     reconcile,
@@ -30,8 +29,7 @@ __all__ = [
     "latest_by_window",
     "latest_state",
     "memory_table",
-    "merge_large",
-    "merge_small",
+    "merge",
     "net_changes",
     "op_counts",
     "orphan_counts",

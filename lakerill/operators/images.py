@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hot_keys, same_key
+from ..session import materialise
 from ..specs import DELETE
 
 #: A key with more changes than this is worked on in slices, each a task of its own.
@@ -26,34 +27,25 @@ def before_after(
 
     There is no before-image where the key was absent and no after-image of a delete.
 
-    The previous change of a key is a window over the key. So that a key holding a large share of the
-    log does not end up in one task, the changes of hot keys are cut into slices by ``order``, and each
-    slice starts with the last change of the slice before, found by an aggregation.
+    The previous change of a key is a window over the key. If keys hold so many changes that they would not fit a task, their
+    changes are written once, in ranges of (key, order) that Spark cuts from a sample to about equal counts, and each
+    range starts with the last change of the key in the range before. Whether there are such keys is counted first.
     """
     image = F.struct(F.col(op).alias("op"), *[F.col(c) for c in columns])
     meta = [c for c in log.columns if c not in key and c not in columns and c not in (op, order)]
     rows = log.select(*key, F.col(order), F.struct(*meta).alias("__meta"), image.alias("__image")) if meta else (
         log.select(*key, F.col(order), F.lit(None).cast("struct<x:int>").alias("__meta"), image.alias("__image"))
     )
-    hot = hot_keys(log, key, order, hot_rows)  # at most MAX_HOT_KEYS rows
-    slice_no = F.coalesce(F.floor((F.col(f"r.{order}") - F.col("h.lo")) / F.col("h.width")), F.lit(0))
-    sliced = (
-        rows.alias("r")
-        .join(F.broadcast(hot).alias("h"), same_key("r", "h", key), "left")
-        .select("r.*", slice_no.alias("__slice"), F.col("h.lo").isNotNull().alias("__hot"))
-    )
-    last = (
-        sliced.where("__hot")
-        .groupBy(*key, "__slice")
-        .agg(F.max_by("__image", order).alias("__image"), F.max(order).alias(order))
-    )
-    # the slices of one key: far fewer than its rows
-    following = F.lead("__slice").over(Window.partitionBy(*key).orderBy("__slice"))
-    carried = last.withColumn("__slice", following).where(F.col("__slice").isNotNull())
-    carried = carried.withColumn("__carried", F.lit(True))
-    everything = sliced.drop("__hot").withColumn("__carried", F.lit(False)).unionByName(
-        carried, allowMissingColumns=True
-    )
+    rows = rows.withColumn("__slice", F.lit(0))
+    hot = hot_keys(log, key, hot_rows).persist()  # at most MAX_HOT_KEYS rows
+    try:
+        total = hot.agg(F.sum("n")).first()[0]
+        if total is None:
+            everything = rows.withColumn("__carried", F.lit(False))
+        else:
+            everything = _in_ranges(rows, materialise(hot, "hot-keys"), key, order, -(-2 * total // hot_rows))
+    finally:
+        hot.unpersist()
     previous = F.lag("__image").over(Window.partitionBy(*key, "__slice").orderBy(order))
     changes = everything.withColumn("__previous", previous).where(~F.col("__carried"))
 
@@ -71,6 +63,22 @@ def before_after(
     )
 
 
+def _in_ranges(rows: DataFrame, hot: DataFrame, key: Sequence[str], order: str, ranges: int) -> DataFrame:
+    """``rows`` with those of hot keys cut into slices of about equal counts, and the changes carried between slices."""
+    known = F.broadcast(hot.select(*key)).alias("h")
+    r = rows.alias("r")
+    rest = r.join(known, same_key("r", "h", key), "left_anti")
+    cut = r.join(known, same_key("r", "h", key), "left_semi").repartitionByRange(ranges, *key, order)
+    # written once: a range would be another one if it was cut again
+    cut = materialise(cut.withColumn("__slice", F.spark_partition_id() + 1), "hot-changes")
+    last = cut.groupBy(*key, "__slice").agg(F.max_by("__image", order).alias("__image"), F.max(order).alias(order))
+    # the slices of one key: far fewer than its rows
+    following = F.lead("__slice").over(Window.partitionBy(*key).orderBy("__slice"))
+    carried = last.withColumn("__slice", following).where(F.col("__slice").isNotNull())
+    own = rest.unionByName(cut).withColumn("__carried", F.lit(False))
+    return own.unionByName(carried.withColumn("__carried", F.lit(True)), allowMissingColumns=True)
+
+
 def changelog_kinds(
     log: DataFrame,
     key: Sequence[str],

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions import newer, same_key
 from ..specs import DELETE
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FIXED_WIDTH = (
     T.BooleanType,
     T.ByteType,
@@ -40,6 +41,7 @@ def latest_state(
 ) -> DataFrame:
     """The newest row of every key; keys whose newest change is a delete are gone.
 
+    A NULL in ``order`` is older than any value, so a row with NULL counts where its key has no other.
     ``op`` is None for logs without deletes. ``columns`` prunes what is carried. Every map task
     reduces a key to one row before the shuffle, so a hot key costs no more than any other. Rows that
     are fixed-width but for the key are carried column by column, which Spark aggregates by hashing;
@@ -47,10 +49,12 @@ def latest_state(
     """
     wanted = list(columns) if columns is not None else [c for c in log.columns]
     carried = [c for c in wanted if c not in key and c != op]
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    integral = len(order) == 1 and isinstance(log.schema[order[0]].dataType, _INTEGRAL)
+    # never NULL, since max_by passes over rows whose rank is
+    rank = F.coalesce(F.col(order[0]).cast("bigint"), F.lit(-(1 << 63))) if integral else F.struct(*order)
     alive = F.lit(True) if op is None else F.coalesce(F.col(op) != DELETE, F.lit(True))
     keep_op = op is not None and keep_deletes
-    flat = len(order) == 1 and not keep_op and all(_fixed_width(log.schema[c].dataType) for c in [*carried, *order])
+    flat = integral and not keep_op and all(_fixed_width(log.schema[c].dataType) for c in carried)
     if flat:
         picks = [F.max_by(F.col(c), rank).alias(c) for c in carried]
         state = log.groupBy(*key).agg(*picks, F.max_by(alive, rank).alias("__alive"))
@@ -90,7 +94,8 @@ def reconcile(
 ) -> DataFrame:
     """State from a snapshot taken at position ``snapshot_seq`` and a log that overlaps it.
 
-    The snapshot holds all changes up to its position, so of the log only the later ones count.
+    The snapshot holds all changes up to its position, so of the log only the later ones count. A position may be a column
+    that both frames have, such as that of the chunk a key belongs to: chunks are read one after the other while the log goes on.
     """
     position = F.lit(snapshot_seq) if isinstance(snapshot_seq, int) else snapshot_seq
     rows = snapshot.withColumns({order: position.cast("bigint"), op: F.lit("c")})
@@ -98,12 +103,16 @@ def reconcile(
     return latest_state(rows.unionByName(later, allowMissingColumns=True), key, (order,), op)
 
 
-def dedup(log: DataFrame, key: Sequence[str], order: str = "seq", ts: str = "ts", lateness: str = "1 hour") -> DataFrame:
+def dedup(
+    log: DataFrame, key: Sequence[str], order: str = "seq", ts: str = "ts", lateness: str | None = None
+) -> DataFrame:
     """One copy of every change ``(key, order)`` that was delivered more than once.
 
-    A stream remembers changes for ``lateness`` of event time; its ``ts`` leaves as a zoned timestamp.
+    A stream remembers every change it has seen, so its state grows with the feed and nothing is lost, however late.
+    With a ``lateness`` it forgets changes that much older than the newest event time, and **drops whatever arrives
+    later than that**, first copies too; its ``ts`` then leaves as a zoned timestamp.
     """
-    if log.isStreaming:
+    if log.isStreaming and lateness:
         timed = log.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
         return timed.dropDuplicatesWithinWatermark([*key, order])
     return log.dropDuplicates([*key, order])
@@ -158,34 +167,17 @@ def op_counts(log: DataFrame, op: str = "op") -> DataFrame:
     return log.groupBy(op).agg(F.count(F.lit(1)).alias("n_changes"))
 
 
-def merge_small(base: DataFrame, tail: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def merge(base: DataFrame, tail: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Newest row of every key of ``base`` and ``tail``, both with one row per key, deletes included.
 
-    For a tail whose size was checked: it is broadcast, and the base is read without a shuffle.
-    """
-    columns = base.columns
-    t = F.broadcast(tail).alias("t")
-    b = base.alias("b")
-    matched = b.join(t, same_key("b", "t", key), "left")
-    use_tail = F.coalesce(newer("t", "b", order), F.lit(False))
-    kept = matched.select(*[F.when(use_tail, F.col(f"t.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in columns])
-    known = base.select(*key).alias("b").join(F.broadcast(tail.select(*key)).alias("t"), same_key("b", "t", key), "left_semi")
-    # at most one row per key of the tail, hence as small as the tail
-    fresh = tail.alias("t").join(F.broadcast(known).alias("k"), same_key("t", "k", key), "left_anti")
-    return kept.unionByName(fresh.select(*columns))
-
-
-def merge_large(base: DataFrame, tail: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """:func:`merge_small` for a tail of any size, by a full join on the key.
-
-    On a base bucketed by the key only the tail is shuffled.
+    A full join on the key; on a base bucketed by the key only the tail is shuffled.
     """
     columns = base.columns
     in_base = F.lit(True).alias("__in_base")
-    b, t = base.select("*", in_base).alias("b"), tail.select(*columns).alias("t")
+    b, t = base.select("*", in_base).alias("b"), tail.select(*columns).alias("t")  # a missing t is all NULL, so never newer
     # plain equality, which buckets serve; a NULL key equals nothing and is seen to below
     same = reduce(lambda x, y: x & y, [F.col(f"b.{k}") == F.col(f"t.{k}") for k in key])
-    use_tail = F.coalesce(newer("t", "b", order), F.col("b.__in_base").isNull())
+    use_tail = F.col("b.__in_base").isNull() | newer("t", "b", order)
     merged = b.join(t, same, "full").select(
         *[F.when(use_tail, F.col(f"t.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in columns]
     )

@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from ..functions import as_of_column, money_again, money_sums, money_total
 from ..operators.joins import totals_by_dimension
 
-#: Groups a chart shows at most.
-CHART_ROWS = 10_000
-
-
 def _count() -> Column:
     return F.count(F.lit(1)).alias("sales_count")
 
@@ -27,10 +23,10 @@ def _revenue(name: str = "total_revenue") -> list[Column]:
     return money_sums(name, F.col("price"), F.col("qty"))
 
 
-def sales_count_by_product_id(sales: DataFrame, row_limit: int = CHART_ROWS) -> DataFrame:
-    """Sales per product id, most first; the chart's row limit is part of the question."""
-    counts = sales.groupBy("product_id").agg(_count())
-    return counts.orderBy(F.desc("sales_count"), F.asc_nulls_last("product_id")).limit(row_limit)
+def sales_count_by_product_id(sales: DataFrame, row_limit: int | None = None) -> DataFrame:
+    """Sales per product id, most first; ``row_limit`` is for charts that show so many groups at most."""
+    counts = sales.groupBy("product_id").agg(_count()).orderBy(F.desc("sales_count"), F.asc_nulls_last("product_id"))
+    return counts if row_limit is None else counts.limit(row_limit)
 
 
 def _by_name(

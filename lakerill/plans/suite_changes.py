@@ -21,7 +21,7 @@ from ..operators import (
     reconcile,
 )
 from ..session import new_folder
-from ..sources import read_table
+from ..sources import chunk_bounds, read_table, snapshot_chunks
 from ..specs import BIGINT, MONEY, PRODUCTS, STRING, TableSpec, schema_of
 from .relations import ACCOUNTS, changes, product_changes, products, sales, with_relations
 
@@ -165,10 +165,40 @@ def _as_of_batch(spark, folder):
     return table.read(as_of_batch=2)
 
 
+def _chunk_positions(spark, folder):
+    """Snapshot chunks read one after the other while the log goes on, each as of its own position."""
+    log = changes(spark, folder)
+    last = _last_seq(log)
+    bounds = chunk_bounds(log, "k", 1 + log.count() // 8)
+    placed = snapshot_chunks(log, "k", bounds)
+    position = F.floor(last * (F.col("chunk") + 2) / F.lit(len(bounds) + 3))
+    placed = placed.withColumn("position", position)
+    snapshot = latest_state(placed.where(F.col("seq") <= F.col("position")), ["k"]).drop("seq")
+    overlap = placed.where(F.col("seq") > F.col("position") - 100)
+    return reconcile(snapshot, overlap, ["k"], F.col("position")).select("k", "ts", "value", "props")
+
+
+def _two_writers(spark, folder):
+    """Four commits of a feed, then a delete by another writer, then the last one; read as of the delete and as of the feed."""
+    log = changes(spark, folder)
+    last = _last_seq(log)
+    part = F.floor(F.col("seq") * 5 / (last + 1))
+    table = _lake(spark, "writers")
+    for batch in range(4):
+        table.append_batch(log.where(part == batch), batch, "feed")
+    table.delete_where(F.col("value") > 50, F.floor(last * 4 / 5))
+    table.compact()
+    table.append_batch(log.where(part == 4), 4, "feed")
+    before = table.read(as_of_batch=3, writer="feed").withColumn("version", F.lit("before the delete"))
+    deleted = table.read(as_of_batch=0, writer="batch").withColumn("version", F.lit("after the delete"))
+    return before.unionAll(deleted).unionAll(table.read().withColumn("version", F.lit("now")))
+
+
 QUERIES = {
     "cdc_latest": _latest,
     "cdc_latest_window": _latest_window,
     "cdc_snapshot_plus_log": _snapshot_plus_log,
+    "cdc_snapshot_chunks": _chunk_positions,
     "cdc_before_after": _before_after,
     "cdc_changelog_kinds": lambda s, d: changelog_kinds(changes(s, d), ["k"], ["value", "props"]),
     "cdc_dedup": _delivered_twice,
@@ -185,6 +215,7 @@ QUERIES = {
     "schema_evolution": _evolved,
     "time_travel_as_of": _as_of_time,
     "time_travel_batch": _as_of_batch,
+    "time_travel_two_writers": _two_writers,
 }
 
 
@@ -210,6 +241,7 @@ ORACLE = {
     "cdc_latest": _latest_sql("k, seq, ts, value, props"),
     "cdc_latest_window": _latest_sql("k, seq, ts, value, props"),
     "cdc_snapshot_plus_log": _latest_sql("k, ts, value, props"),
+    "cdc_snapshot_chunks": _latest_sql("k, ts, value, props"),
     "cdc_before_after": with_relations(
         f"select k, seq, op, value_before, props_before, value_after, props_after from ({_IMAGES}) images", "chg"
     ),
@@ -270,4 +302,17 @@ ORACLE = {
     ),
     "time_travel_as_of": _latest_sql("k, value, props", f"date_trunc('millisecond', ts) <= timestamp '{AS_OF}'"),
     "time_travel_batch": _latest_sql("k, value, props", "seq * 4 // ((select max(seq) from chg) + 1) <= 2"),
+    "time_travel_two_writers": with_relations(
+        """with parts as (select *, seq * 5 // ((select max(seq) from chg) + 1) as part from chg),
+        early as (select * from (select *, row_number() over (partition by k order by seq desc) as rn from parts
+            where part < 4) ranked where rn = 1 and op <> 'd'),
+        late as (select * from (select *, row_number() over (partition by k order by seq desc) as rn from parts
+            where part = 4) ranked where rn = 1),
+        kept as (select k, value, props from early where not coalesce(value > 50, false))
+        select k, value, props, 'before the delete' as version from early
+        union all select k, value, props, 'after the delete' from kept
+        union all select k, value, props, 'now' from kept where k not in (select k from late)
+        union all select k, value, props, 'now' from late where op <> 'd'""",
+        "chg",
+    ),
 }

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..quality import MONITOR_RULES, TABLE_RULES, Rule, failing_rows, missing_profile, report, score_over_time, split, summary
+from ..quality import MONITOR_RULES, TABLE_RULES, Rule, failing_rows, missing_profile, report, score_of_scans, score_over_time, split, summary
+from ..session import new_folder
 from ..sources import read_table
+from ..streaming.quality_scan import SCAN_SCHEMA, read_scans
 from .relations import changes, docs, products, sales, with_relations
 
 #: Limits that some of the benchmark's sales break, unlike the standing ones.
@@ -64,6 +68,40 @@ def _quarantine(spark, folder):
     return measured(good, "good").unionAll(measured(bad, "bad"))
 
 
+#: Rules that look beyond a row: values that occur again, references that lead nowhere.
+UNIQUE_SALES = (
+    Rule("sales", "one sale per id", "duplicate_count", "id"),
+    Rule("sales", "one sale per price", "surplus_count", "price", filter="qty = 7"),
+)
+LABELLED = (Rule("documents", "label exists", "orphan_count", "doc_id", {"parent": "labels", "parent_column": "doc_id"}),)
+
+
+def _named(rows):
+    return rows.withColumn("failed_rules", F.array_join("failed_rules", "; "))
+
+
+def _failing_duplicates(spark, folder):
+    rows = failing_rows(sales(spark, folder), UNIQUE_SALES, "sales")
+    return _named(rows).withColumn("price", F.col("price").cast("double"))
+
+
+def _failing_orphans(spark, folder):
+    documents = read_table(spark, folder, "documents").select("doc_id", "lang")
+    return _named(failing_rows(documents, LABELLED, "documents", {"labels": read_table(spark, folder, "labels")}))
+
+
+def _scan_scores(spark, folder):
+    """The standing checks on four days in turn, as stored scans, and the share that passed by day of the scan."""
+    tables, newest = _tables(spark, folder), _newest_sale(spark, folder)
+    out = new_folder(spark, "scores")
+    for i in range(4):
+        found = report(tables, MONITOR_RULES, newest + timedelta(days=i)).withColumn(
+            "scan_ts", F.lit("2024-01-01 06:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(12 * i))
+        )
+        found.select(*SCAN_SCHEMA.fieldNames()).coalesce(1).write.parquet(f"{out}/scan={i}")
+    return score_of_scans(read_scans(spark, out), "1 day")
+
+
 QUERIES = {
     "dq_row_count": _check(
         Rule("products", "Row count", "row_count", comparison=">"), Rule("sales", "Row count", "row_count", comparison=">")
@@ -102,7 +140,10 @@ QUERIES = {
     "dq_rules_report": lambda s, d: _standing_report(s, d, TABLE_RULES),
     "dq_summary": lambda s, d: summary(_standing_report(s, d, MONITOR_RULES)),
     "dq_failing_rows": _failing,
+    "dq_failing_duplicates": _failing_duplicates,
+    "dq_failing_orphans": _failing_orphans,
     "dq_quarantine_split": _quarantine,
+    "dq_score_of_scans": _scan_scores,
     "dq_score_by_day": lambda s, d: score_over_time(changes(s, d), PLAUSIBLE_VALUE, "ts"),
 }
 
@@ -245,6 +286,17 @@ ORACLE = {
         from sales where qty > 45 or price > 10000.00""",
         "sales",
     ),
+    "dq_failing_duplicates": with_relations(
+        """select id, product_id, qty, cast(price as double) as price, sale_ts,
+            concat_ws('; ', case when n_id > 1 then 'one sale per id' end,
+                case when qty = 7 and n_price > 1 then 'one sale per price' end) as failed_rules
+        from (select *, count(*) over (partition by id) as n_id,
+            count(*) filter (where qty = 7) over (partition by price) as n_price from sales) counted
+        where n_id > 1 or qty = 7 and n_price > 1""",
+        "sales",
+    ),
+    "dq_failing_orphans": """select doc_id, lang, 'label exists' as failed_rules from documents
+        where doc_id not in (select doc_id from labels)""",
     "dq_quarantine_split": with_relations(
         """select case when qty > 45 or price > 50000.00 then 'bad' else 'good' end as part,
             count(*) as n_rows, cast(sum(qty) as bigint) as units from sales group by 1""",
@@ -265,3 +317,9 @@ ORACLE["dq_summary"] = f"""select count(*) as total, count(*) filter (where pass
     case when count(*) filter (where not passed) = 0 then 'All data quality checks PASSED'
         else (count(*) filter (where not passed)) || ' checks FAILED' end as verdict
     from ({_judged}) report"""
+#: Two scans a day; the first two find recent sales, the others, two days after the newest sale and later, do not.
+ORACLE["dq_score_of_scans"] = f"""with others as (
+        select count(*) filter (where passed) as p, count(*) as n from ({_judged}) report where check_name <> 'Recent sales (24h)')
+    select timestamp '2024-01-01 00:00:00' as period, 2 * (p + 1) as n_passed, 2 * (n + 1) as n_checks,
+        cast(p + 1 as double) / (n + 1) as score from others
+    union all select timestamp '2024-01-02 00:00:00', 2 * p, 2 * (n + 1), cast(p as double) / (n + 1) from others"""

@@ -80,7 +80,7 @@ ORACLE = {
     ),
     "sales_count_by_product_id": with_relations(
         """select product_id, count(*) as sales_count from sales group by product_id
-        order by sales_count desc, product_id limit 10000""",
+        order by sales_count desc, product_id""",
         "sales",
     ),
     "sales_count_by_product_name": with_relations(

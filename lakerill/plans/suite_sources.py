@@ -11,9 +11,9 @@ from ..session import new_folder
 from ..sources import (
     TABLES,
     assign_ids,
+    chunk_bounds,
     chunk_counts,
     digit_spine,
-    key_range,
     products_batch,
     read_changes,
     read_table,
@@ -23,7 +23,7 @@ from ..sources import (
 from ..specs import SALES
 from .relations import ACCOUNTS, SALES_BY_TIME, changes, products, sales, sales_changes, with_relations
 
-SNAPSHOT_PARTS = 16
+SNAPSHOT_ROWS = 5000
 SEED_AS_OF = "2024-01-01 12:00:00"
 
 
@@ -34,8 +34,16 @@ def _read_changes(spark, folder):
 
 
 def _snapshot(spark, folder):
+    """The snapshot's chunks: how many, whether they are even, and that they hold every row once."""
     rows = sales(spark, folder)
-    return chunk_counts(rows, "id", key_range(rows, "id"), SNAPSHOT_PARTS)
+    chunks = chunk_counts(rows, "id", chunk_bounds(rows, "id", SNAPSHOT_ROWS))
+    return chunks.agg(
+        F.count(F.lit(1)).alias("n_chunks"),
+        F.sum("n_rows").alias("n_rows"),
+        (F.max("n_rows") <= 2 * SNAPSHOT_ROWS).alias("even"),
+        F.min("min_key").alias("min_key"),
+        F.max("max_key").alias("max_key"),
+    )
 
 
 def _sink(spark, folder):
@@ -112,10 +120,8 @@ _PLACES = " cross join ".join(f"digits as place{p}" for p in (1, 10, 100))
 ORACLE = {
     "cdc_read_changes": with_relations("select op, seq, ts, k, value, props from chg", "chg"),
     "snapshot_partitioned_read": with_relations(
-        f"""with bounds as (select min(id) as lo, max(id) as hi from sales)
-        select cast(least((id - lo) // greatest((hi + 1 - lo + {SNAPSHOT_PARTS - 1}) // {SNAPSHOT_PARTS}, 1),
-            {SNAPSHOT_PARTS - 1}) as integer) as chunk,
-            count(*) as n_rows, min(id) as min_key, max(id) as max_key from sales, bounds group by 1""",
+        f"""select cast(ceil(count(*) / {SNAPSHOT_ROWS}) as bigint) as n_chunks, count(*) as n_rows, true as even,
+            min(id) as min_key, max(id) as max_key from sales""",
         "sales",
     ),
     "lake_sink_roundtrip": with_relations(

@@ -7,18 +7,18 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import as_of_column
 from ..operators.joins import orphan_counts
-from .rows import invalid
+from .rows import at_time, invalid, with_time
 from .rules import COMPARISONS, Rule
 
-_NOW = re.compile(r"\b(?:current_timestamp|localtimestamp|now)\b(?:\(\))?", re.IGNORECASE)
-_AS_OF = "__as_of"
-_NOT_ANSWERABLE = (AnalysisException, ParseException, KeyError)
+#: What analysis and arguments can get wrong; it stays with the rule.
+_NOT_ANSWERABLE = (AnalysisException, ParseException, KeyError, ValueError)
+#: A filter that can only compare columns and literals can't fail while it runs.
+_CAN_FAIL = re.compile(r"[/%(\[]|\bcast\b", re.IGNORECASE)
 
 
 class QualityGateError(RuntimeError):
@@ -29,12 +29,17 @@ class QualityGateError(RuntimeError):
         self.failed = failed
 
 
-def _text(expression: str) -> str:
-    return _NOW.sub(_AS_OF, expression)
+def _can_fail(rule: Rule) -> bool:
+    """Whether a rule's own text may raise an error while it runs (a division by zero, a bad cast)."""
+    return rule.metric == "custom" or bool(rule.filter and _CAN_FAIL.search(rule.filter))
 
 
-def _needs_as_of(rule: Rule) -> bool:
-    return any(_NOW.search(t) for t in (rule.filter or "", str(rule.args.get("expr", ""))))
+def _check_pattern(spark: SparkSession, rule: Rule) -> None:
+    if "regex" in rule.args:
+        try:
+            spark.sparkContext._jvm.java.util.regex.Pattern.compile(rule.args["regex"])
+        except Exception as e:
+            raise ValueError(f"{rule.name}: no regular expression: {rule.args['regex']!r}") from e
 
 
 def _in_one_pass(rule: Rule) -> bool:
@@ -46,7 +51,7 @@ def _in_one_pass(rule: Rule) -> bool:
 def _measure(rule: Rule, df: DataFrame) -> Column:
     """The rule's value as an aggregate over the table."""
     if rule.metric == "custom":
-        return F.expr(_text(rule.args["expr"]))
+        return F.expr(at_time(rule.args["expr"]))
     if rule.metric == "row_count":
         counted = F.lit(True)
     elif rule.metric == "missing_count":
@@ -54,12 +59,12 @@ def _measure(rule: Rule, df: DataFrame) -> Column:
     else:
         counted = invalid(rule.column, rule.args, df.schema[rule.column].dataType)
     if rule.filter:
-        counted = F.expr(_text(rule.filter)) & counted
+        counted = F.expr(at_time(rule.filter)) & counted
     return F.count_if(counted)
 
 
 def _filtered(df: DataFrame, rule: Rule) -> DataFrame:
-    return df.where(F.expr(_text(rule.filter))) if rule.filter else df
+    return df.where(F.expr(at_time(rule.filter))) if rule.filter else df
 
 
 def _values(df: DataFrame, rule: Rule) -> DataFrame:
@@ -75,6 +80,7 @@ def _values(df: DataFrame, rule: Rule) -> DataFrame:
 def _answerable(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame]) -> bool:
     """Whether Spark can analyse the rule's plan; nothing runs."""
     try:
+        _check_pattern(df.sparkSession, rule)
         _table_parts(df, [rule], tables)
     except _NOT_ANSWERABLE:
         return False
@@ -153,8 +159,9 @@ def report(
 
     Counts, ranges, formats and custom metrics of a table share one scan of the columns they need;
     each column checked for duplicates and each reference adds one aggregation. A rule that cannot be
-    evaluated (no such table or column, a malformed expression) is a row with status ``ERROR``, so it
-    counts as not passed. ``as_of`` stands for the current time in filters and expressions.
+    evaluated (no such table or column, a malformed expression or pattern, no limits, a failure while it runs) is a row with
+    status ``ERROR``, so it counts as not passed. Custom metrics, and filters that compute, are evaluated when the report
+    is made; everything else when its rows are asked for. ``as_of`` stands for the current time in filters and expressions.
     """
     session = spark or next(iter(tables.values())).sparkSession
     parts: list[DataFrame] = []
@@ -165,19 +172,55 @@ def report(
         if df is None:
             broken += mine
             continue
-        if any(_needs_as_of(r) for r in mine):
-            df = df.withColumn(_AS_OF, as_of_column(as_of))
+        df = with_time(df, mine, as_of)
+        good = mine
         try:
-            parts += _table_parts(df, mine, tables)
+            for r in mine:
+                _check_pattern(session, r)
+            _table_parts(df, mine, tables)
         except _NOT_ANSWERABLE:  # find out which rules the table cannot answer
             good = [r for r in mine if _answerable(df, r, tables)]
             broken += [r for r in mine if r not in good]
-            parts += _table_parts(df, good, tables)
+        parts += _table_parts(df, [r for r in good if not _can_fail(r)], tables)
+        found, failed = _tried(df, [r for r in good if _can_fail(r)], tables)
+        parts += found
+        broken += failed
     if broken:
         parts.append(_rows(session.range(1), [(r, "null") for r in broken], error=True))
     return _judged(reduce(DataFrame.unionAll, parts))
 
 
+def _tried(
+    df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, DataFrame]
+) -> tuple[list[DataFrame], list[Rule]]:
+    """Values of rules that may fail while they run, evaluated now, and the rules that did fail.
+
+    All together at first; if that fails, one by one, which finds the culprits.
+    """
+    if not rules:
+        return [], []
+
+    def values(some: Sequence[Rule]) -> list[DataFrame]:
+        # a row per rule reaches the driver
+        rows = [r for part in _table_parts(df, some, tables) for r in part.collect()]
+        by_name = {(r["table"], r["check_name"]): r["value"] for r in rows}
+        held = [by_name[r.table, r.name] for r in some]
+        shown = [("null" if v is None else f"double('{v!r}')") for v in held]
+        return [_rows(df.sparkSession.range(1), list(zip(some, shown)))]
+
+    try:
+        return values(rules), []
+    except (PySparkException, ArithmeticError):
+        found: list[DataFrame] = []
+        failed = []
+        for rule in rules:
+            try:
+                found += values([rule])
+            except (PySparkException, ArithmeticError):
+                failed.append(rule)
+        return found, failed
+
+
 def missing_profile(df: DataFrame) -> DataFrame:
     """Missing values of every column, from one scan."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

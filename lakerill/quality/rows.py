@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
+from datetime import datetime
 from decimal import Decimal
 from functools import reduce
 from typing import Any
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import end_anchored
+from ..functions import as_of_column, end_anchored
 from .rules import ROW_METRICS, Rule
 
 
@@ -43,46 +45,148 @@ def invalid(column: str, args: dict[str, Any], dtype: T.DataType) -> Column:
     return reduce(lambda a, b: a | b, broken)
 
 
-def fails(rule: Rule, schema: T.StructType) -> Column:
-    """Whether a row fails a row-wise rule; never NULL."""
-    if rule.metric not in ROW_METRICS:
-        raise ValueError(f"{rule.metric} does not judge single rows")
-    if rule.metric == "missing_count":
-        bad = F.col(rule.column).isNull()
-    else:
-        bad = invalid(rule.column, rule.args, schema[rule.column].dataType)
-    if rule.filter:
-        bad = bad & F.expr(rule.filter)
-    return F.coalesce(bad, F.lit(False))
+_AS_OF = "__as_of"
+#: Quoted text and names, which stay as they are, or the current time.
+_NOW = re.compile(
+    r"""(?P<quoted>'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`(?:[^`]|``)*`)"""
+    r"""|(?<![\w.])(?:(?:current_timestamp|localtimestamp)\b(?:\s*\(\s*\))?|now\s*\(\s*\))""",
+    re.IGNORECASE,
+)
 
 
-def row_rules(rules: Iterable[Rule], table: str | None = None) -> list[Rule]:
-    return [r for r in rules if r.metric in ROW_METRICS and table in (None, r.table)]
+def at_time(expression: str) -> str:
+    """An SQL text with the current time replaced by the column that holds ``as_of``."""
+    return _NOW.sub(lambda m: m["quoted"] or _AS_OF, expression)
 
 
-def fails_any(rules: Sequence[Rule], schema: T.StructType) -> Column:
-    return reduce(lambda a, b: a | b, [fails(r, schema) for r in rules], F.lit(False))
+def needs_time(rule: Rule) -> bool:
+    return any(at_time(t) != t for t in (rule.filter or "", str(rule.args.get("expr", ""))))
 
 
-def failing_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Rows that fail a row-wise rule, with the names of all rules they fail in ``failed_rules``."""
-    rules = row_rules(rules)
-    names = F.array_compact(F.array(*[F.when(fails(r, df.schema), F.lit(r.name)) for r in rules]))
-    return df.where(fails_any(rules, df.schema)).withColumn("failed_rules", names)
+def with_time(df: DataFrame, rules: Iterable[Rule], as_of: Column | datetime | str | None) -> DataFrame:
+    """``df`` with the column that stands for the current time, if a rule asks for it."""
+    return df.withColumn(_AS_OF, as_of_column(as_of)) if any(map(needs_time, rules)) else df
 
 
-def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """``df`` as (good rows, quarantined rows); every row is in exactly one of them."""
-    bad = fails_any(row_rules(rules), df.schema)
-    return df.where(~bad), df.where(bad)
+def _filter(rule: Rule) -> Column:
+    return F.coalesce(F.expr(at_time(rule.filter)), F.lit(False)) if rule.filter else F.lit(True)
 
 
-def score_over_time(df: DataFrame, rules: Sequence[Rule], ts: str, unit: str = "DAY") -> DataFrame:
-    """Share of rows per time unit that fail no row-wise rule."""
-    ok = F.count_if(~fails_any(row_rules(rules), df.schema))
+def fails(rule: Rule, schema: T.StructType) -> Column:
+    """Whether a row fails a row-wise rule; never NULL."""
+    if rule.metric not in ROW_METRICS:
+        raise ValueError(f"{rule.metric} does not judge single rows")
+    if rule.metric == "missing_count":
+        bad = F.col(rule.column).isNull()
+    else:
+        bad = invalid(rule.column, rule.args, schema[rule.column].dataType)
+    return F.coalesce(bad & _filter(rule), F.lit(False))
+
+
+def judging_rules(rules: Iterable[Rule], table: str | None = None) -> list[Rule]:
+    """The rules of a table that judge rows: all but counts of rows and custom metrics."""
+    found = [r for r in rules if table in (None, r.table)]
+    if table is None and len({r.table for r in found}) > 1:
+        raise ValueError("the rules are about several tables; name the one the rows are of")
+    return [r for r in found if r.metric in (*ROW_METRICS, *_REPEATS, "orphan_count")]
+
+
+_REPEATS = ("duplicate_count", "surplus_count")
+
+
+def _flagged(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    tables: Mapping[str, DataFrame] | None,
+    as_of: Column | datetime | str | None,
+) -> tuple[DataFrame, list[str]]:
+    """``df`` with a column per rule that is true where the row fails it.
+
+    Repeated values come from one count per value, orphans from the parent's different keys, each joined back to the rows; a
+    value that many rows have is one row of the joined side, so large partitions of the rows can be split.
+    """
+    df = with_time(df, rules, as_of)
+    flags = [f"__fails{i}" for i in range(len(rules))]
+    for flag, rule in zip(flags, rules):
+        if rule.metric in ROW_METRICS:
+            df = df.withColumn(flag, fails(rule, df.schema))
+            continue
+        value = F.col(rule.column)
+        if rule.metric in _REPEATS:
+            counts = df.where(_filter(rule)).groupBy(value.alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+            known = counts.where("__n > 1").select("__value", F.lit(True).alias("__known"))
+            if rule.metric == "duplicate_count":
+                known = known.where("__value is not null")
+            bad = F.col("__known").isNotNull()
+        else:
+            parent = (tables or {})[rule.args["parent"]].select(F.col(rule.args["parent_column"]).alias("__value"))
+            known = parent.where("__value is not null").distinct().withColumn("__known", F.lit(True))
+            bad = value.isNotNull() & F.col("__known").isNull()
+        same = value.eqNullSafe(F.col("__value")) if rule.metric == "surplus_count" else value == F.col("__value")
+        df = df.join(known, same, "left").withColumn(flag, bad & _filter(rule)).drop("__value", "__known")
+    return df, flags
+
+
+def _any(flags: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, map(F.col, flags), F.lit(False))
+
+
+def failing_rows(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    table: str | None = None,
+    tables: Mapping[str, DataFrame] | None = None,
+    as_of: Column | datetime | str | None = None,
+) -> DataFrame:
+    """Rows that fail a rule, with the names of all rules they fail in ``failed_rules``.
+
+    Missing and invalid values, repeated values (every row that has one) and orphans (``tables`` holds the parents) count;
+    counts of rows and custom metrics judge no row. ``table`` names the table where the rules are about several;
+    ``as_of`` stands for the current time in filters.
+    """
+    rules = judging_rules(rules, table)
+    flagged, flags = _flagged(df, rules, tables, as_of)
+    names = F.array_compact(F.array(*[F.when(F.col(f), F.lit(r.name)) for f, r in zip(flags, rules)]))
+    return flagged.where(_any(flags)).select(*df.columns, names.cast("array<string>").alias("failed_rules"))
+
+
+def split(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    table: str | None = None,
+    tables: Mapping[str, DataFrame] | None = None,
+    as_of: Column | datetime | str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``df`` as (good rows, quarantined rows); every row is in exactly one of them. Arguments as in ``failing_rows``."""
+    flagged, flags = _flagged(df, judging_rules(rules, table), tables, as_of)
+    bad = _any(flags)
+    return flagged.where(~bad).select(*df.columns), flagged.where(bad).select(*df.columns)
+
+
+def score_over_time(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    ts: str,
+    unit: str = "DAY",
+    table: str | None = None,
+    tables: Mapping[str, DataFrame] | None = None,
+    as_of: Column | datetime | str | None = None,
+) -> DataFrame:
+    """Share of rows per time unit that fail no rule. Arguments as in ``failing_rows``."""
+    flagged, flags = _flagged(df, judging_rules(rules, table), tables, as_of)
+    ok = F.count_if(~_any(flags))
     rows = F.count(F.lit(1))
     return (
-        df.groupBy(F.date_trunc(unit, ts).cast("timestamp_ntz").alias("period"))
+        flagged.groupBy(F.date_trunc(unit, ts).cast("timestamp_ntz").alias("period"))
         .agg(ok.alias("ok_rows"), rows.alias("n_rows"))
         .withColumn("score", F.col("ok_rows") / F.col("n_rows"))
     )
+
+
+def score_of_scans(scans: DataFrame, window: str = "1 day") -> DataFrame:
+    """Share of checks that passed, per window of the scans' time."""
+    passed = F.count_if("passed").alias("n_passed")
+    counts = scans.groupBy(F.window("scan_ts", window).alias("w")).agg(passed, F.count(F.lit(1)).alias("n_checks"))
+    return counts.select(
+        F.col("w.start").cast("timestamp_ntz").alias("period"), "n_passed", "n_checks", (F.col("n_passed") / F.col("n_checks")).alias("score")
+    )

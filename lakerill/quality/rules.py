@@ -117,6 +117,8 @@ def load_rules(text: str) -> list[Rule]:
                 raise ValueError(f"cannot read check {head!r}")
             metric, column, comparison, threshold = found.groups()
             detail = detail or {}
+            if unknown := set(detail) - {"name", "filter", *_VALID}:
+                raise ValueError(f"{head!r} has details that are not known: {sorted(unknown)}")
             args = {_VALID[k]: v for k, v in detail.items() if k in _VALID}
             rules.append(
                 Rule(

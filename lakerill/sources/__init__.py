@@ -11,14 +11,25 @@ from .generators import (
     seed_sales,
 )
 from .ids import assign_ids
-from .snapshot import chunk_counts, key_range, snapshot_chunks, snapshot_options, snapshot_read
+from .snapshot import (
+    chunk_bounds,
+    chunk_counts,
+    chunk_predicates,
+    key_range,
+    snapshot_by_chunks,
+    snapshot_chunks,
+    snapshot_options,
+    snapshot_read,
+)
 from .tables import TABLES, read_table, register_tables, scan, stream_table
 
 __all__ = [
     "EVERY_TWO_MINUTES",
     "TABLES",
     "assign_ids",
+    "chunk_bounds",
     "chunk_counts",
+    "chunk_predicates",
     "digit_spine",
     "flatten_images",
     "key_range",
@@ -31,6 +42,7 @@ __all__ = [
     "scan",
     "seed_products",
     "seed_sales",
+    "snapshot_by_chunks",
     "snapshot_chunks",
     "snapshot_options",
     "snapshot_read",

@@ -28,6 +28,12 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (fs.globStatus(p) or []))
 
 
+def listing(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Paths matching ``pattern`` with their modification time in milliseconds."""
+    _, p, fs = _fs(spark, pattern)
+    return sorted((s.getPath().toString(), s.getModificationTime()) for s in (fs.globStatus(p) or []))
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes stored under ``path``."""
     _, p, fs = _fs(spark, path)

@@ -44,6 +44,8 @@ def digit_spine(digits: DataFrame, limit: int = SEED_SALES) -> DataFrame:
 
     The result of crossing the ten-row set with itself twice, made by three semi joins on the digit.
     """
+    if limit > 1000:
+        raise ValueError("three digits make 1000 numbers; use number_spine for more")
     ten = digits.where(F.col("d").between(0, 9)).select(F.col("d").cast("bigint")).distinct()
     spine = digits.sparkSession.range(1000)
     for place in (1, 10, 100):

@@ -1,7 +1,9 @@
-"""Initial snapshot of a source table, read in parallel by key ranges."""
+"""Initial snapshot of a source table, read in parallel by key ranges of about equal counts."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,25 @@ def key_range(df: DataFrame, key: str) -> tuple[int, int] | None:
     return None if low is None else (low, high)
 
 
+#: Rows of a chunk, about, and the most chunks of a snapshot.
+CHUNK_ROWS = 1_000_000
+MAX_CHUNKS = 10_000
+
+
+def chunk_bounds(df: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> list[int]:
+    """Where chunks of about ``chunk_rows`` rows begin, but the first: approximate percentiles of the key.
+
+    The number of chunks follows from the number of rows, so sparse and clustered keys make even chunks.
+    """
+    n = df.where(F.col(key).isNotNull()).count()
+    parts = min(MAX_CHUNKS, -(-n // chunk_rows))
+    if parts < 2:
+        return []
+    cuts = [i / parts for i in range(1, parts)]
+    found = df.agg(F.percentile_approx(key, F.array(*map(F.lit, cuts)), F.lit(10 * parts))).first()[0]
+    return sorted({int(x) for x in found})
+
+
 def snapshot_options(
     url: str, table: str, key: str, bounds: tuple[int, int], parts: int, fetch_rows: int = 10_000
 ) -> dict[str, str]:
@@ -37,23 +58,33 @@ def snapshot_read(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def snapshot_chunks(df: DataFrame, key: str, bounds: tuple[int, int], parts: int) -> DataFrame:
-    """Number the key-range chunk of every row in ``chunk``: 0 to ``parts`` - 1.
+def chunk_predicates(key: str, bounds: Sequence[int]) -> list[str]:
+    """A condition per chunk, NULL keys in the first: for reads that take one query per partition."""
+    lows, highs = [None, *bounds], [*bounds, None]
+    out = []
+    for low, high in zip(lows, highs):
+        parts = [f"{key} >= {low}"] * (low is not None) + [f"{key} < {high}"] * (high is not None)
+        test = " and ".join(parts) or "1 = 1"
+        out.append(test if low is not None else f"({test}) or {key} is null")
+    return out
 
-    Keys outside the bounds fall into the first or last chunk and NULL keys into the first, so
-    each row has exactly one chunk, as in the JDBC read.
-    """
-    low, high = bounds
-    width = max(1, -(-(high + 1 - low) // parts))
-    chunk = F.floor((F.col(key) - F.lit(low)) / F.lit(width))
-    inside = F.least(F.greatest(chunk, F.lit(0)), F.lit(parts - 1))
-    return df.withColumn("chunk", F.when(F.col(key).isNull(), F.lit(0)).otherwise(inside).cast("int"))
+
+def snapshot_by_chunks(spark: SparkSession, url: str, table: str, key: str, bounds: Sequence[int], **properties: str) -> DataFrame:
+    """Rows of a database table, read over JDBC with one query per chunk."""
+    return spark.read.jdbc(url, table, predicates=chunk_predicates(key, bounds), properties=properties)
+
+
+def snapshot_chunks(df: DataFrame, key: str, bounds: Sequence[int]) -> DataFrame:
+    """Number the chunk of every row in ``chunk``, from 0; NULL keys are in the first."""
+    edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
+    chunk = F.size(F.filter(edges, lambda x: x <= F.col(key)))
+    return df.withColumn("chunk", F.when(F.col(key).isNull(), 0).otherwise(chunk))
 
 
-def chunk_counts(df: DataFrame, key: str, bounds: tuple[int, int], parts: int) -> DataFrame:
+def chunk_counts(df: DataFrame, key: str, bounds: Sequence[int]) -> DataFrame:
     """Rows and key span of every snapshot chunk, to see that the ranges are even and complete."""
     return (
-        snapshot_chunks(df, key, bounds, parts)
+        snapshot_chunks(df, key, bounds)
         .groupBy("chunk")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key"))
     )

@@ -1,17 +1,19 @@
 """Streaming jobs: ingest, periodic quality scans, throughput."""
 
 from .ingest import EVERY_MINUTE, ingest_latency, read_metrics, start_ingest, stream_id
-from .quality_scan import PeriodicScan, last_scan, read_scans, start_quality_scan
+from .quality_scan import ClockedScan, PeriodicScan, last_scan, read_scans, scan_tables, start_quality_scan
 from .throughput import THROUGHPUT, start_throughput, throughput
 
 __all__ = [
     "EVERY_MINUTE",
     "THROUGHPUT",
+    "ClockedScan",
     "PeriodicScan",
     "ingest_latency",
     "last_scan",
     "read_metrics",
     "read_scans",
+    "scan_tables",
     "start_ingest",
     "start_quality_scan",
     "start_throughput",

@@ -78,15 +78,14 @@ def start_ingest(
     trigger: Mapping[str, Any],
     metrics: bool = False,
     after_batch: AfterBatch | None = None,
-    compact_every: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Write a stream of change records into ``table``, one commit per micro-batch.
 
     A batch that is run again after a failure replaces its own folder, so each change is in the log
     once per stream. With ``metrics`` the batch is measured while it is written, without another pass.
-    ``after_batch`` is called with the table and the batch number after every commit. ``compact_every``
-    folds the log into the base after that many batches, so reads of a job that never ends stay short.
+    ``after_batch`` is called with the table and the batch number after every commit. Compaction is no
+    part of the stream: call ``LogTable.compact`` from a maintenance job now and then, so that reads stay short.
     """
     table.create()
     writer: list[str] = []
@@ -100,8 +99,6 @@ def start_ingest(
             _record_metrics(table, seen.get, writer[0], batch_id)
         else:
             table.append_batch(batch, batch_id, writer[0])
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            table.compact()
         if after_batch is not None:
             after_batch(table, batch_id)
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from typing import Any
 
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import as_of_column
 from ..operators.lake import LogTable
 from ..quality import Rule, report
+from ..sources import files
 from ..specs import BOOLEAN, DOUBLE, STRING, TIMESTAMP, schema_of
 from .ingest import EVERY_MINUTE, start_ingest
 
@@ -31,15 +33,60 @@ SCAN_SCHEMA = schema_of(
 )
 
 
+#: A table of a scan: a lake table or a function is read anew for every scan, a frame as Spark sees it then.
+Source = DataFrame | LogTable | Callable[[], DataFrame]
+
+
+def _named_columns(rules: Sequence[Rule], table: str, tables: Mapping[str, Source]) -> list[str] | None:
+    """The columns that the rules name, or None if an expression may name others."""
+    own = [r for r in rules if r.table == table]
+    if any(r.filter or r.metric == "custom" for r in own):
+        return None
+    parents = [r.args["parent_column"] for r in rules if r.metric == "orphan_count" and r.args["parent"] == table]
+    return list(dict.fromkeys([r.column for r in own if r.column] + parents))
+
+
+def scan_tables(
+    spark: SparkSession,
+    tables: Mapping[str, Source],
+    rules: Sequence[Rule],
+    out: str,
+    number: int,
+    as_of: Column | datetime | str | None = None,
+) -> None:
+    """Read all tables, evaluate the rules and write the results as scan ``number``.
+
+    A lake table is merged once per scan: its columns that the rules name are kept until the results are written.
+    """
+    frames, kept = {}, []
+    for name, source in tables.items():
+        if isinstance(source, LogTable):
+            columns = _named_columns(rules, name, tables)
+            source = source.read(columns=columns or None).persist()
+            kept.append(source)
+        frames[name] = source() if callable(source) else source
+    try:
+        found = report(frames, rules, as_of, spark)
+        stamped = found.withColumn("scan_ts", as_of_column(None)).select(*SCAN_SCHEMA.fieldNames())
+        # a few rows: one per rule
+        stamped.coalesce(1).write.mode("overwrite").parquet(f"{out}/scan={number}")
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
 class PeriodicScan:
-    """Scan after the first commit and then whenever ``every_seconds`` have passed; append to ``out``."""
+    """Scan after the first commit and then after commits that come ``every_seconds`` or later; append to ``out``.
+
+    This is for streams that end; a feed that stops is only noticed by :class:`ClockedScan`.
+    """
 
     def __init__(
         self,
         rules: Sequence[Rule],
         out: str,
         every_seconds: float = SCAN_SECONDS,
-        others: Mapping[str, DataFrame] | None = None,
+        others: Mapping[str, Source] | None = None,
         as_of: Column | datetime | str | None = None,
     ):
         self.rules = rules
@@ -65,10 +112,53 @@ class PeriodicScan:
 
     def _scan(self, table: LogTable, batch_id: int) -> None:
         self._waiting = None
-        found = report({**self.others, table.spec.name: table.read()}, self.rules, self.as_of, table.spark)
-        stamped = found.withColumn("scan_ts", as_of_column(None)).select(*SCAN_SCHEMA.fieldNames())
-        # a few rows: one per rule
-        stamped.coalesce(1).write.mode("overwrite").parquet(f"{self.out}/scan={batch_id}")
+        scan_tables(table.spark, {**self.others, table.spec.name: table}, self.rules, self.out, batch_id, self.as_of)
+
+
+class ClockedScan:
+    """Scan at the start and then every ``every_seconds``, whether or not anything was committed.
+
+    Every scan reads all tables anew. Scans are numbered on from those that ``out`` holds. ``as_of`` may be a function, for a
+    clock other than the wall's.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        tables: Mapping[str, Source],
+        rules: Sequence[Rule],
+        out: str,
+        every_seconds: float = SCAN_SECONDS,
+        as_of: Callable[[], Column | datetime | str | None] | None = None,
+    ):
+        self.spark, self.tables, self.rules, self.out = spark, dict(tables), rules, out
+        self.every_seconds, self.as_of = every_seconds, as_of
+        self.error: Exception | None = None
+        self._stop = threading.Event()
+        self._thread = threading.Thread(target=self._run, daemon=True)
+
+    def start(self) -> ClockedScan:
+        self._thread.start()
+        return self
+
+    def stop(self) -> None:
+        """Let a scan that runs end, and scan no more; raises what made a scan fail."""
+        self._stop.set()
+        self._thread.join()
+        if self.error:
+            raise self.error
+
+    def _run(self) -> None:
+        taken = [int(p.rsplit("=", 1)[1]) for p in files.glob(self.spark, f"{self.out}/scan=*")]
+        number = max(taken, default=-1)
+        due = time.monotonic()
+        try:
+            while not self._stop.wait(max(0.0, due - time.monotonic())):
+                number += 1
+                scan_tables(self.spark, self.tables, self.rules, self.out, number, self.as_of() if self.as_of else None)
+                due += self.every_seconds
+        except Exception as e:  # kept for stop(), which the caller sees
+            self.error = e
 
 
 def start_quality_scan(
@@ -79,7 +169,7 @@ def start_quality_scan(
     checkpoint: str,
     trigger: Mapping[str, Any] = EVERY_MINUTE,
     every_seconds: float = SCAN_SECONDS,
-    others: Mapping[str, DataFrame] | None = None,
+    others: Mapping[str, Source] | None = None,
     as_of: Column | datetime | str | None = None,
 ) -> StreamingQuery:
     """Ingest ``changes`` and scan the growing table by ``rules``."""

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.lake import LogTable
 from ..specs import BIGINT, TIMESTAMP, TableSpec, schema_of
+from .ingest import stream_id
 
 #: Table a throughput stream keeps: the newest count of every window wins.
 THROUGHPUT = TableSpec(
@@ -51,16 +52,19 @@ def start_throughput(
 
     The stream emits the windows a micro-batch has changed; each is a change record at the batch's
     position, so the table is right after every batch and a re-run batch replaces itself. A new
-    checkpoint counts from nothing and needs a table of its own.
+    checkpoint counts from nothing and needs a table of its own; a table that another one wrote is refused.
     """
     table.create()
     counts = throughput(events, ts, window, lateness)
 
     def commit(batch: DataFrame, batch_id: int) -> None:
+        writer = stream_id(table.spark, checkpoint)
+        if others := {b.writer for b in table.batches()} - {writer}:
+            raise ValueError(f"{table.root} is kept by another stream: {sorted(others)}")
         changed = batch.withColumns(
             {"op": F.lit("u"), "seq": F.lit(batch_id).cast("bigint"), "ts": F.col("window_end")}
         )
-        table.append_batch(changed, batch_id, "throughput")
+        table.append_batch(changed, batch_id, writer)
 
     stream = counts.writeStream.outputMode("update").foreachBatch(commit)
     return stream.option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -15,6 +15,14 @@ TABLES = (
 ).split()
 
 
+def library_queries() -> set[str]:
+    """The queries of the library's own operators, without those of the training-data subpackage."""
+    from lakerill.plans import suite_changes, suite_quality, suite_sales, suite_sources, suite_streams
+
+    suites = (suite_sales, suite_quality, suite_changes, suite_sources, suite_streams)
+    return {name for suite in suites for name in suite.QUERIES}
+
+
 def connect(folder: str):
     import duckdb
 

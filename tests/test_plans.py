@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from compare import library_queries
 from conftest import SMALL
 from pyspark.sql import functions as F
 from test_state import frame, random_log
@@ -26,7 +27,7 @@ def exchanges(plan):
     return len(re.findall(r"Exchange hashpartitioning", plan))
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", sorted(n for n in library_queries() if not n.startswith("stream_")))
 def test_no_pairs_and_no_python(spark, name):
     plan = plan_of(entry.queries()[name](spark, SMALL))
     for bad in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas", "DeserializeToObject"):
@@ -89,14 +90,13 @@ def test_before_images_cost_one_shuffle_where_no_key_is_hot(spark, folder):
 
 
 @pytest.mark.parametrize("buckets", [5, 8, 20])
-@pytest.mark.parametrize("small_tail_bytes,join", [(16 << 20, "BroadcastHashJoin"), (0, "SortMergeJoin")])
-def test_base_is_read_without_a_shuffle(spark, folder, small_tail_bytes, join, buckets):
-    t = LogTable(spark, f"{folder}/t", ACCOUNTS, small_tail_bytes=small_tail_bytes).create()
+def test_base_is_read_without_a_shuffle(spark, folder, buckets):
+    t = LogTable(spark, f"{folder}/t", ACCOUNTS).create()
     t.append_batch(frame(spark, random_log(500, 50, 1)), 0)
     t.compact(buckets=buckets)
     t.append_batch(frame(spark, [("u", 1000, random_log(1, 1, 1)[0][2], 3, 1.0, "x")]), 1)
     tree = plan_of(t.read()).splitlines()
-    assert any(join in line for line in tree)
+    assert any("SortMergeJoin" in line for line in tree)
     for i, line in enumerate(tree):
         if "FileScan" in line and "version=0" in line and "isnull(k" not in line:
             above, depth = [], line.index("FileScan")
@@ -113,7 +113,7 @@ def test_time_travel_prunes_batches(spark, folder):
     for b in range(4):
         t.append_batch(frame(spark, random_log(20, 5, b)), b)
     assert len(t.log(as_of_batch=1).inputFiles()) * 2 == len(t.log().inputFiles())
-    assert "PushedFilters: [IsNotNull(ts), LessThanOrEqual(ts" in plan_of(
+    assert "PushedFilters: [Or(IsNull(ts),LessThanOrEqual(ts" in plan_of(
         t.log(as_of_ts=F.lit("2024-01-01 00:00:10").cast("timestamp_ntz"))
     )
 

@@ -16,6 +16,7 @@ from lakerill.quality import (
     load_rules,
     missing_profile,
     report,
+    score_of_scans,
     score_over_time,
     split,
     summary,
@@ -228,6 +229,71 @@ def test_failing_rows_and_split(spark):
     assert sorted(r.id for r in good.collect()) == [2] and sorted(r.id for r in bad.collect()) == [1, 3, 4, 5]
 
 
+def test_errors_stay_with_their_rule(spark, seeded):
+    rules = [
+        Rule("sales", "good", "row_count", comparison=">"),
+        Rule("products", "good too", "invalid_count", "sku", {"regex": "^P-[0-9]{3}$"}),
+        Rule("products", "bad pattern", "invalid_count", "sku", {"regex": "^P-[0-9"}),
+        Rule("sales", "no limits", "invalid_count", "qty"),
+        Rule("sales", "by zero", "custom", args={"expr": "sum(qty) / (count(id) - count(id))"}),
+        Rule("sales", "good custom", "custom", args={"expr": "max(qty) * 1.0"}, comparison=">"),
+        Rule("sales", "bad cast", "row_count", filter="cast('x' || id as int) > 0", comparison=">"),
+    ]
+    found = {r.check_name: r.status for r in report(seeded, rules, NOW).collect()}
+    good = {"good", "good too", "good custom"}
+    assert found == {r.name: "PASS" if r.name in good else "ERROR" for r in rules}
+
+
+def test_now_in_literals_and_names(spark):
+    df = spark.createDataFrame([("now", 1, NOW), ("current_timestamp", 2, NOW), ("x", 3, NOW)], "text string, now int, t timestamp_ntz")
+    cases = {
+        "text = 'now'": 1, "text = 'now()'": 0, 'text = "current_timestamp"': 1, "now >= 2": 2, "`now` = 3": 1,
+        "t <= now() and text = 'it''s now() '": 0, "t = current_timestamp": 3, "t < CURRENT_TIMESTAMP()": 0, "t = Now ( )": 3,
+    }
+    rules = [Rule("t", text, "row_count", filter=text) for text in cases]
+    assert {r.check_name: r.value for r in report({"t": df}, rules, NOW).collect()} == cases
+
+
+def test_unknown_details_are_refused():
+    with pytest.raises(ValueError, match="valid mim"):
+        load_rules("checks for t:\n  - invalid_count(x) = 0:\n      valid mim: 3")
+
+
+def test_failing_duplicates_orphans_and_times(spark, seeded):
+    rows = [sale(1), sale(1, 2), sale(2, 9), sale(None, 1, ts=NOW - timedelta(days=2)), sale(None, 1), sale(3, None)]
+    df = spark.createDataFrame(rows, SALES.schema)
+    rules = [
+        Rule("sales", "unique", "duplicate_count", "id"),
+        Rule("sales", "no surplus", "surplus_count", "id"),
+        Rule("sales", "product", "orphan_count", "product_id", {"parent": "products", "parent_column": "id"}),
+        Rule("sales", "recent product", "missing_count", "product_id", filter="sale_ts >= now() - interval '1' hour"),
+        Rule("products", "other table", "missing_count", "sku"),
+        Rule("sales", "rows", "row_count", comparison=">"),
+    ]
+    with pytest.raises(ValueError, match="table"):
+        failing_rows(df, rules)
+    got = failing_rows(df, rules, "sales", seeded, NOW)
+    assert got.columns == [*df.columns, "failed_rules"]
+    found = sorted((str(r.id), r.product_id or 0, r.failed_rules) for r in got.collect())
+    assert found == [
+        ("1", 1, ["unique", "no surplus"]), ("1", 2, ["unique", "no surplus"]), ("2", 9, ["product"]),
+        ("3", 0, ["recent product"]), ("None", 1, ["no surplus"]), ("None", 1, ["no surplus"]),
+    ]
+    good, bad = split(df, rules[:1], tables=seeded)
+    assert good.count() == 4 and bad.count() == 2 and good.columns == df.columns
+    later = failing_rows(df, rules[3:4], as_of=NOW + timedelta(days=1))
+    assert later.count() == 0
+    assert failing_rows(df.limit(0), rules, "sales", seeded, NOW).count() == 0
+    assert failing_rows(seeded["sales"], MONITOR_RULES, "sales").count() == 0
+
+
+def test_score_of_scans(spark):
+    rows = [(NOW, True), (NOW, False), (NOW + timedelta(hours=1), True), (NOW + timedelta(days=1), False)]
+    scans = spark.createDataFrame(rows, "scan_ts timestamp_ntz, passed boolean")
+    got = [(r.n_passed, r.n_checks, round(r.score, 3)) for r in score_of_scans(scans).orderBy("period").collect()]
+    assert got == [(2, 3, 0.667), (0, 1, 0.0)]
+
+
 def test_score_over_time(spark):
     rows = [sale(1, ts=NOW), sale(2, qty=0, ts=NOW), sale(3, qty=None, ts=NOW + timedelta(days=1))]
     rules = [r for r in MONITOR_RULES if r.name == "Non-positive quantities"]

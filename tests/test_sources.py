@@ -13,13 +13,16 @@ from lakerill.functions import align, draw, to_millis
 from lakerill.plans.relations import ACCOUNTS
 from lakerill.sources import (
     assign_ids,
+    chunk_bounds,
     chunk_counts,
+    chunk_predicates,
     digit_spine,
     key_range,
     number_spine,
     products_batch,
     products_stream,
     read_changes,
+    read_table,
     register_tables,
     scan,
     seed_products,
@@ -123,12 +126,34 @@ def test_assign_ids_splits_a_hot_value(spark):
 
 def test_snapshot_chunks_cover_every_row_once(spark):
     df = spark.range(10, 107).unionAll(spark.createDataFrame([(None,), (5000,)], "id long"))
-    chunks = chunk_counts(df, "id", (10, 106), 8).orderBy("chunk").collect()
-    assert [r.chunk for r in chunks] == list(range(8)) and sum(r.n_rows for r in chunks) == 99
+    bounds = chunk_bounds(df, "id", 13)
+    chunks = chunk_counts(df, "id", bounds).orderBy("chunk").collect()
+    assert [r.chunk for r in chunks] == list(range(len(bounds) + 1)) and sum(r.n_rows for r in chunks) == 99
+    parts = [df.where(p).count() for p in chunk_predicates("id", bounds)]
+    assert parts == [r.n_rows for r in chunks]
+    assert chunk_bounds(df, "id") == [] and chunk_predicates("id", []) == ["(1 = 1) or id is null"]
     assert key_range(df, "id") == (10, 5000)
     assert key_range(df.where("id < 0"), "id") is None
 
 
+def test_chunks_of_clustered_keys_are_even(spark):
+    df = spark.range(1000).unionAll(spark.range(10**9, 10**9 + 9000))
+    counts = [r.n_rows for r in chunk_counts(df, "id", chunk_bounds(df, "id", 1000)).collect()]
+    assert len(counts) == 10 and max(counts) < 1500
+
+
+def test_a_spine_of_three_digits_is_no_longer(spark):
+    with pytest.raises(ValueError):
+        digit_spine(spark.range(10).toDF("d"), 5000)
+
+
+def test_a_new_column_shows(spark, folder):
+    spark.range(3).write.parquet(f"{folder}/t.parquet")
+    assert read_table(spark, folder, "t").columns == ["id"]
+    spark.range(3).withColumn("v", F.lit(1)).write.mode("overwrite").parquet(f"{folder}/t.parquet")
+    assert read_table(spark, folder, "t").columns == ["id", "v"]
+
+
 def test_snapshot_options():
     options = snapshot_options("jdbc:x", "sales", "id", (1, 900), 4)
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"]) == ("id", "1", "901")

@@ -13,6 +13,7 @@ from lakerill.operators import (
     dedup,
     latest_by_window,
     latest_state,
+    merge,
     net_changes,
     op_counts,
     reconcile,
@@ -143,9 +144,44 @@ def test_before_after_with_gaps_and_null_keys(spark):
 
 def test_hot_keys_are_few(spark):
     log = frame(spark, random_log(1000, 50, 17, hot_share=0.34))
-    hot = hot_keys(log, ["k"], "seq", 100).collect()
-    assert [r.k for r in hot] == [0]
-    assert hot[0].width >= 1
+    hot = hot_keys(log, ["k"], 100).collect()
+    assert [r.k for r in hot] == [0] and hot[0].n > 300
+
+
+def test_a_burst_is_cut_into_even_slices(spark, monkeypatch):
+    """One early change and then a burst: slices go by counts, not by the span of seq."""
+    from lakerill.operators import images
+
+    rows = [("c", 0, START, 1, 0.0, "x")] + [("u", 10**12 + i, START, 1, float(i), "x") for i in range(3000)]
+    cut = []
+    kept = images.materialise
+    monkeypatch.setattr(images, "materialise", lambda df, purpose: cut.append(kept(df, purpose)) or cut[-1])
+    got = before_after(frame(spark, rows, 3), ["k"], ["value", "props"], hot_rows=300)
+    assert {r.seq: pair(r.before) for r in got.collect()} == {s: v[2] for s, v in images_by_hand(rows).items()}
+    slices = [r["count"] for r in cut[-1].groupBy("__slice").count().collect()]
+    assert len(slices) > 5 and max(slices) <= 600
+
+
+def test_a_null_order_is_the_oldest(spark):
+    rows = [("c", None, START, 1, 1.0, "a"), ("c", None, START, 2, 1.0, "a"), ("u", 5, START, 2, 2.0, "b")]
+    log = frame(spark, rows)
+    assert as_dict(latest_state(log, ["k"])) == {1: (1.0, "a"), 2: (2.0, "b")}
+    assert {r.k: r.value for r in latest_state(log.drop("props"), ["k"]).collect()} == {1: 1.0, 2: 2.0}
+
+
+def test_merge_keeps_new_keys_without_order(spark):
+    schema = "op string, k long, v string, a long, b long"
+    base = spark.createDataFrame([("c", 1, "base", 1, 1)], schema)
+    tail = spark.createDataFrame([("c", 1, "tail", None, None), ("c", 2, "tail", None, None)], schema)
+    assert {r.k: r.v for r in merge(base, tail, ["k"], ["a", "b"]).collect()} == {1: "base", 2: "tail"}
+
+
+def test_reconcile_with_a_position_per_chunk(spark):
+    """Chunks read at different positions: of the log only what came after a key's own chunk counts."""
+    rows = random_log(300, 30, 19)
+    log = frame(spark, rows).withColumn("position", F.when(F.col("k") < 15, 100).otherwise(200))
+    snapshot = latest_state(log.where("seq <= position"), ["k"]).drop("seq")
+    assert as_dict(reconcile(snapshot, log.where("seq > position - 50"), ["k"], F.col("position"))) == replay(rows)
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 10])

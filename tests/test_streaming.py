@@ -1,6 +1,7 @@
 """Streams give what the batch gives, also in pieces, restarted, replayed and out of order."""
 
 import random
+import time
 from datetime import timedelta
 
 import pytest
@@ -13,6 +14,7 @@ from lakerill.quality import Rule
 from lakerill.sources import read_changes
 from lakerill.streaming import (
     THROUGHPUT,
+    ClockedScan,
     PeriodicScan,
     ingest_latency,
     last_scan,
@@ -130,8 +132,10 @@ def test_compaction_while_ingesting(spark, folder):
     rows = random_log(300, 30, 67)
     write_feed(spark, folder, rows, 5)
     t = LogTable(spark, f"{folder}/t", ACCOUNTS)
-    run(spark, folder, t, compact_every=2)
-    assert t._base().version == 1 and len(t._parts(None)[1]) == 1
+    run(spark, folder, t, after_batch=lambda table, n: table.compact() if n % 2 else None)  # as a job beside it would
+    everything = t._listed()
+    base, rest = t._parts(everything, everything)
+    assert base.version == 1 and len(rest) == 1
     assert as_dict(t.read()) == replay(rows)
 
 
@@ -171,3 +175,56 @@ def test_stream_dedup(spark, folder):
     q = dedup(feed(spark, folder), ["k"]).writeStream.format("memory").queryName("once").trigger(**ONCE).start()
     q.awaitTermination()
     assert spark.table("once").count() == 50
+
+
+def test_stream_dedup_keeps_late_changes(spark, folder):
+    from lakerill.operators import dedup
+
+    late = [("c", 1, START + timedelta(days=2), 1, 1.0, "x")], [("c", 2, START, 2, 1.0, "y"), ("c", 1, START + timedelta(days=2), 1, 1.0, "x")]
+    for i, rows in enumerate(late):
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+        q = dedup(feed(spark, folder), ["k"]).writeStream.format("parquet").option("checkpointLocation", f"{folder}/cp")
+        q.trigger(**ONCE).start(f"{folder}/out").awaitTermination()
+    assert sorted(r.seq for r in spark.read.parquet(f"{folder}/out").collect()) == [1, 2]
+
+
+def test_a_feed_that_stops_is_scanned_on_and_side_tables_grow(spark, folder):
+    """The clock goes on without commits; every scan reads all tables anew."""
+    t = LogTable(spark, f"{folder}/t", ACCOUNTS).create()
+    side = LogTable(spark, f"{folder}/side", ACCOUNTS).create()
+    t.append_batch(frame(spark, [("c", 1, START, 1, 1.0, "x")]), 0)
+    side.append_batch(frame(spark, [("c", 1, START, 1, 1.0, "x")]), 0)
+    rules = [
+        Rule("accounts", "fresh", "row_count", comparison=">", filter="ts >= now() - interval '1' hour"),
+        Rule("side", "rows", "row_count", comparison=">", threshold=1),
+    ]
+    clock = iter([START, START + timedelta(hours=2), START + timedelta(hours=3)])
+    out = f"{folder}/scans"
+
+    def scans():
+        try:
+            return {r.scan for r in read_scans(spark, out).collect()}
+        except Exception:
+            return set()
+
+    tables = {"accounts": lambda: t.log(), "side": side}
+    scan = ClockedScan(spark, tables, rules, out, every_seconds=4, as_of=lambda: next(clock, START + timedelta(days=1))).start()
+    for n in (1, 2):
+        deadline = time.monotonic() + 60
+        while len(scans()) < n and time.monotonic() < deadline:
+            time.sleep(0.2)
+        side.append_batch(frame(spark, [("c", 1, START, 2, 1.0, "x")]), 1)
+    scan.stop()
+    got = {(r.scan, r.check_name): (r.value, r.passed) for r in read_scans(spark, out).collect()}
+    assert got[0, "fresh"] == (1.0, True) and got[1, "fresh"] == (0.0, False)
+    assert got[0, "rows"] == (1.0, False) and got[max(s for s, _ in got), "rows"] == (2.0, True)
+
+
+def test_a_throughput_table_has_one_stream(spark, folder):
+    rows = [("c", i, START + timedelta(seconds=37 * i), i, 1.0, "x") for i in range(20)]
+    write_feed(spark, folder, rows, 1)
+    t = LogTable(spark, f"{folder}/t", THROUGHPUT)
+    start_throughput(feed(spark, folder), t, f"{folder}/cp", ONCE).awaitTermination()
+    with pytest.raises(Exception, match="another stream"):
+        start_throughput(feed(spark, folder), t, f"{folder}/cp2", ONCE).awaitTermination()
+    assert {r.window_start: r.n_records for r in t.read().collect()} == windows(rows)

@@ -1,7 +1,7 @@
 """Every suite query against its SQL equivalent on the smallest tables."""
 
 import pytest
-from compare import compare, connect
+from compare import compare, connect, library_queries
 from conftest import SMALL
 
 import __spark_entry__ as entry
@@ -15,10 +15,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLE) == set(QUERIES)
+    assert library_queries() <= set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", sorted(library_queries()))
 def test_query(spark, duck, name):
     assert compare(spark, duck, SMALL, QUERIES[name], ORACLE[name]) is None
 
