@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_made: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -28,7 +29,21 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path under the shared root that no other run uses."""
-    return f"{shared_root(spark)}/lakerill/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/lakerill/{purpose}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_folders(spark: SparkSession) -> int:
+    """Delete the folders this process got from ``new_folder``, and return how many there were.
+
+    For the end of a job: frames that read them must not be used any more.
+    """
+    n = len(_made)
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Feeds, snapshots, generators, surrogate keys."""
 
 import json
+import os
 from datetime import datetime
 from decimal import Decimal
 
@@ -214,3 +215,14 @@ def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = session.new_folder(spark, "x"), session.new_folder(spark, "x")
     assert a.startswith(root) and a != b
+
+
+def test_folders_are_cleared(spark, monkeypatch):
+    from lakerill import session
+
+    monkeypatch.setattr(session, "_made", [])
+    df = session.materialise(spark.range(5), "gone")
+    assert df.count() == 5
+    path = session._made[0].removeprefix("file:")
+    assert os.path.exists(path)
+    assert session.clear_folders(spark) == 1 and not os.path.exists(path) and session._made == []
