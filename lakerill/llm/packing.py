@@ -20,7 +20,7 @@ from .text import with_fields
 
 #: Pieces that are packed together on average.
 GROUP = 4096
-_CACHE = 500_000  # chunks of text whose ids a worker remembers
+_CACHE = 200_000  # chunks of text whose ids a worker remembers
 _CHUNK = re.compile(r" (?=\S)")
 _WIDE = re.compile(r" (?!\S)")
 _PIECE = "piece int, start long, length long, ids_crc32 long"

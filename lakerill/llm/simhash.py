@@ -15,7 +15,7 @@ from ..session import materialise
 from .text import with_fields
 
 #: Variants that meet in one task group on average; eight bytes each.
-_GROUP = 8_000_000
+_GROUP = 4_000_000
 _EDGE = "a long, b long"
 
 
@@ -85,7 +85,7 @@ def _collide(radius: int, bits: int):
         made: list[tuple[np.ndarray, np.ndarray]] = []  # the places of fingerprints, and the masks of their variants
         for d in range(half + 1):
             at, masks = np.flatnonzero(away == d), _flips(low, half - d)
-            step = max(1, 4_000_000 // len(masks))
+            step = max(1, 500_000 // len(masks))
             made += [(at[i : i + step], masks) for i in range(0, len(at), step)]
         total = sum(len(at) * len(masks) for at, masks in made)
         variants, filled = np.empty(total, np.uint64), 0

@@ -15,7 +15,7 @@ from .text import batches_of_text, pack, pack_steps, unpack, unpack_steps, with_
 #: The base of the polynomial, odd, so that it has an inverse modulo 2**64; and what it is raised to at most at once.
 _BASE = 0x9E3779B97F4A7C15
 _NO_ID = (1 << 63) - 1  # a null doc_id counts as the largest
-BLOCK = 8 << 20  # bytes of text hashed at once in a task
+BLOCK = 3 << 20  # bytes of text hashed at once in a task
 #: Windows that meet in one group at most, on average; about 60 bytes of memory each.
 GROUP = 1_000_000
 _SHARD = "shard long, ids binary, sums binary, starts binary, at binary, hashes binary"
@@ -116,6 +116,7 @@ def _shards(window: int, bits: int, block: int):
                     )
                 )
             yield _rows(rows, schema)
+            pa.default_memory_pool().release_unused()
 
     return run
 

@@ -33,8 +33,17 @@ def words(text: str | None) -> list[bytes]:
 _shipped: set[str] = set()
 
 
+#: Rows and bytes of an Arrow batch between Spark and Python, at most: documents are much larger than the rows that Spark's
+#: own numbers are made for.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the package to the Python workers of a session, wherever the driver imported it from."""
+    """Give the package to the Python workers of a session, wherever the driver imported it from, and keep their batches small."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{key}").rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]

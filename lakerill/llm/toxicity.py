@@ -24,7 +24,7 @@ LEET = {
 _SIZE = len(LETTERS) + 2  # the boundary is 0, an unknown letter the last
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _LEET_COST, _REPEAT_COST, _DROP_COST, _RARE_COST = log(5), log(4), log(3), log(2000)
-_CACHE = 500_000
+_CACHE = 150_000
 _EDGE = re.compile(r"^[^\w@$]+|[^\w]+$|^[@$]+(?=[@$]|$)")
 _MARKS = ".,;:!?\"'()[]{}#*$%&|<>-_=+~/\\"
 _TRIPLE = re.compile(r"(.)\1\1")
@@ -47,7 +47,7 @@ def _letter_codes() -> np.ndarray:
 
 def _gram_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table, grams = _letter_codes(), np.zeros(_SIZE**3, np.int64)
-    for batch in batches_of_text(batches, "text", 4 << 20):
+    for batch in batches_of_text(batches, "text", 1 << 20):
         text = "\n".join(["", "", *(t for t in batch["text"].to_pylist() if t), ""]).lower()
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
         code = table[np.minimum(points, 0x2FF)]
@@ -161,7 +161,7 @@ def features(word: str) -> list[str]:
 
 def _feature_counts(model: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of_text(batches, "text", 8 << 20):
+        for batch in batches_of_text(batches, "text", 2 << 20):
             counts: dict[str, list[int]] = {}
             for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
                 text = text.lower()
