@@ -186,7 +186,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: i
 
     A document is its ids and then ``end``; one of more than ``capacity`` ids is cut into full pieces after a shorter first
     one. ``tokenizer`` names a byte-level BPE file whose rank file (.tiktoken) lies beside it. Each document leaves at most one
-    piece that is not full. Pieces are dealt by hash to groups of about ``group``, and each group is packed by itself: best
+    piece that is not full. Pieces are dealt by hash to groups of about ``group`` (of full ones as many again), and each group is packed by itself: best
     fit, then moves and exchanges until no bin can be emptied. A group wastes less than a sequence or so, whatever the size of
     the table, and its task's memory does not grow. Groups are dealt by doc_id and content, so a common source or text is
     spread; only rows with equal doc_id and text share a group.
@@ -197,7 +197,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: i
     made = {"text", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
     names = [c for c in docs.columns if c not in made]
     schema = docs.select(*names).schema
-    groups = max(1, -(-docs.count() // group))
+    rows, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    # a document has one piece that isn't full, and full ones by its length: some four bytes a token
+    groups = max(1, -(-rows // group), size // (4 * capacity * group))
     pieces = docs.select(*names, F.col("text").alias("__text")).mapInArrow(
         _pieces(tokenizer, capacity, end, names), with_fields(schema, _PIECE)
     )
