@@ -187,6 +187,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataF
     named = first.join(linked, F.col("print") == F.col("p"), "left").select(
         F.col("print").alias("__print"), F.coalesce("id", "first").alias("component_id")
     )
+    # written, so that both sides of the last join are plain shuffles and a common fingerprint's partition can be split
+    named = materialise(named, "components")
     text = F.lower(F.lpad(F.hex("__print"), 16, "0"))
     return stored.join(named, "__print").select("doc_id", text.alias("fingerprint"), "component_id")
 
