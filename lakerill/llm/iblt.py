@@ -39,13 +39,16 @@ def _cell(key: Column, table: int) -> Column:
     return F.shiftrightunsigned(key, 3 * table).bitwiseAND(_long(WIDTH - 1))
 
 
-def _mark(key: Column) -> Column:
-    """What a key adds to its cells' sums: one, and above it a 31-bit check."""
-    return F.shiftleft(F.shiftrightunsigned(F.xxhash64(key), 33), 24) + 1
+def _check(key: Column) -> Column:
+    """What tells a cell of one key from a cell of several."""
+    return F.xxhash64(key)
 
 
 def sketch(keys: Column) -> Column:
-    """The cells of an array of digests: number, exclusive or of the keys, sum of their marks."""
+    """The cells of an array of digests: number, exclusive or of the keys, count, exclusive or of their checks.
+
+    Nothing in a cell grows but its count, so a text may have any number of digests.
+    """
     def table(t: int) -> Column:
         held = F.transform(F.sequence(_long(0), _long(WIDTH - 1)), lambda i: F.filter(keys, lambda k: _cell(k, t) == i))
         return F.transform(
@@ -53,40 +56,43 @@ def sketch(keys: Column) -> Column:
             lambda own, i: F.struct(
                 (i + WIDTH * t).cast("bigint").alias("c"),
                 F.aggregate(own, _long(0), lambda a, k: a.bitwiseXOR(k)).alias("k"),
-                F.aggregate(own, _long(0), lambda a, k: a + _mark(k)).alias("s"),
+                F.size(own).cast("bigint").alias("n"),
+                F.aggregate(own, _long(0), lambda a, k: a.bitwiseXOR(_check(k))).alias("h"),
             ),
         )
 
     return F.concat(*map(table, range(TABLES)))
 
 
+def _less(a: Column, b: Column) -> Column:
+    """A cell without what another one holds."""
+    return F.struct(
+        a["c"].alias("c"), a["k"].bitwiseXOR(b["k"]).alias("k"), (a["n"] - b["n"]).alias("n"), a["h"].bitwiseXOR(b["h"]).alias("h")
+    )
+
+
 def subtract(a: Column, b: Column) -> Column:
     """The sketch of what only one of two sketches has."""
-    return F.zip_with(
-        a, b, lambda x, y: F.struct(x["c"].alias("c"), x["k"].bitwiseXOR(y["k"]).alias("k"), (x["s"] - y["s"]).alias("s"))
-    )
+    return F.zip_with(a, b, _less)
 
 
 def _held(cells: Column) -> Column:
-    return F.filter(cells, lambda c: (c["k"] != 0) | (c["s"] != 0))
+    return F.filter(cells, lambda c: (c["k"] != 0) | (c["n"] != 0) | (c["h"] != 0))
 
 
 def _peel_round(cells: Column) -> Column:
     """Keys of cells that hold one key alone are taken out of all their cells."""
-    alone = F.filter(cells, lambda c: F.abs(c["s"]) == _mark(c["k"]))
-    keys = F.array_distinct(F.transform(alone, lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"))))
+    alone = F.filter(cells, lambda c: (F.abs(c["n"]) == 1) & (c["h"] == _check(c["k"])))
+    keys = F.array_distinct(F.transform(alone, lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"), c["h"].alias("h"))))
+
     def place(p: Column) -> Column:
-        return F.struct(p["k"].alias("k"), p["s"].alias("s"), *((_cell(p["k"], t) + WIDTH * t).alias(f"c{t}") for t in range(TABLES)))
+        return F.struct(*(p[x].alias(x) for x in "knh"), *((_cell(p["k"], t) + WIDTH * t).alias(f"c{t}") for t in range(TABLES)))
 
     placed = F.transform(keys, place)
 
     def without(c: Column, keys: Column) -> Column:
         own = F.filter(keys, lambda p: (p["c0"] == c["c"]) | (p["c1"] == c["c"]) | (p["c2"] == c["c"]))
-        return F.aggregate(
-            own,
-            c,
-            lambda a, p: F.struct(a["c"].alias("c"), a["k"].bitwiseXOR(p["k"]).alias("k"), (a["s"] - p["s"]).alias("s")),
-        )
+        return F.aggregate(own, c, _less)
 
     return _let(
         placed,
@@ -146,8 +152,8 @@ def likeness(a: Column, b: Column, cells_a: Column | None = None, cells_b: Colum
 
 
 def as_text(cells: Column) -> Column:
-    """A sketch as a string: keys and sums of its cells in hexadecimal."""
-    return F.array_join(F.transform(cells, lambda c: F.concat(F.hex(c["k"]), F.lit("."), F.hex(c["s"]))), " ")
+    """A sketch as a string: keys, counts and checks of its cells in hexadecimal."""
+    return F.array_join(F.transform(cells, lambda c: F.concat_ws(".", F.hex(c["k"]), F.hex(c["n"]), F.hex(c["h"]))), " ")
 
 
 def _slices(docs: DataFrame) -> tuple[list[int], list[int]]:

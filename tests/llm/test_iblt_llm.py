@@ -67,6 +67,18 @@ def test_a_sketch_peels_alone(spark):
     assert {r.n for r in rows} <= {6, None} and sum(r.n == 6 for r in rows) > 85
 
 
+def test_many_different_lines(spark):
+    lines = [f"entry {i}" for i in range(100_000)]
+    texts = spark.createDataFrame([("\n".join(lines), "\n".join(lines[20:]))], "a string, b string")
+    keys = texts.select(iblt.paragraphs("a").alias("a"), iblt.paragraphs("b").alias("b"))
+    assert keys.select(iblt.difference(F.col("a"), F.col("b")).alias("d")).first().d == 20
+    docs = spark.createDataFrame([(2, "\n".join(lines[:6000])), (1, "\n".join(lines[3:6000]))], "doc_id long, text string")
+    got = {r.doc_id: r for r in iblt.fingerprints(docs).collect()}
+    for doc_id, _, digest, near_edited, near_next in plain(docs.collect()):
+        assert got[doc_id].edited_sha256 == digest
+        assert got[doc_id].near_edited == pytest.approx(near_edited) and got[doc_id].near_next == pytest.approx(near_next)
+
+
 def test_main_path_is_native(spark):
     plan = iblt.fingerprints(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
