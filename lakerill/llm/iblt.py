@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 TABLES, WIDTH = 3, 8
 #: A block that does not peel is cut into this many, a power of two; so often at most, then digests are compared one by one.
 SPLIT_BITS, LEVELS = 3, 6
-#: Up to three sentences of a line, or what is left of it.
-_PARAGRAPH = r"(?:[^.!?\n]+[.!?]+ ?){1,3}|[^\n]+"
+#: Up to so many sentences of a line, or what is left of it.
+_PARAGRAPH = r"(?:[^.!?\n]+[.!?]+ ?){1,%d}|[^\n]+"
+_SENTENCE_END = r"\n|(?<=[.!?]) "
 _ROUNDS = TABLES * WIDTH  # each round empties a cell at least
 #: Documents in a slice of the doc_id order, about; and the most slices.
 _SLICE, _MOST_SLICES = 1000, 1 << 16
@@ -27,10 +28,16 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def paragraphs(text: str | Column) -> Column:
-    """The different digests of a text's paragraphs: its lines, cut after every third sentence. A null has none."""
+def paragraphs(text: str | Column, sentences: int = 3) -> Column:
+    """The different digests of a text's paragraphs: its lines, cut after so many sentences. A null has none.
+
+    With one sentence a digest depends on nothing around it; with more, an inserted sentence shifts all later cuts of its line.
+    """
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    pieces = F.regexp_extract_all(text, F.lit(_PARAGRAPH), F.lit(0))
+    if sentences == 1:
+        pieces = F.filter(F.split(text, _SENTENCE_END), lambda p: p != "")
+    else:
+        pieces = F.regexp_extract_all(text, F.lit(_PARAGRAPH % sentences), F.lit(0))
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
@@ -178,7 +185,7 @@ def _slice_of(doc_id: Column, lows: list[int]) -> Column:
     return F.when(doc_id.isNull(), len(lows) - 1).otherwise(F.least(place, F.lit(len(lows) - 1)))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame, sentences: int = 3) -> DataFrame:
     """``doc_id``, ``text``, ``digests``, ``cells`` (their sketch) of every row, and ``next_text``, ``next_digests``,
     ``next_cells`` of the one after it by descending doc_id.
 
@@ -205,7 +212,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     sent = F.when(head, F.array(F.struct("slice", F.lit(0).alias("donor")), F.struct(before.alias("slice"), F.lit(1).alias("donor"))))
     sent = sent.otherwise(F.array(F.struct("slice", F.lit(0).alias("donor"))))
     rows = rows.select("doc_id", "text", F.explode(sent).alias("to")).select("doc_id", "text", "to.slice", "to.donor")
-    rows = rows.repartition("slice").withColumn("digests", paragraphs("text"))
+    rows = rows.repartition("slice").withColumn("digests", paragraphs("text", sentences))
     rows = rows.withColumn("cells", sketch(F.col("digests")))
     order = Window.partitionBy("slice").orderBy(F.col("donor"), F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     rows = rows.select(
@@ -215,26 +222,26 @@ def with_next(docs: DataFrame) -> DataFrame:
     return rows.where("donor = 0").drop("donor")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, sentences: int = 3) -> DataFrame:
     """Fingerprints of every text and of its edited version, and their likeness.
 
     The edited version has its last third (rounded down, in code points) replaced by as much of the beginning of the next document
     (see ``with_next``). Returns ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited``, ``near_next``. Null texts are empty; an empty text's sketch is all zeros. Everything after the one
-    shuffle of the texts happens row by row.
+    shuffle of the texts happens row by row. ``sentences``: of a line in one digest (see ``paragraphs``).
     """
     third = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.length("text") - third), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third)
     )
-    rows = with_next(docs).withColumn("edited", edited)
+    rows = with_next(docs, sentences).withColumn("edited", edited)
     rows = rows.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         "digests",
         "cells",
-        paragraphs("edited").alias("edited_digests"),
+        paragraphs("edited", sentences).alias("edited_digests"),
         "next_digests",
         "next_cells",
     ).withColumn("edited_cells", sketch(F.col("edited_digests")))

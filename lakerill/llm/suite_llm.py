@@ -24,7 +24,7 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return iblt.fingerprints(table(spark, folder, "documents"))
+    return iblt.fingerprints(table(spark, folder, "documents"), sentences=1)
 
 
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from helpers_llm import awkward, documents, empty, sha
 from pyspark.sql import functions as F
 
-from lakerill.llm import iblt
+from lakerill.llm import iblt, suite_llm
 
 
 def plain(rows):
@@ -79,6 +79,24 @@ def test_many_different_lines(spark):
         assert got[doc_id].near_edited == pytest.approx(near_edited) and got[doc_id].near_next == pytest.approx(near_next)
 
 
+def test_an_inserted_sentence_costs_one_digest(spark, folder):
+    line = [f"Sentence number {i} says something." for i in range(40)]
+    rows = [(2, " ".join(["A new one.", *line])), (1, " ".join(line))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: r.near_next for r in suite_llm.op3_fingerprints(spark, folder).collect()}
+    assert got == {1: pytest.approx(40 / 41), 2: pytest.approx(40 / 41)}
+
+
+def test_likeness_of_documents_by_sentences(spark):
+    docs = documents(spark)
+    got = {r.doc_id: r for r in iblt.fingerprints(docs, sentences=1).collect()}
+    pieces = lambda t: {p for p in re.split(r"\n|(?<=[.!?]) ", t or "") if p}
+    order = sorted(docs.collect(), key=lambda r: -r.doc_id)
+    for r, after in zip(order, order[1:] + order[:1]):
+        a, b = pieces(r.text), pieces(after.text)
+        assert got[r.doc_id].near_next == pytest.approx(len(a & b) / len(a | b))
+
+
 def test_main_path_is_native(spark):
     plan = iblt.fingerprints(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
