@@ -40,7 +40,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, placed in sequences of 2048 tokens."""
     ship(spark)
-    return packing.pack_documents(docs, path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, path("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -28,10 +29,11 @@ _PLACED = _PIECE + ", sequence_id long, offset long"
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str):
-    """Ids of a text as 32-bit integers, as the byte-level BPE tokenizer file at ``path`` gives them without special tokens.
+def _encoder(path: str, added: bool = False):
+    """Ids of a text as 32-bit integers, as the byte-level BPE tokenizer file at ``path`` gives them; no token is put around it.
 
-    The rank file beside it holds the same vocabulary for a faster library. The tokenizer starts anew at each space before
+    With ``added``, the file's added tokens inside the text have their own ids, as in the tokenizers library; without, they are
+    ordinary text. The rank file beside it holds the same vocabulary for a faster library. The tokenizer starts anew at each space before
     a word, so the text is cut there, and the ids of frequent chunks are remembered.
     """
     import tiktoken
@@ -54,7 +56,26 @@ def _encoder(path: str):
         first, *rest = _CHUNK.split(text) if _WIDE.search(text) else text.split(" ")
         return array("I", encode(first)).tobytes() + b"".join(map(known.__getitem__, rest))
 
-    return ids
+    own = _added_tokens(path) if added else {}
+    if not own:
+        return ids
+    parts = re.compile("(" + "|".join(map(re.escape, sorted(own, key=len, reverse=True))) + ")")
+
+    def ids_with_added(text: str) -> bytes:
+        # every second part is an added token
+        return b"".join(own[p] if i % 2 else ids(p) for i, p in enumerate(parts.split(text)) if p)
+
+    return ids_with_added
+
+
+def _added_tokens(path: str) -> dict[str, bytes]:
+    """The added tokens of a tokenizer file and their ids; only plain ones, which match wherever they stand."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f).get("added_tokens") or []
+    for t in tokens:
+        if t.get("lstrip") or t.get("rstrip") or t.get("single_word"):
+            raise ValueError(f"the added token {t['content']!r} takes more than its own characters")
+    return {t["content"]: array("I", [t["id"]]).tobytes() for t in tokens}
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -63,9 +84,9 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, min(n, first)), *((i, capacity) for i in range(first, n, capacity))]
 
 
-def _pieces(path: str, capacity: int, end: int, names: list[str]):
+def _pieces(path: str, capacity: int, end: int, names: list[str], added: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = _encoder(path), array("I", [end]).tobytes()
+        encode, last = _encoder(path, added), array("I", [end]).tobytes()
         for batch in batches:
             row, found = [], []
             for i, text in enumerate(batch["__text"]):
@@ -181,11 +202,12 @@ def _place(capacity: int, order: list[str]):
     return run
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, group: int = GROUP) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: int = 0, group: int = GROUP, added: bool = False) -> DataFrame:
     """Pack all documents into as few sequences of at most ``capacity`` tokens as local search finds.
 
     A document is its ids and then ``end``; one of more than ``capacity`` ids is cut into full pieces after a shorter first
-    one. ``tokenizer`` names a byte-level BPE file whose rank file (.tiktoken) lies beside it. Each document leaves at most one
+    one. ``tokenizer`` names a byte-level BPE file whose rank file (.tiktoken) lies beside it; with
+    ``added``, its added tokens inside a text have their own ids, else they are ordinary text. Each document leaves at most one
     piece that is not full. Pieces are dealt by hash to groups of about ``group`` (of full ones as many again), and each group is packed by itself: best
     fit, then moves and exchanges until no bin can be emptied. A group wastes less than a sequence or so, whatever the size of
     the table, and its task's memory does not grow. Groups are dealt by doc_id and content, so a common source or text is
@@ -201,7 +223,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end: i
     # a document has one piece that isn't full, and full ones by its length: some four bytes a token
     groups = max(1, -(-rows // group), size // (4 * capacity * group))
     pieces = docs.select(*names, F.col("text").alias("__text")).mapInArrow(
-        _pieces(tokenizer, capacity, end, names), with_fields(schema, _PIECE)
+        _pieces(tokenizer, capacity, end, names, added), with_fields(schema, _PIECE)
     )
     number = F.pmod(F.xxhash64("doc_id", "ids_crc32", "piece"), F.lit(groups))
     order = ["doc_id", "piece", "ids_crc32", "length"]

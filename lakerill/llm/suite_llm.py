@@ -16,7 +16,7 @@ URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return packing.pack_documents(docs, path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, path("byte_bpe_50k.json"), added=True)
 
 
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:

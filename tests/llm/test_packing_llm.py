@@ -8,7 +8,8 @@ from helpers_llm import awkward, documents, empty
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from lakerill.llm import packing
+import corpus_pipeline
+from lakerill.llm import packing, suite_llm
 
 FILE = path("byte_bpe_50k.json")
 
@@ -105,3 +106,17 @@ def test_ids_of_odd_white_space():
     encode = packing._encoder(FILE)
     for text, want in zip(texts, ids_of(texts)):
         assert np.frombuffer(encode(text), "<u4").tolist() == want[:-1], repr(text)
+
+
+def test_added_tokens_of_the_file(spark, folder):
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", " <|endoftext|>  x", "<|endoftext", "", "it's<|endoftext|>it's", "a\n<|endoftext|>\n b  c"]
+    want = [e.ids for e in Tokenizer.from_file(FILE).encode_batch(texts, add_special_tokens=False)]
+    encode = packing._encoder(FILE, True)
+    for text, ids in zip(texts, want):
+        assert np.frombuffer(encode(text), "<u4").tolist() == ids, repr(text)
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    sums = {i: zlib.crc32(np.array([*ids, 0], "<u4").tobytes()) for i, ids in enumerate(want)}
+    assert {r.doc_id: r.ids_crc32 for r in suite_llm.op1_best_fit_packing(spark, folder).collect()} == sums
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert {r.doc_id: r.ids_crc32 for r in corpus_pipeline.packed(spark, docs, folder).collect()} == sums
