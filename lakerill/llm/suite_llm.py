@@ -6,7 +6,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, iblt, licenses, mixing, packing, quality, simhash, substrings, toxicity, urls
+from . import chat, iblt, licenses, merkle, mixing, packing, quality, simhash, substrings, toxicity, urls
 from .text import table
 
 
@@ -73,6 +73,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.digest(table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_simhash": op2_simhash,
@@ -84,6 +88,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE = {
@@ -184,4 +189,56 @@ kept as (
 select d.doc_id, len(d.w)::bigint as n_words, coalesce(k.n_removed, 0)::bigint as n_removed,
     sha256(coalesce(k.kept, '')) as kept_sha256
 from split d left join kept k on d.doc_id = k.doc_id""",
+    "op11_merkle_manifest": r"""
+with recursive fields as (
+    select row_number() over () as i, doc_id, source, text,
+        coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head,
+        -- crc32, bit by bit: each byte is followed by seven steps without one
+        xor(4294967295, list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(doc_id::varchar, ''),
+            lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+            lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)))) % 5 = 0 as chosen
+    from documents),
+leaves as (
+    select i, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+        case when chosen then sha256(head || coalesce(strlen(text) || ':' || translate(text,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) end as changed
+    from fields),
+placed as (
+    select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as r,
+        count(*) over (partition by source) as n from leaves),
+nodes as (
+    select 0 as level, source, r, n, leaf as h from placed
+    union all
+    select level + 1, source, r // 16, (n + 15) // 16, sha256(string_agg(h, '' order by r))
+    from nodes where n > 1 group by level, source, r // 16, n),
+runs as (select level, source, r // 16 as run, string_agg(h, '' order by r) as joined from nodes where n > 1 group by 1, 2, 3),
+subroots as (
+    select source, h as subroot, row_number() over (order by source nulls first) - 1 as r, count(*) over () as n
+    from nodes where n = 1),
+upper_nodes as (
+    select 0 as level, r, n, subroot as h from subroots
+    union all
+    select level + 1, r // 16, (n + 15) // 16, sha256(string_agg(h, '' order by r))
+    from upper_nodes where n > 1 group by level, r // 16, n),
+upper_runs as (select level, r // 16 as run, string_agg(h, '' order by r) as joined from upper_nodes where n > 1 group by 1, 2),
+folded as (
+    select i, source, 0 as level, r, coalesce(changed, leaf) as h, '' as siblings from placed
+    union all
+    select f.i, f.source, f.level + 1, f.r // 16,
+        sha256(left(u.joined, 64 * (f.r % 16)) || f.h || substr(u.joined, 64 * (f.r % 16) + 65)),
+        f.siblings || left(u.joined, 64 * (f.r % 16)) || substr(u.joined, 64 * (f.r % 16) + 65)
+    from folded f join runs u on u.level = f.level and u.source is not distinct from f.source and u.run = f.r // 16),
+below as (select * from folded qualify row_number() over (partition by i order by level desc) = 1),
+above as (
+    select b.i, 0 as level, s.r, b.h, b.siblings from below b join subroots s on s.source is not distinct from b.source
+    union all
+    select f.i, f.level + 1, f.r // 16,
+        sha256(left(u.joined, 64 * (f.r % 16)) || f.h || substr(u.joined, 64 * (f.r % 16) + 65)),
+        f.siblings || left(u.joined, 64 * (f.r % 16)) || substr(u.joined, 64 * (f.r % 16) + 65)
+    from above f join upper_runs u on u.level = f.level and u.run = f.r // 16),
+done as (select * from above qualify row_number() over (partition by i order by level desc) = 1),
+top as (select h as root from upper_nodes where n = 1)
+select p.doc_id, p.leaf, s.subroot, t.root, sha256(d.siblings) as proof_sha256, d.h as folded_root, d.h = t.root as verified
+from placed p join subroots s on s.source is not distinct from p.source join done d on d.i = p.i cross join top t""",
 }

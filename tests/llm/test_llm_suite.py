@@ -16,7 +16,7 @@ PLAIN = ["op1_best_fit_packing", "op2_simhash", "op3_fingerprints", "op4_license
 def test_registered():
     assert {*suite_llm.QUERIES, "pipeline"} <= set(entry.queries())
     assert set(suite_llm.ORACLE) <= set(suite_llm.QUERIES)
-    assert len({n.split("_")[0] for n in suite_llm.QUERIES}) == 10
+    assert len({n.split("_")[0] for n in suite_llm.QUERIES}) == len(suite_llm.QUERIES)
 
 
 @pytest.mark.parametrize("name", list(suite_llm.ORACLE))
