@@ -6,7 +6,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, iblt, licenses, merkle, mixing, packing, quality, simhash, substrings, toxicity, urls
+from . import chat, divergence, iblt, licenses, merkle, mixing, packing, quality, simhash, substrings, toxicity, urls
 from .text import table
 
 
@@ -77,6 +77,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.audit(table(spark, folder, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_simhash": op2_simhash,
@@ -89,6 +93,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 ORACLE = {
@@ -241,4 +246,35 @@ done as (select * from above qualify row_number() over (partition by i order by
 top as (select h as root from upper_nodes where n = 1)
 select p.doc_id, p.leaf, s.subroot, t.root, sha256(d.siblings) as proof_sha256, d.h as folded_root, d.h = t.root as verified
 from placed p join subroots s on s.source is not distinct from p.source join done d on d.i = p.i cross join top t""",
+    "op12_source_divergence": r"""
+with docs as (
+    select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as t
+    from documents),
+words as (select d, lang, source, unnest(t) as term from docs),
+kept as (select lang, term, count(*)::hugeint as total from words group by 1, 2 having count(distinct d) >= 30),
+langs as (select lang, count(*)::hugeint as v, sum(total)::hugeint as n from kept group by 1),
+counts as (select lang, source, term, count(*)::hugeint as n from words join kept using (lang, term) group by 1, 2, 3),
+groups as (
+    select g.lang, g.source, coalesce(l.v, 0) as v, coalesce(l.n, 0) as lang_n,
+        coalesce((select sum(n) from counts c where c.lang = g.lang and c.source = g.source), 0)::hugeint as n
+    from (select distinct lang, source from docs) g left join langs l on l.lang = g.lang),
+shares as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0) as c,
+        1 + 1000000000::hugeint * (coalesce(c.n, 0) + 5) // (g.n + 5 * g.v) as p,
+        1 + 1000000000::hugeint * (k.total + 5) // (g.lang_n + 5 * g.v) as q
+    from groups g join kept k on k.lang = g.lang
+    left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+pairs as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0)::bigint as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join (select x.lang, x.source as a, y.source as b, sum(abs(x.p - y.p)) as value from shares x
+        join shares y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by 1, 2, 3) s
+        on s.lang = a.lang and s.a = a.source and s.b = b.source),
+items as (
+    select * from pairs
+    union all select lang, source, 'term', term, (p - q)::bigint from shares where c > 0 and p > q),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from items)
+select * from ranked where part = 'pair' or rank <= 50""",
 }
