@@ -6,7 +6,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, divergence, iblt, licenses, merkle, mixing, packing, quality, simhash, substrings, toxicity, urls
+from . import chat, divergence, iblt, licenses, merkle, mixing, packing, pii, quality, simhash, substrings, toxicity, urls
 from .text import table
 
 
@@ -81,6 +81,10 @@ def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+def op13_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_simhash": op2_simhash,
@@ -94,6 +98,7 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_source_divergence": op12_source_divergence,
+    "op13_pii": op13_pii,
 }
 
 ORACLE = {
