@@ -127,7 +127,7 @@ def _numbers(text: str, blocked: list[tuple[int, int]]) -> Iterator[tuple]:
 
     def grow(i: int) -> Iterator[tuple]:
         first, groups, separators = runs[i][0], [], []
-        total = 0
+        cue, total = "", 0
         for j in range(i, min(i + GROUPS, len(runs))):
             a, b = runs[j]
             if j > i:
@@ -138,7 +138,9 @@ def _numbers(text: str, blocked: list[tuple[int, int]]) -> Iterator[tuple]:
                 return
             if text[b : b + 1].isalpha() or text[b : b + 1] == "_":
                 continue
-            yield from _number(text, first, b, groups, separators, total)
+            if total >= 4:
+                cue = cue or _cue(text, first)
+                yield from _number(text, first, b, groups, separators, total, cue)
 
     for m in _RUN.finditer(text):
         while at < len(blocked) and blocked[at][1] <= m.start():
@@ -158,9 +160,9 @@ def _numbers(text: str, blocked: list[tuple[int, int]]) -> Iterator[tuple]:
         yield from grow(i)
 
 
-def _number(text: str, first: int, end: int, groups: list[str], separators: list[str], total: int) -> Iterator[tuple]:
+def _number(text: str, first: int, end: int, groups: list[str], separators: list[str], total: int, cue: str) -> Iterator[tuple]:
     lengths = [len(g) for g in groups]
-    if total < 4:
+    if total < 7 and len(groups) != 4:
         return
     shape = _shape("." if s == "." else "(.)" if "." in s or "ot" in s.lower() else s.strip() or " " for s in separators)
     wide = any(len(s) > 1 for s in separators)
@@ -172,7 +174,7 @@ def _number(text: str, first: int, end: int, groups: list[str], separators: list
     def made(kind: str, start: int, more: list[str]) -> tuple:
         left, right = _around(text, start, end)
         before, after = _beside(text, start, end)
-        told = [*common, *more, f"cue={_cue(text, start)}", f"left={left}", f"right={right}", f"before={before}", f"after={after}"]
+        told = [*common, *more, f"cue={cue}", f"left={left}", f"right={right}", f"before={before}", f"after={after}"]
         return start, end, kind, [f"{kind}:{x}" for x in ("", *told)]
 
     if len(groups) == 4 and max(lengths) <= 3:
