@@ -5,21 +5,34 @@ Every stream here takes what the table's folder holds and stops; a continuous jo
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import LogTable
+from ..operators import LogTable, changelog_kinds
 from ..quality import Rule
 from ..session import new_folder
-from ..sources import read_changes, read_table, stream_table
-from ..specs import PRODUCTS
+from ..sources import good_changes, image_schema, read_changes, read_images, read_table, stream_table
+from ..specs import BIGINT, DOUBLE, PRODUCTS, SALES, STRING, TIMESTAMP, TableSpec, schema_of
 from ..streaming import (
+    SALES_VIEW,
     THROUGHPUT,
     PeriodicScan,
+    dropped_late,
+    end_feed,
     last_scan,
+    read_broken,
     read_metrics,
+    read_scans,
+    start_closed_throughput,
+    start_image_ingest,
+    start_incremental_scan,
     start_ingest,
+    start_once_ingest,
+    start_sales_view,
     start_throughput,
     throughput,
+    view_daily,
+    view_tiles,
 )
 from .analytics import data_latency
 from .relations import (
@@ -135,6 +148,174 @@ def _latency(spark, folder):
     return data_latency(log, as_of=log.agg(F.max("ts")).scalar(), by="op")
 
 
+#: Users whose account changes its key now and then, in the feed with images.
+PEOPLE = TableSpec("people", schema_of(k=BIGINT, value=DOUBLE, props=STRING, at=TIMESTAMP), ("k",))
+_MOVE = 100_000
+
+
+def _image_lines(spark, folder):
+    """The events as JSON records with the images before and after, some of them broken.
+
+    Every seventh purchase moves its user to another key. A delete of an absent row leaves no record. Besides the good records
+    there are torn ones, some without a position, without an image, with an unknown operation and without a key.
+    """
+    log = as_changes(read_table(spark, folder, "events"))
+    moves = ((F.col("op") == "u") & (F.col("seq") % 7 == 0)).cast("bigint")
+    of_user = Window.partitionBy("k").orderBy("seq")
+    moved = F.sum(moves).over(of_user)
+    rows = log.withColumn("own", F.col("k") + _MOVE * moved)
+    image = F.struct(F.col("own").alias("k"), "value", "props", F.col("ts").alias("at"))
+    rows = rows.withColumn("after", F.when(F.col("op") != "d", image))
+    rows = rows.withColumn("before", F.lag("after").over(of_user)).where("before is not null or after is not null")
+    record = F.struct("op", "seq", "ts", "before", "after")
+    kept = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    line = F.to_json(record, kept)
+    torn = rows.where("seq % 11 = 3").select(F.substring(line, F.lit(1), F.length(line) - 9).alias("value"))
+    blank = lambda **changed: F.to_json(F.struct(*(changed.get(c, F.col(c)).alias(c) for c in ("op", "seq", "ts", "before", "after"))), kept)
+    unplaced = rows.where("seq % 13 = 5").select(blank(seq=F.lit(None).cast("bigint")).alias("value"))
+    unknown = rows.where("seq % 17 = 4").select(blank(op=F.lit("x")).alias("value"))
+    gone = F.lit(None).cast(image_schema(PEOPLE)["after"].dataType)
+    bare = rows.where("seq % 19 = 1").select(blank(before=gone, after=gone).alias("value"))
+    keyless = rows.where("seq % 23 = 2 and op <> 'd'").select(blank(after=F.col("after").withField("k", F.lit(None).cast("bigint"))).alias("value"))
+    return rows.select("seq", line.alias("value")), [torn, unplaced, unknown, bare, keyless]
+
+
+def _image_feed(spark, folder, root):
+    good, broken = _image_lines(spark, folder)
+    lines = good.select("value")
+    for more in broken:
+        lines = lines.unionAll(more)
+    # a file to a micro-batch, dealt by the text
+    lines.repartition(BATCHES, "value").write.text(f"{root}/feed")
+    return f"{root}/feed"
+
+
+def _image_kinds(spark, folder):
+    """Row kinds of a feed with images, read as a batch."""
+    records = read_images(spark, _image_feed(spark, folder, new_folder(spark, "images")), PEOPLE)
+    return changelog_kinds(good_changes(records, PEOPLE), ["k"], ["value", "props", "at"])
+
+
+def _image_table(spark, folder):
+    root = new_folder(spark, "image-feed")
+    table = LogTable(spark, f"{root}/table", PEOPLE)
+    records = read_images(spark, _image_feed(spark, folder, root), PEOPLE, streaming=True, max_files=1)
+    start_image_ingest(records, table, f"{root}/checkpoint", ONCE).awaitTermination()
+    return table
+
+
+def _broken(spark, folder):
+    """The broken records that the ingest of a feed with images has put aside."""
+    return read_broken(_image_table(spark, folder)).groupBy("reason").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+#: Rules whose values are kept by increments.
+KEPT_RULES = (
+    *ACCOUNT_RULES,
+    Rule("accounts", "value is spread", "duplicate_count", "value", threshold=10, comparison="<="),
+    Rule("accounts", "props differ", "surplus_count", "props", filter="value > 50"),
+    Rule("accounts", "few large", "row_count", threshold=100, comparison="<", filter="value > 100"),
+)
+
+
+def _dealt(rows, root, batches):
+    """Write rows as files that a stream takes one after the other; ``batches`` are conditions."""
+    for condition in batches:
+        rows.where(condition).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+
+
+def _incremental(spark, folder):
+    """A report after each of four micro-batches, whose changes are dealt by their position's remainder: all out of order."""
+    root = new_folder(spark, "increments")
+    _dealt(as_changes(read_table(spark, folder, "events")), root, [F.col("seq") % BATCHES == i for i in range(BATCHES)])
+    feed = read_changes(spark, f"{root}/feed", ACCOUNTS, streaming=True, max_files=1)
+    start_incremental_scan(feed, ACCOUNTS, KEPT_RULES, f"{root}/scans", f"{root}/checkpoint", ONCE).awaitTermination()
+    return read_scans(spark, f"{root}/scans").drop("scan_ts")
+
+
+def _sales_feed(spark, folder, root):
+    """Orders as sales: all inserted, every fifth updated to another product, day, amount and price, every seventh
+    deleted, every 21st inserted again; out of order."""
+    orders = read_table(spark, folder, "orders")
+    key, even = F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(10,2)")
+    sale = [
+        key.alias("id"), F.col("o_custkey").cast("int").alias("product_id"), (1 + key % 7).cast("int").alias("qty"), even.alias("price"),
+        F.col("o_orderdate").alias("sale_ts"),
+    ]
+    moved = [
+        key.alias("id"), (F.col("o_custkey") % 100).cast("int").alias("product_id"), (2 + key % 7).cast("int").alias("qty"),
+        (even + 1).cast("decimal(10,2)").alias("price"), (F.col("o_orderdate") + F.expr("interval 1 day")).alias("sale_ts"),
+    ]
+
+    def step(op, place, columns, every=1):
+        meta = [F.lit(op).alias("op"), (key * 4 + place).alias("seq"), F.col("o_orderdate").alias("ts")]
+        return orders.where(key % every == 0).select(*meta, *columns)
+
+    rows = step("c", 0, sale).unionAll(step("u", 1, moved, 5)).unionAll(step("d", 2, sale, 7)).unionAll(step("c", 3, moved, 21))
+    rows.repartition(BATCHES, "seq").write.option("maxRecordsPerFile", 0).parquet(f"{root}/feed")
+    return read_changes(spark, f"{root}/feed", SALES, streaming=True, max_files=1)
+
+
+def _sales_view(spark, folder):
+    root = new_folder(spark, "view")
+    view = LogTable(spark, f"{root}/view", SALES_VIEW)
+    start_sales_view(_sales_feed(spark, folder, root), SALES, view, f"{root}/checkpoint", ONCE).awaitTermination()
+    return view.read()
+
+
+def _quarters(log):
+    """Quarters of a log by position, and their last times."""
+    quarter = F.floor(F.col("seq") * 4 / (F.lit(log.agg(F.max("seq")).scalar()) + 1))
+    times = log.groupBy(quarter.alias("q")).agg(F.unix_micros(F.max("ts").cast("timestamp")).alias("last")).collect()
+    return quarter, {r["q"]: r["last"] for r in times}
+
+
+def _delivered_again(spark, folder):
+    """Four batches of a quarter each: each quarter comes again with the next, the first once more with the last, too late.
+
+    The lateness is such that the watermark of the last batch is the first quarter's end.
+    """
+    root = new_folder(spark, "again")
+    log = as_changes(read_table(spark, folder, "events"))
+    quarter, last = _quarters(log)
+    _dealt(log, root, [quarter == 0, quarter <= 1, quarter.isin(1, 2), quarter.isin(0, 2, 3)])
+    lateness = last[1] // 1000 + -last[0] // 1000
+    table = LogTable(spark, f"{root}/table", ACCOUNTS)
+    feed = read_changes(spark, f"{root}/feed", ACCOUNTS, streaming=True, max_files=1)
+    query = start_once_ingest(feed, table, f"{root}/checkpoint", f"{lateness} milliseconds", ONCE)
+    query.awaitTermination()
+    return table, query
+
+
+def _once(spark, folder):
+    return _delivered_again(spark, folder)[0].log().select("k", "seq", "op", "ts", "value", "props")
+
+
+def _once_counts(spark, folder):
+    table, query = _delivered_again(spark, folder)
+    return table.log().agg(F.count(F.lit(1)).alias("n_kept"), F.lit(dropped_late(query)).cast("bigint").alias("n_late"))
+
+
+def _closed(spark, folder):
+    """Windows closed while the feed runs, and the rest when it has ended, from the log: a window written twice would show."""
+    root = new_folder(spark, "closed")
+    log = as_changes(read_table(spark, folder, "events"))
+    quarter, _ = _quarters(log)
+    _dealt(log, root, [quarter == i for i in range(4)])
+    spark.createDataFrame([], "event_ts timestamp_ntz").write.parquet(f"{root}/markers")
+    table = LogTable(spark, f"{root}/table", THROUGHPUT)
+
+    def run():
+        feed = read_changes(spark, f"{root}/feed", ACCOUNTS, streaming=True, max_files=1)
+        query = start_closed_throughput(feed, table, f"{root}/checkpoint", f"{root}/markers", ONCE, "10 minutes")
+        query.awaitTermination()
+
+    run()
+    end_feed(spark, f"{root}/markers")
+    run()
+    return table.log().select("window_start", "window_end", "n_records")
+
+
 QUERIES = {
     "stream_cdc_upsert": _upsert,
     "stream_replay_idempotent": _replay,
@@ -144,8 +325,62 @@ QUERIES = {
     "stream_throughput_5min": _throughput_stream,
     "data_latency": _latency,
     "stream_two_tables": _two_tables,
+    "cdc_image_feed": _image_kinds,
+    "stream_image_feed": lambda s, d: _image_table(s, d).read(),
+    "stream_image_feed_broken": _broken,
+    "stream_quality_incremental": _incremental,
+    "stream_dashboard_tiles": lambda s, d: view_tiles(_sales_view(s, d)),
+    "stream_daily_revenue": lambda s, d: view_daily(_sales_view(s, d)),
+    "stream_dedup": _once,
+    "stream_dedup_late": _once_counts,
+    "stream_throughput_closed": _closed,
 }
 
+#: Records of the feed with images that are good, and the state they lead to.
+_PEOPLE = """with keyed as (
+    select *, k + 100000 * sum(case when op = 'u' and seq % 7 = 0 then 1 else 0 end) over (partition by k order by seq) as own
+    from chg),
+images as (
+    select seq, op, own, value, props, ts as "at", lag(op) over w as was, lag(own) over w as own_b, lag(value) over w as value_b,
+        lag(props) over w as props_b, lag(ts) over w as at_b
+    from keyed window w as (partition by k order by seq)),
+records as (select *, coalesce(was <> 'd', false) as had, op <> 'd' as has from images where coalesce(was <> 'd', false) or op <> 'd')"""
+
+_KINDS = f"""{_PEOPLE}
+    select cast(own_b as bigint) as k, seq, '-D' as kind, value_b as value, props_b as props, at_b as "at" from records
+        where had and (not has or own <> own_b)
+    union all select cast(own as bigint), seq, '+I', value, props, "at" from records where has and (not had or own <> own_b)
+    union all select cast(own as bigint), seq, '-U', value_b, props_b, at_b from records where had and has and own = own_b
+    union all select cast(own as bigint), seq, '+U', value, props, "at" from records where had and has and own = own_b"""
+
+
+def _scan_sql(number):
+    """The report on the changes that the first batches bring."""
+    log = f"(select * from chg where seq % {BATCHES} <= {number})"
+    state = f"(select * from (select *, row_number() over (partition by k order by seq desc) as rn from {log}) where rn = 1 and op <> 'd')"
+    checks = [
+        ("has accounts", f"select count(*) from {state}", ">", 0),
+        ("key is known", f"select count(*) from {state} where k is null", "=", 0),
+        ("key is unique", f"select count(*) from (select k from {state} where k is not null group by k having count(*) > 1)", "=", 0),
+        ("value above 10", f"select count(*) from {state} where value <= 10", "=", 0),
+        ("value is spread", f"select count(*) from (select value from {state} where value is not null group by value having count(*) > 1)", "<=", 10),
+        ("props differ", f"select count(*) - count(distinct props) from {state} where value > 50", "=", 0),
+        ("few large", f"select count(*) from {state} where value > 100", "<", 100),
+    ]
+    rows = " union all ".join(
+        f"select '{name}' as check_name, cast(({value}) as double) as value, {limit}.0::double as threshold, ({value}) {sign} {limit} as passed"
+        for name, value, sign, limit in checks
+    )
+    return f"""select 'accounts' as "table", *, case when passed then 'PASS' else 'FAIL' end as status, {number}::bigint as scan from ({rows})"""
+
+
+_LIVE_SALES = """with live as (
+    select case when o_orderkey % 5 = 0 or o_orderkey % 21 = 0 then o_custkey % 100 else o_custkey end::integer as product_id,
+        1 + o_orderkey % 7 + case when o_orderkey % 5 = 0 or o_orderkey % 21 = 0 then 1 else 0 end as qty,
+        cast(o_totalprice as decimal(10,2)) + case when o_orderkey % 5 = 0 or o_orderkey % 21 = 0 then 1 else 0 end as price,
+        cast(o_orderdate as date) + case when o_orderkey % 5 = 0 or o_orderkey % 21 = 0 then 1 else 0 end as day
+    from orders where o_orderkey % 7 <> 0 or o_orderkey % 21 = 0)"""
+
 _WINDOWS = """select time_bucket(interval '5 minutes', ts) as window_start,
     time_bucket(interval '5 minutes', ts) + interval '5 minutes' as window_end, count(*) as n_records
     from events group by 1, 2"""
@@ -187,4 +422,40 @@ ORACLE = {
         from sales) ranked where rn = 1""",
         "products", "sales",
     ),
+    "cdc_image_feed": with_relations(_KINDS, "chg"),
+    "stream_image_feed": with_relations(
+        f"""{_PEOPLE},
+        log as (
+            select own as k, seq, has, value, props, "at" from records where has
+            union all select own_b, seq, false, null, null, null from records where had and (not has or own <> own_b))
+        select cast(k as bigint) as k, value, props, cast(date_trunc('millisecond', "at") as timestamp) as "at" from
+        (select *, row_number() over (partition by k order by seq desc) as rn from log) where rn = 1 and has""",
+        "chg",
+    ),
+    "stream_image_feed_broken": with_relations(
+        f"""{_PEOPLE}
+        select * from (
+            select 'not a record' as reason, count(*) as n_records from records where seq % 11 = 3
+            union all select 'no position', count(*) from records where seq % 13 = 5
+            union all select 'unknown operation', count(*) from records where seq % 17 = 4
+            union all select 'no image', count(*) from records where seq % 19 = 1
+            union all select 'no key', count(*) from records where seq % 23 = 2 and op <> 'd') where n_records > 0""",
+        "chg",
+    ),
+    "stream_quality_incremental": with_relations(" union all ".join(map(_scan_sql, range(BATCHES))), "chg"),
+    "stream_dashboard_tiles": f"""{_LIVE_SALES}
+        select product_id, cast(grouping(product_id) as integer) as is_total, count(*) as sales_count, cast(sum(qty) as bigint) as total_units,
+            cast(sum(price) as double) as total_price
+        from live group by grouping sets ((product_id), ())""",
+    "stream_daily_revenue": f"""{_LIVE_SALES}
+        select day as sale_date, count(*) as daily_sales, cast(sum(qty * price) as double) as revenue,
+            cast(sum(qty * price) as double) / count(*) as average_order_value
+        from live group by day""",
+    "stream_dedup": with_relations(
+        "select k, seq, op, cast(date_trunc('millisecond', ts) as timestamp) as ts, value, props from chg", "chg"
+    ),
+    "stream_dedup_late": with_relations(
+        """select count(*) as n_kept, count(*) filter (where seq * 4 // ((select max(seq) from chg) + 1) = 0) as n_late from chg""", "chg"
+    ),
+    "stream_throughput_closed": _WINDOWS,
 }

@@ -91,7 +91,7 @@ def _text_literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _rows(measured: DataFrame, rules: Sequence[tuple[Rule, str]], error: bool = False) -> DataFrame:
+def value_rows(measured: DataFrame, rules: Sequence[tuple[Rule, str]], error: bool = False) -> DataFrame:
     """One row per rule from a one-row frame that holds each rule's value in the column named with it."""
     cells = ", ".join(
         f"struct({_text_literal(r.table)} as `table`, {_text_literal(r.name)} as check_name,"
@@ -102,7 +102,7 @@ def _rows(measured: DataFrame, rules: Sequence[tuple[Rule, str]], error: bool =
     return measured.selectExpr(f"inline(array({cells}))")
 
 
-def _judged(results: DataFrame) -> DataFrame:
+def judged(results: DataFrame) -> DataFrame:
     outcomes = " ".join(f"when '{c}' then value {c} threshold" for c in COMPARISONS)
     return results.selectExpr(
         "`table`", "check_name", "value", "threshold", f"coalesce(case comparison {outcomes} end, false) as passed", "broken"
@@ -118,7 +118,7 @@ def _judged(results: DataFrame) -> DataFrame:
 
 def _together(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     measured = df.agg(*[_measure(r, df).alias(f"v{i}") for i, r in enumerate(rules)])
-    return _rows(measured, [(r, f"v{i}") for i, r in enumerate(rules)])
+    return value_rows(measured, [(r, f"v{i}") for i, r in enumerate(rules)])
 
 
 def _alone(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -128,11 +128,11 @@ def _alone(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame]) -> DataFr
         value = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("v"))
     else:
         value = _filtered(df, rule).agg(_measure(rule, df).alias("v"))
-    return _rows(value, [(rule, "v")])
+    return value_rows(value, [(rule, "v")])
 
 
 def _duplicates(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    return _rows(_values(df, rules[0]), [(r, r.metric) for r in rules])
+    return value_rows(_values(df, rules[0]), [(r, r.metric) for r in rules])
 
 
 def _table_parts(df: DataFrame, rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> list[DataFrame]:
@@ -186,8 +186,8 @@ def report(
         parts += found
         broken += failed
     if broken:
-        parts.append(_rows(session.range(1), [(r, "null") for r in broken], error=True))
-    return _judged(reduce(DataFrame.unionAll, parts))
+        parts.append(value_rows(session.range(1), [(r, "null") for r in broken], error=True))
+    return judged(reduce(DataFrame.unionAll, parts))
 
 
 def _tried(
@@ -206,7 +206,7 @@ def _tried(
         by_name = {(r["table"], r["check_name"]): r["value"] for r in rows}
         held = [by_name[r.table, r.name] for r in some]
         shown = [("null" if v is None else f"double('{v!r}')") for v in held]
-        return [_rows(df.sparkSession.range(1), list(zip(some, shown)))]
+        return [value_rows(df.sparkSession.range(1), list(zip(some, shown)))]
 
     try:
         return values(rules), []

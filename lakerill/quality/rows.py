@@ -68,7 +68,7 @@ def with_time(df: DataFrame, rules: Iterable[Rule], as_of: Column | datetime | s
     return df.withColumn(_AS_OF, as_of_column(as_of)) if any(map(needs_time, rules)) else df
 
 
-def _filter(rule: Rule) -> Column:
+def row_filter(rule: Rule) -> Column:
     return F.coalesce(F.expr(at_time(rule.filter)), F.lit(False)) if rule.filter else F.lit(True)
 
 
@@ -80,7 +80,7 @@ def fails(rule: Rule, schema: T.StructType) -> Column:
         bad = F.col(rule.column).isNull()
     else:
         bad = invalid(rule.column, rule.args, schema[rule.column].dataType)
-    return F.coalesce(bad & _filter(rule), F.lit(False))
+    return F.coalesce(bad & row_filter(rule), F.lit(False))
 
 
 def judging_rules(rules: Iterable[Rule], table: str | None = None) -> list[Rule]:
@@ -113,7 +113,7 @@ def _flagged(
             continue
         value = F.col(rule.column)
         if rule.metric in _REPEATS:
-            counts = df.where(_filter(rule)).groupBy(value.alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+            counts = df.where(row_filter(rule)).groupBy(value.alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
             known = counts.where("__n > 1").select("__value", F.lit(True).alias("__known"))
             if rule.metric == "duplicate_count":
                 known = known.where("__value is not null")
@@ -123,7 +123,7 @@ def _flagged(
             known = parent.where("__value is not null").distinct().withColumn("__known", F.lit(True))
             bad = value.isNotNull() & F.col("__known").isNull()
         same = value.eqNullSafe(F.col("__value")) if rule.metric == "surplus_count" else value == F.col("__value")
-        df = df.join(known, same, "left").withColumn(flag, bad & _filter(rule)).drop("__value", "__known")
+        df = df.join(known, same, "left").withColumn(flag, bad & row_filter(rule)).drop("__value", "__known")
     return df, flags
 
 

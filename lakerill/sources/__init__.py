@@ -1,6 +1,6 @@
 """Reading tables and change feeds, and generating rows."""
 
-from .changes import flatten_images, read_changes
+from .changes import flatten_images, good_changes, image_schema, parse_images, read_changes, read_images
 from .generators import (
     EVERY_TWO_MINUTES,
     digit_spine,
@@ -32,11 +32,15 @@ __all__ = [
     "chunk_predicates",
     "digit_spine",
     "flatten_images",
+    "good_changes",
+    "image_schema",
     "key_range",
     "number_spine",
+    "parse_images",
     "products_batch",
     "products_stream",
     "read_changes",
+    "read_images",
     "read_table",
     "register_tables",
     "scan",

@@ -53,3 +53,52 @@ def flatten_images(records: DataFrame, spec: TableSpec) -> DataFrame:
     flat = records.select("seq", "ts", F.explode(steps).alias("step"))
     meta = ["step.op", "seq", "ts"]
     return flat.select(*meta, *[f"step.row.{c}" for c in spec.columns])
+
+
+#: Operations of a record with images: insert, update, delete, and a row read by a snapshot. Fixed values.
+OPERATIONS = ("c", "u", "d", "r")
+_CORRUPT = "__corrupt"
+
+
+def parse_images(lines: DataFrame, spec: TableSpec, line: str = "value") -> DataFrame:
+    """JSON records with images, one to a row of text, as ``op, seq, ts, before, after`` with ``line`` and ``reason``.
+
+    Nothing stops at a broken record: ``reason`` says what is wrong with it and is null for a good one. A record has to be JSON whose
+    fields have their types (a field may be absent), a known operation, a position, the images that its operation needs
+    (``after``, or ``before`` of a delete) and a key in each image it has.
+    """
+    schema = image_schema(spec)
+    parsed = F.from_json(
+        line, T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    )
+    rows = lines.select(F.col(line).alias("__line"), parsed.alias("r"))
+    op, before, after = F.col("r.op"), F.col("r.before"), F.col("r.after")
+    keyless = F.lit(False)
+    for k in spec.key:
+        keyless = keyless | (before.isNotNull() & F.col(f"r.before.{k}").isNull()) | (after.isNotNull() & F.col(f"r.after.{k}").isNull())
+    deletes = op == DELETE
+    reason = (
+        F.when(F.col("r").isNull() | F.col(f"r.{_CORRUPT}").isNotNull(), "not a record")
+        .when(op.isNull() | ~op.isin(*OPERATIONS), "unknown operation")
+        .when(F.col("r.seq").isNull(), "no position")
+        .when((deletes & before.isNull()) | (~deletes & after.isNull()), "no image")
+        .when(keyless, "no key")
+    )
+    # read for a snapshot is an insert
+    fields = [F.when(op == "r", "c").otherwise(op).alias("op"), "r.seq", "r.ts", before.alias("before"), after.alias("after")]
+    return rows.select(*fields, F.col("__line").alias(line), reason.alias("reason"))
+
+
+def read_images(
+    spark: SparkSession, path: str, spec: TableSpec, streaming: bool = False, max_files: int | None = None
+) -> DataFrame:
+    """Records with images from a folder of JSON lines, broken ones included (see ``parse_images``)."""
+    reader = spark.readStream if streaming else spark.read
+    if streaming and max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return parse_images(reader.text(path), spec)
+
+
+def good_changes(records: DataFrame, spec: TableSpec) -> DataFrame:
+    """The good ones among parsed records as flat change records; a changed key is a delete and an insert."""
+    return flatten_images(records.where("reason is null"), spec)

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.lake import LogTable
-from ..sources import files
-from ..specs import BIGINT, DELETE, TIMESTAMP, schema_of
+from ..sources import files, good_changes
+from ..specs import BIGINT, DELETE, STRING, TIMESTAMP, schema_of
 
 #: Commit rhythm of a continuous job.
 EVERY_MINUTE = {"processingTime": "60 seconds"}
@@ -104,3 +104,32 @@ def start_ingest(
 
     stream = changes.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(**trigger)
     return (stream.queryName(name) if name else stream).start()
+
+
+_BROKEN = schema_of(value=STRING, reason=STRING)
+
+
+def start_image_ingest(
+    records: DataFrame, table: LogTable, checkpoint: str, trigger: Mapping[str, Any], name: str | None = None
+) -> StreamingQuery:
+    """Write a stream of records with images (``read_images``) into ``table``; broken ones go to a folder beside it.
+
+    A record that changes its row's key deletes the old key and inserts the new one in the same commit. Broken records keep their
+    text and the reason (``read_broken``); a batch that runs again replaces both its changes and its broken records.
+    """
+    table.create()
+
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        writer = stream_id(table.spark, checkpoint)
+        broken = batch.where("reason is not null").select("value", "reason")
+        broken.write.mode("overwrite").parquet(f"{table.root}/broken/writer={writer}/batch_id={batch_id}")
+        table.append_batch(good_changes(batch, table.spec), batch_id, writer)
+
+    stream = records.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(**trigger)
+    return (stream.queryName(name) if name else stream).start()
+
+
+def read_broken(table: LogTable) -> DataFrame:
+    """The records that :func:`start_image_ingest` put aside, with ``reason``, ``writer`` and ``batch_id``."""
+    parts = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
+    return table.spark.read.schema(T.StructType(_BROKEN.fields + parts)).parquet(f"{table.root}/broken")
