@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,10 +14,8 @@ from ..session import materialise
 
 #: Shares are counted in these; every kept term is taken to occur so many times more than it does.
 UNIT, PRIOR = 1_000_000_000, 5
-#: Counts that a task holds before it sends them on, and cells of pair sums.
-_HELD, _CELLS = 200_000, 4_000_000
-#: Bytes of a text that are split at once, about.
-_BLOCK = 1 << 20
+#: Bytes of text whose terms a task counts at once, about; cells of a block of term rows; pair sums that a task holds.
+_BLOCK, _CELLS, _HELD = 16 << 20, 1 << 20, 1 << 22
 
 _COUNTS = "lang string, source string, term string, n long, docs long"
 _SUMS = "lang string, i int, j int, value long"
@@ -25,43 +23,50 @@ _SUMS = "lang string, i int, j int, value long"
 _TERMS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def terms(text: str) -> Counter:
-    """How often a text has each term (as UTF-8): runs of letters and of whatever is not ASCII, A-Z lower-cased."""
-    data, found, start = text.encode().translate(_TERMS), Counter(), 0
-    while start < len(data):  # a long text's terms are not all held at once
-        end = data.find(b" ", start + _BLOCK)
-        end = len(data) if end < 0 else end
-        found.update(data[start:end].split())
-        start = end
-    return found
+def terms(text: str) -> bytes:
+    """The terms of a text, parted by spaces: runs of letters and of whatever is not ASCII, A-Z lower-cased."""
+    return text.encode().translate(_TERMS)
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of terms and of documents per language and source, and a row without a term for each of these."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-    def flush() -> pa.RecordBatch:
-        rows = [(lang, source, None, 0, 0) for lang, source in held]
-        rows += [(*g, t.decode(), k, docs[t]) for g, (n, docs) in held.items() for t, k in n.items()]
-        held.clear()
-        columns = list(zip(*rows)) or [[]] * 5
-        kinds = [pa.string()] * 3 + [pa.int64()] * 2
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-        return pa.RecordBatch.from_arrays(arrays, names=["lang", "source", "term", "n", "docs"])
+    """Counts of terms and of documents per language and source, and a row without a term for each of these.
 
+    The texts of some batches are counted together: terms are numbered by Arrow, and numbers of (source, term) and of
+    (document, term) are sorted and counted.
+    """
+    held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        for lang, source, text in zip(*(batch[c] for c in ("lang", "source", "text"))):
-            n, docs = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
-            own = terms(text.as_py())
-            size -= len(n)
-            n.update(own)
-            docs.update(own.keys())
-            size += len(n)
-            if size > _HELD:
-                yield flush()
-                size = 0
-    yield flush()
+        held.append(batch)
+        size += batch.nbytes
+        if size > _BLOCK:
+            yield _counted(held)
+            held, size = [], 0
+    if held:
+        yield _counted(held)
+
+
+def _counted(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    # a code per language and source, and where each has its first row
+    lang, source = (rows[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
+    pair = lang.indices.to_numpy().astype(np.int64) * max(1, len(source.dictionary)) + source.indices.to_numpy()
+    _, first, group = np.unique(pair, return_index=True, return_inverse=True)
+    n_groups = len(first)
+    lists = pc.ascii_split_whitespace(pa.array([terms(x.as_py()) for x in rows["text"]], pa.large_binary()).cast(pa.large_string()))
+    flat, doc = lists.flatten(), pc.list_parent_indices(lists)
+    real = pc.greater(pc.binary_length(flat), 0)
+    coded, doc = flat.filter(real).dictionary_encode(), doc.filter(real).to_numpy(zero_copy_only=False).astype(np.int64)
+    code, n_terms = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), max(1, len(coded.dictionary))
+    keys, n = np.unique(group[doc] * n_terms + code, return_counts=True)
+    once = np.unique(doc * n_terms + code)
+    _, docs = np.unique(group[once // n_terms] * n_terms + once % n_terms, return_counts=True)  # the same keys
+    at = pa.array(np.concatenate([first, first[keys // n_terms]]))
+    term = pa.concat_arrays([pa.nulls(n_groups, pa.large_string()), coded.dictionary.take(pa.array(keys % n_terms))])
+    none = np.zeros(n_groups, np.int64)
+    columns = [rows[c].combine_chunks().take(at) for c in ("lang", "source")] + [term.cast(pa.string())]
+    columns += [pa.array(np.concatenate([none, x])) for x in (n, docs)]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
 
 
 def _share(n: str | Column, size: str | Column) -> Column:
@@ -71,66 +76,80 @@ def _share(n: str | Column, size: str | Column) -> Column:
     return F.call_function("div", units, size.cast("decimal(20,0)")) + 1
 
 
-def _walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The frequent-pattern tree of sorted term rows, built along its rightmost path.
+def _tree(items: np.ndarray, length: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pair corrections of a frequent-pattern tree: pairs of source numbers (the larger in the low bits) and their sums.
 
-    A row is inserted below the part of the path that it shares with the row before; what it leaves behind is complete, and is
-    taken off the path: its number of rows goes to its parent, and its corrections with every ancestor, times that
-    number, to the sums. So only one path is held, and a node meets each ancestor once however many rows share it. A node
-    that two tasks share adds to the sums in both.
+    ``items`` (number, count, size by row and place) are sorted term rows, ``many`` how often each occurs. At every depth a
+    node is a run of rows that agree up to there, and its multiplicity the number of these. A node meets each of its
+    ancestors once, however many rows share it, and its correction counts as often as its multiplicity.
     """
-    lang = None
-    path: list[tuple[int, int, int]] = []
-    many: list[int] = []  # rows through each node of the path
-    depth = 64
-    at, shares, zeros = (np.zeros(depth, np.int64) for _ in range(3))
-    sums: dict[int, np.ndarray] = {}
-
-    def take_off(keep: int) -> None:
-        while len(path) > keep:
-            own, k = path.pop()[0], len(path)
-            times = many.pop()
-            if k:
-                many[-1] += times
-                p, z, ps, zs = shares[k], zeros[k], shares[:k], zeros[:k]
-                change = np.abs(ps - p) - np.abs(ps - z) - np.abs(zs - p) + np.abs(zs - z)
-                row = sums.get(own)
-                if row is None or len(row) < own:
-                    row = sums[own] = np.zeros(own, np.int64)  # ancestors have smaller numbers
-                row[at[:k]] += change * times
-
-    def flush() -> pa.RecordBatch:
-        found = [(i, j, int(v)) for j, row in sums.items() for i, v in zip(np.flatnonzero(row), row[row != 0])]
-        sums.clear()
-        i, j, v = list(zip(*found)) or [[]] * 3
-        arrays = [pa.array([lang] * len(found), pa.string()), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(v, pa.int64())]
-        return pa.RecordBatch.from_arrays(arrays, names=["lang", "i", "j", "value"])
+    number, count, size = items
+    share, zero = 1 + UNIT * (count + PRIOR) // size, 1 + UNIT * PRIOR // size
+    if int(count.max(initial=0)) > (1 << 63) // UNIT - PRIOR - 1:  # beyond 64 bits, with whole numbers of any length
+        share = np.array([1 + UNIT * (int(n) + PRIOR) // int(d) for n, d in zip(count.ravel(), size.ravel())], np.int64).reshape(count.shape)
+    rows = np.arange(len(length))
+    differs = np.ones(len(length), bool)
+    differs[1:] = False
+    keys, sums = [], []
+    for depth in range(items.shape[2]):
+        there = length > depth
+        # a new node where this place or one above it differs from the row before
+        differs[1:] |= (number[1:, depth] != number[:-1, depth]) | (count[1:, depth] != count[:-1, depth])
+        starts = rows[there & differs]
+        if not len(starts):
+            break
+        times = np.add.reduceat(np.where(there, many, 0), rows[differs])[there[differs]]
+        p, z, s = share[starts, depth], zero[starts, depth], number[starts, depth]
+        for above in range(depth):
+            q, y, r = share[starts, above], zero[starts, above], number[starts, above]
+            keys.append(r << 32 | s)
+            sums.append((np.abs(q - p) - np.abs(q - z) - np.abs(y - p) + np.abs(y - z)) * times)
+    none = [np.zeros(0, np.int64)]
+    return _added(np.concatenate(keys or none), np.concatenate(sums or none))
+
+
+def _added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, at = np.unique(keys, return_inverse=True)
+    sums = np.zeros(len(found), np.int64)
+    np.add.at(sums, at, values)
+    return found, sums
+
+
+def _walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of pair corrections of sorted term rows, a tree per block of rows; a node cut by a block's border counts in both."""
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, (keys, sums) in held.items():
+            arrays = [pa.array([lang] * len(keys), pa.string()), pa.array((keys >> 32).astype(np.int32))]
+            arrays += [pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "i", "j", "value"])
+        held.clear()
 
     for batch in batches:
-        for its_lang, items, times in zip(*(batch[c] for c in ("lang", "path", "m"))):
-            its_lang = its_lang.as_py()
-            items = [(x["s"], x["n"], x["size"]) for x in items.as_py()]
-            if its_lang != lang:
-                take_off(0)
-                yield flush()
-                lang = its_lang
-            shared = 0
-            while shared < min(len(path), len(items)) and path[shared] == items[shared]:
-                shared += 1
-            take_off(shared)
-            if sum(map(len, sums.values())) > _CELLS:
-                yield flush()
-            while depth < len(items):
-                depth *= 2
-                at, shares, zeros = (np.concatenate([a, np.zeros(len(a), np.int64)]) for a in (at, shares, zeros))
-            for k in range(shared, len(items)):
-                s, n, size = items[k]
-                at[k], shares[k], zeros[k] = s, 1 + UNIT * (n + PRIOR) // size, 1 + UNIT * PRIOR // size
-                path.append(items[k])
-                many.append(0)
-            many[-1] += times.as_py()
-    take_off(0)
-    yield flush()
+        paths, langs, many = batch["path"], batch["lang"].to_pylist(), batch["m"].to_numpy()
+        length = pc.list_value_length(paths).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(length)
+        fields = [paths.flatten().field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
+        a = 0
+        while a < len(langs):
+            b, widest = a, 1
+            while b < len(langs) and langs[b] == langs[a] and (b == a or (b - a + 1) * max(widest, length[b]) <= _CELLS):
+                widest = max(widest, int(length[b]))
+                b += 1
+            items = np.full((3, b - a, widest), -1, np.int64)
+            items[2] = 1
+            place = np.arange(ends[b - 1] - (ends[a] - length[a])) - np.repeat(ends[a:b] - length[a:b] - (ends[a] - length[a]), length[a:b])
+            row = np.repeat(np.arange(b - a), length[a:b])
+            for i in range(3):
+                items[i, row, place] = fields[i][ends[a] - length[a] : ends[b - 1]]
+            found = _tree(items, length[a:b], many[a:b])
+            before = held.get(langs[a], (np.zeros(0, np.int64),) * 2)
+            held[langs[a]] = _added(*(np.concatenate(x) for x in zip(before, found)))
+            a = b
+            if sum(len(k) for k, _ in held.values()) > _HELD:
+                yield from flush()
+    yield from flush()
 
 
 def _tree_sums(rows: DataFrame) -> DataFrame:
@@ -182,17 +201,19 @@ def audit(docs: DataFrame, least: int = 30, top: int = 50) -> DataFrame:
     pairs; a language without kept terms has pairs of value 0; a table without rows gives none.
     """
     rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    counts = rows.mapInArrow(_count, _COUNTS).groupBy("lang", "source", "term")
-    counts = materialise(counts.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
-    by_term = counts.where("term is not null").groupBy("lang", "term").agg(
+    # counted per block of texts before they are dealt; a language's row without a term has its sources
+    counts = rows.mapInArrow(_count, _COUNTS).repartition("lang", "term")
+    counts = counts.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    by_term = counts.groupBy("lang", "term").agg(
         F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("held")
     )
-    by_term = materialise(by_term.where(F.col("docs") >= least).drop("docs"), "terms")
+    stored = materialise(by_term.where(F.col("term").isNull() | (F.col("docs") >= least)).drop("docs"), "terms")
+    by_term = stored.where("term is not null")
 
     sizes = by_term.select("lang", F.explode("held").alias("x")).groupBy("lang", F.col("x.source").alias("source"))
     sizes = sizes.agg(F.sum("x.n").alias("words"), F.count(F.lit(1)).alias("own_terms"))
     langs = by_term.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("total").alias("lang_words"))
-    groups = counts.where("term is null").select("lang", "source").join(langs, "lang", "left").join(sizes, ["lang", "source"], "left")
+    groups = stored.where("term is null").select("lang", F.explode("held.source").alias("source")).join(langs, "lang", "left").join(sizes, ["lang", "source"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     groups = groups.select("lang", "source", *map(zero, ("terms", "lang_words", "words", "own_terms")))
     # a row per source of a language, in which only their number grows
