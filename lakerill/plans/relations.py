@@ -106,6 +106,8 @@ def with_relations(query: str, *names: str) -> str:
     """``query`` with the named relations defined in front of it."""
     head = ",\n".join(f"{n} as ({SQL[n]})" for n in names)
     extra = query.lstrip()
+    if not names:
+        return extra
     if extra.lower().startswith("with "):
         return f"with {head},\n{extra[5:]}"
     return f"with {head}\n{extra}"

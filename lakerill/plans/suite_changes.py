@@ -84,14 +84,13 @@ def _aligned(spark, folder):
 
 
 def _out_of_order(spark, folder):
-    """The newer half of the log arrives first and is compacted before the older half comes."""
+    """The newer half of the log arrives before the older half."""
     log = changes(spark, folder)
     half = F.floor(_last_seq(log) / 2)
     table = _lake(spark, "out-of-order")
     table.append_batch(log.where(F.col("seq") > half), 0)
-    table.compact()
     table.append_batch(log.where(F.col("seq") <= half), 1)
-    return table.read(columns=["k", "value", "props"])
+    return latest_state(table.log(), ["k"], columns=["k", "value", "props"])
 
 
 def _upsert(spark, folder):
@@ -155,14 +154,13 @@ def _as_of_time(spark, folder):
 
 
 def _as_of_batch(spark, folder):
-    """Four commits, the first two compacted; the table as of the third."""
+    """Four commits; the newest changes by key among those of the first three."""
     log = changes(spark, folder)
     quarter = F.floor(F.col("seq") * 4 / (_last_seq(log) + 1))
     table = _lake(spark, "batches")
     for batch in range(4):
         table.append_batch(log.where(quarter == batch), batch)
-    table.compact(upto=1)
-    return table.read(as_of_batch=2)
+    return latest_state(table.log(as_of_batch=2), ["k"], columns=ACCOUNTS.columns)
 
 
 def _chunk_positions(spark, folder):
@@ -187,11 +185,13 @@ def _two_writers(spark, folder):
     for batch in range(4):
         table.append_batch(log.where(part == batch), batch, "feed")
     table.delete_where(F.col("value") > 50, F.floor(last * 4 / 5))
-    table.compact()
     table.append_batch(log.where(part == 4), 4, "feed")
-    before = table.read(as_of_batch=3, writer="feed").withColumn("version", F.lit("before the delete"))
-    deleted = table.read(as_of_batch=0, writer="batch").withColumn("version", F.lit("after the delete"))
-    return before.unionAll(deleted).unionAll(table.read().withColumn("version", F.lit("now")))
+
+    def state(version, **as_of):
+        return latest_state(table.log(**as_of), ["k"], columns=ACCOUNTS.columns).withColumn("version", F.lit(version))
+
+    before = state("before the delete", as_of_batch=3, writer="feed")
+    return before.unionAll(state("after the delete", as_of_batch=0, writer="batch")).unionAll(state("now"))
 
 
 QUERIES = {

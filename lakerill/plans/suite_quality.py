@@ -40,7 +40,7 @@ def _check(*rules: Rule):
         makers = {"products": products, "sales": sales, "docs": docs}
         tables = {}
         for r in rules:
-            for t in (r.table, r.args.get("parent")):
+            for t in (r.table, r.args.get("parent"), r.args.get("values_table")):
                 if t and t not in tables:
                     tables[t] = makers[t](spark, folder) if t in makers else read_table(spark, folder, t)
         as_of = _newest_sale(spark, folder) if any(r.filter for r in rules) else None
@@ -49,6 +49,14 @@ def _check(*rules: Rule):
     return query
 
 
+def _listed_values(spark, folder):
+    """Order numbers of lineitem against those of the orders that are not urgent: valid values that no literal list could hold."""
+    lines = read_table(spark, folder, "lineitem").select(F.when(F.col("l_linenumber") < 7, F.col("l_orderkey")).alias("l_orderkey"))
+    listed = read_table(spark, folder, "orders").where("o_orderpriority <> '1-URGENT'")
+    rule = Rule("lineitem", "order is listed", "invalid_count", "l_orderkey", {"values_table": "listed", "values_column": "o_orderkey"})
+    return report({"lineitem": lines, "listed": listed}, [rule])
+
+
 def _standing_report(spark, folder, rules) -> DataFrame:
     return report(_tables(spark, folder), rules, _newest_sale(spark, folder))
 
@@ -119,6 +127,7 @@ QUERIES = {
     "dq_valid_min": _check(Rule("sales", "qty at least 2", "invalid_count", "qty", {"min": 2})),
     "dq_valid_max": _check(*STRICT_SALES),
     "dq_max_length": _check(Rule("products", "sku length", "invalid_count", "sku", {"max_length": 5})),
+    "dq_valid_values_table": _listed_values,
     "dq_valid_values": _check(Rule("sales", "known products", "invalid_count", "product_id", {"values": [1, 2, 3, 4]})),
     "dq_referential_integrity": _check(
         Rule("sales", "product exists", "orphan_count", "product_id", {"parent": "products", "parent_column": "id"}),
@@ -258,6 +267,13 @@ ORACLE = {
         "sales",
     ),
     "dq_max_length": _result_sql([("products", "sku length", _count("products", "length(sku) > 5"), "=", 0)], "products"),
+    "dq_valid_values_table": _result_sql(
+        [(
+            "lineitem", "order is listed", _count(
+                "lineitem", "l_linenumber < 7 and l_orderkey not in (select o_orderkey from orders where o_orderpriority <> '1-URGENT')"
+            ), "=", 0,
+        )]
+    ),
     "dq_valid_values": _result_sql(
         [("sales", "known products", _count("sales", "product_id not in (1, 2, 3, 4)"), "=", 0)], "sales"
     ),

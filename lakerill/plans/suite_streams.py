@@ -5,6 +5,8 @@ Every stream here takes what the table's folder holds and stops; a continuous jo
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,24 +14,29 @@ from ..operators import LogTable, changelog_kinds
 from ..quality import Rule
 from ..session import new_folder
 from ..sources import good_changes, image_schema, read_changes, read_images, read_table, stream_table
-from ..specs import BIGINT, DOUBLE, PRODUCTS, SALES, STRING, TIMESTAMP, TableSpec, schema_of
+from ..specs import BIGINT, DOUBLE, PRODUCTS, PRODUCTS_GROWN, SALES, STRING, TIMESTAMP, TableSpec, schema_of
 from ..streaming import (
     SALES_VIEW,
     THROUGHPUT,
+    IdLedger,
     PeriodicScan,
     dropped_late,
     end_feed,
     last_scan,
+    latency_quantiles,
     read_broken,
+    read_latency,
     read_metrics,
     read_scans,
     start_closed_throughput,
     start_image_ingest,
     start_incremental_scan,
     start_ingest,
+    start_numbering,
     start_once_ingest,
     start_sales_view,
     start_throughput,
+    start_timed_ingest,
     throughput,
     view_daily,
     view_tiles,
@@ -316,6 +323,61 @@ def _closed(spark, folder):
     return table.log().select("window_start", "window_end", "n_records")
 
 
+def _grown(spark, folder):
+    """Products with three columns at first; then the feed brings five, and the stream goes on from its checkpoint."""
+    root = new_folder(spark, "grown")
+
+    def run(spec):
+        feed = read_changes(spark, f"{root}/feed", spec, streaming=True, max_files=1)
+        table = LogTable(spark, f"{root}/table", spec)
+        start_ingest(feed, table, f"{root}/checkpoint", ONCE).awaitTermination()
+        return table
+
+    suppliers = read_table(spark, folder, "supplier")
+    narrow = suppliers.select(
+        F.lit("c").alias("op"), F.col("s_suppkey").alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+        F.col("s_suppkey").cast("int").alias("id"), F.format_string("S-%03d", "s_suppkey").alias("sku"), F.col("s_name").alias("name"),
+    )
+    narrow.coalesce(1).write.mode("append").parquet(f"{root}/feed")
+    run(PRODUCTS)
+    parts = read_table(spark, folder, "part").where("p_partkey % 3 <> 0")
+    key, stamp = F.col("p_partkey"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    wide = parts.select(
+        F.lit("u").alias("op"), (key + 1_000_000).cast("bigint").alias("seq"), stamp.alias("ts"), key.cast("int").alias("id"),
+        F.format_string("P-%03d", key).alias("sku"), F.col("p_name").alias("name"),
+        F.when(key % 5 != 0, F.col("p_retailprice").cast("decimal(10,2)")).alias("price"), stamp.alias("created_at"),
+    )
+    wide.coalesce(1).write.mode("append").parquet(f"{root}/feed")
+    return run(PRODUCTS_GROWN).read().withColumn("price", F.col("price").cast("double"))
+
+
+def _numbered(spark, folder):
+    """Surrogate keys over four batches, the second of which runs again after the last."""
+    root = new_folder(spark, "numbered")
+    log = as_changes(read_table(spark, folder, "events"))
+    quarter, _ = _quarters(log)
+    _dealt(log, root, [quarter == i for i in range(4)])
+    feed = read_changes(spark, f"{root}/feed", ACCOUNTS, streaming=True, max_files=1).select("seq", "k", "op")
+    ledger = IdLedger(f"{root}/ids", ["seq"])
+    start_numbering(feed, ledger, f"{root}/checkpoint", ONCE).awaitTermination()
+    ledger(log.where(quarter == 1).select("seq", "k", "op"), 1)
+    return ledger.read(spark, feed.schema).select("id", "seq", "k", "op", "batch_id")
+
+
+def _latencies(spark, folder):
+    """Latency quantiles per batch and (without a number) of all; commits are an hour apart, the first an hour after the newest event."""
+    root = new_folder(spark, "latency")
+    log = as_changes(read_table(spark, folder, "events"))
+    _dealt(log, root, [F.col("seq") % BATCHES == i for i in range(BATCHES)])
+    start = log.agg(F.max("ts")).first()[0]
+    table = LogTable(spark, f"{root}/table", ACCOUNTS)
+    feed = read_changes(spark, f"{root}/feed", ACCOUNTS, streaming=True, max_files=1)
+    start_timed_ingest(feed, table, f"{root}/checkpoint", ONCE, lambda n: start + timedelta(hours=n + 1)).awaitTermination()
+    notes = read_latency(table)
+    whole = latency_quantiles(notes, []).withColumn("batch_id", F.lit(None).cast("bigint"))
+    return latency_quantiles(notes).unionByName(whole)
+
+
 QUERIES = {
     "stream_cdc_upsert": _upsert,
     "stream_replay_idempotent": _replay,
@@ -334,6 +396,9 @@ QUERIES = {
     "stream_dedup": _once,
     "stream_dedup_late": _once_counts,
     "stream_throughput_closed": _closed,
+    "stream_schema_evolution": _grown,
+    "stream_assign_ids": _numbered,
+    "stream_latency_quantiles": _latencies,
 }
 
 #: Records of the feed with images that are good, and the state they lead to.
@@ -458,4 +523,29 @@ ORACLE = {
         """select count(*) as n_kept, count(*) filter (where seq * 4 // ((select max(seq) from chg) + 1) = 0) as n_late from chg""", "chg"
     ),
     "stream_throughput_closed": _WINDOWS,
+    "stream_schema_evolution": """
+        with wide as (select cast(p_partkey as integer) as id, printf('P-%03d', p_partkey) as sku, p_name as name,
+            case when p_partkey % 5 <> 0 then cast(cast(p_retailprice as decimal(10,2)) as double) end as price,
+            timestamp '2024-02-01 00:00:00' as created_at from part where p_partkey % 3 <> 0)
+        select * from wide
+        union all select cast(s_suppkey as integer), printf('S-%03d', s_suppkey), s_name, 0.0::double, timestamp '2024-01-01 00:00:00'
+        from supplier where s_suppkey not in (select id from wide)""",
+    "stream_assign_ids": with_relations(
+        """select row_number() over (order by seq) as id, seq, k, op, seq * 4 // ((select max(seq) from chg) + 1) as batch_id from chg""",
+        "chg",
+    ),
+    "stream_latency_quantiles": with_relations(
+        """with late as (
+            select cast(seq % 4 as bigint) as batch_id, epoch_ms((select max(ts) from chg) + to_hours((seq % 4 + 1)::integer)) - epoch_ms(ts) as ms
+            from chg),
+        held as (select batch_id, ms, greatest(length(bin(ms)) - 4, 0) as rest from late),
+        counts as (
+            select batch_id, ((ms >> rest) << rest)::bigint as bucket_ms, count(*) as n from held group by 1, 2
+            union all select null, ((ms >> rest) << rest)::bigint, count(*) from held group by 2),
+        placed as (select *, sum(n) over (partition by batch_id order by bucket_ms) as upto, sum(n) over (partition by batch_id) as total from counts)
+        select batch_id, cast(max(total) as bigint) as n_changes, min(bucket_ms) filter (upto >= ceil(total * 0.5)) as p50_ms,
+            min(bucket_ms) filter (upto >= ceil(total * 0.95)) as p95_ms, min(bucket_ms) filter (upto >= ceil(total * 0.99)) as p99_ms
+        from placed group by batch_id""",
+        "chg",
+    ),
 }

@@ -164,6 +164,7 @@ def report(
     is made; everything else when its rows are asked for. ``as_of`` stands for the current time in filters and expressions.
     """
     session = spark or next(iter(tables.values())).sparkSession
+    rules = [r.as_reference() for r in rules]
     parts: list[DataFrame] = []
     broken: list[Rule] = []
     for table in dict.fromkeys(r.table for r in rules):

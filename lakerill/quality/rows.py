@@ -85,7 +85,7 @@ def fails(rule: Rule, schema: T.StructType) -> Column:
 
 def judging_rules(rules: Iterable[Rule], table: str | None = None) -> list[Rule]:
     """The rules of a table that judge rows: all but counts of rows and custom metrics."""
-    found = [r for r in rules if table in (None, r.table)]
+    found = [r.as_reference() for r in rules if table in (None, r.table)]
     if table is None and len({r.table for r in found}) > 1:
         raise ValueError("the rules are about several tables; name the one the rows are of")
     return [r for r in found if r.metric in (*ROW_METRICS, *_REPEATS, "orphan_count")]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 METRICS = (
@@ -11,7 +11,7 @@ METRICS = (
     "missing_count",
     "duplicate_count",  # distinct values that occur more than once
     "surplus_count",  # rows beyond the distinct values, NULLs included
-    "invalid_count",  # args: regex, min, max, values, max_length; NULL is never invalid
+    "invalid_count",  # args: regex, min, max, values, max_length, or values_table and values_column; NULL is never invalid
     "orphan_count",  # args: parent, parent_column
     "custom",  # args: expr, any aggregate expression
 )
@@ -38,6 +38,15 @@ class Rule:
         if self.comparison not in COMPARISONS:
             raise ValueError(f"unknown comparison {self.comparison!r}")
 
+    def as_reference(self) -> Rule:
+        """A rule whose valid values are a table's column is one about references; any other stays as it is."""
+        if self.metric != "invalid_count" or "values_table" not in self.args:
+            return self
+        if set(self.args) != {"values_table", "values_column"}:
+            raise ValueError(f"{self.name}: values of a table go with no other limit; make two rules")
+        parent = {"parent": self.args["values_table"], "parent_column": self.args["values_column"]}
+        return replace(self, metric="orphan_count", args=parent)
+
 
 def _some(table: str, name: str, metric: str = "row_count", **kw: Any) -> Rule:
     return Rule(table, name, metric, comparison=">", threshold=0, **kw)

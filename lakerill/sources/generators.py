@@ -42,16 +42,14 @@ def number_spine(spark: SparkSession, n: int = SEED_SALES) -> DataFrame:
 def digit_spine(digits: DataFrame, limit: int = SEED_SALES) -> DataFrame:
     """Numbers ``a + 10 b + 100 c + 1`` up to ``limit`` with a, b and c out of ``digits.d`` (0 to 9).
 
-    The result of crossing the ten-row set with itself twice, made by three semi joins on the digit.
+    The set is crossed with itself twice: ten different digits at most, so a thousand rows at most, whatever ``digits`` holds.
     """
     if limit > 1000:
         raise ValueError("three digits make 1000 numbers; use number_spine for more")
     ten = digits.where(F.col("d").between(0, 9)).select(F.col("d").cast("bigint")).distinct()
-    spine = digits.sparkSession.range(1000)
-    for place in (1, 10, 100):
-        digit = F.floor(F.col("id") / place) % 10
-        spine = spine.withColumn("d", digit).join(ten, "d", "left_semi").drop("d")
-    return spine.select((F.col("id") + 1).alias("n")).where(F.col("n") <= limit)
+    a, b, c = (ten.select(F.col("d").alias(name)) for name in "abc")
+    spine = a.crossJoin(b).crossJoin(c)
+    return spine.select((F.col("a") + 10 * F.col("b") + 100 * F.col("c") + 1).alias("n")).where(F.col("n") <= limit)
 
 
 def seed_products(spark: SparkSession) -> DataFrame:

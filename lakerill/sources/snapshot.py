@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -75,9 +75,21 @@ def snapshot_by_chunks(spark: SparkSession, url: str, table: str, key: str, boun
 
 
 def snapshot_chunks(df: DataFrame, key: str, bounds: Sequence[int]) -> DataFrame:
-    """Number the chunk of every row in ``chunk``, from 0; NULL keys are in the first."""
-    edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
-    chunk = F.size(F.filter(edges, lambda x: x <= F.col(key)))
+    """Number the chunk of every row in ``chunk``, from 0; NULL keys are in the first.
+
+    The sorted bounds are searched by halving: some 14 comparisons per row for the most bounds there are.
+    """
+    if not bounds:
+        return df.withColumn("chunk", F.lit(0))
+    # one constant, not an expression per bound
+    edges = F.from_json(F.lit(str([int(b) for b in bounds])), "array<bigint>")
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+
+    def forward(at: Column, step: Column) -> Column:
+        # a place beyond the bounds is null there, and stays
+        return F.when(F.get(edges, at + step - 1) <= F.col(key), at + step).otherwise(at)
+
+    chunk = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), forward)
     return df.withColumn("chunk", F.when(F.col(key).isNull(), 0).otherwise(chunk))
 
 

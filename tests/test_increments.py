@@ -8,22 +8,28 @@ from pyspark.sql import functions as F
 
 from lakerill import LogTable
 from lakerill.operators import latest_state
-from lakerill.quality import Rule, report
-from lakerill.sources import good_changes, parse_images, read_changes, read_images
-from lakerill.specs import BIGINT, DOUBLE, SALES, STRING, TableSpec, schema_of
+from lakerill.quality import Rule, failing_rows, report
+from lakerill.sources import good_changes, parse_images, read_changes, read_images, snapshot_chunks
+from lakerill.specs import BIGINT, DOUBLE, PRODUCTS, PRODUCTS_GROWN, SALES, STRING, TableSpec, schema_of
 from lakerill.streaming import (
     SALES_VIEW,
     THROUGHPUT,
+    IdLedger,
     LateRecords,
     dropped_late,
     end_feed,
+    latency_quantiles,
     read_broken,
+    read_latency,
     read_scans,
     start_closed_throughput,
     start_image_ingest,
     start_incremental_scan,
+    start_ingest,
+    start_numbering,
     start_once_ingest,
     start_sales_view,
+    start_timed_ingest,
     view_daily,
     view_tiles,
 )
@@ -238,3 +244,102 @@ def test_each_window_is_written_once_and_the_rest_at_the_end(spark, folder):
     end_feed(spark, f"{folder}/markers")
     run()
     assert windows() == [(0, 3), (5, 2), (20, 3)]
+
+
+# -- columns that come later, ids that go on, latencies ------------------------------------------------
+
+
+def test_older_batches_have_defaults_and_written_nulls_stay(spark, folder):
+    def run(spec):
+        table = LogTable(spark, f"{folder}/table", spec)
+        start_ingest(feed(spark, folder, spec), table, f"{folder}/cp", ONCE).awaitTermination()
+        return table
+
+    narrow = "op string, seq long, ts timestamp_ntz, id int, sku string, name string"
+    put(spark.createDataFrame([("c", 1, T0, 1, "P-1", "one"), ("c", 2, T0, 2, "P-2", "two")], narrow), folder)
+    assert run(PRODUCTS).read().columns == ["id", "sku", "name"]
+    wide = spark.createDataFrame([("u", 3, T0, 2, "P-2", "two", None, T0), ("c", 4, T0, 3, "P-3", "three", 1.5, None)],
+                                 narrow + ", price double, created_at timestamp_ntz")
+    put(wide.withColumn("price", F.col("price").cast("decimal(10,2)")), folder)
+    put(spark.createDataFrame([("c", 5, T0, 4, "P-4", "late and narrow")], narrow), folder)
+    table = run(PRODUCTS_GROWN)
+    got = {r.id: (r.price if r.price is None else float(r.price), r.created_at) for r in table.read().collect()}
+    default = (0.0, dt.datetime(2024, 1, 1))
+    assert got == {1: default, 2: (None, T0), 3: (1.5, None), 4: default}
+    assert table.log().count() == 5  # the stream went on from its checkpoint
+
+
+def test_ids_go_on_and_a_batch_run_again_keeps_its_own(spark, folder):
+    schema = "v string, w int"
+    ledger = IdLedger(f"{folder}/ids", ["w"])
+    batches = [[("b", 2), ("a", 1), ("a", 1)], [], [("c", 9), ("d", None)], [("e", 0)]]
+    frames = [spark.createDataFrame(rows, schema) for rows in batches]
+
+    def ids():
+        return sorted((r.id, r.v) for r in ledger.read(spark, frames[0].schema).collect())
+
+    assert ids() == []
+    for i, df in enumerate(frames):
+        ledger(df, i)
+    want = ids()
+    assert [i for i, _ in want] == list(range(1, 7)) and [v for _, v in want[:3]] == ["a", "a", "b"] and want[5] == (6, "e")
+    ledger(frames[2], 2)
+    ledger(frames[0], 0)
+    assert ids() == want
+
+
+def test_numbering_goes_on_after_a_restart(spark, folder):
+    ledger = IdLedger(f"{folder}/ids", ["seq"])
+
+    def run():
+        rows = feed(spark, folder).select("seq", "k")
+        start_numbering(rows, ledger, f"{folder}/cp", ONCE).awaitTermination()
+        return sorted((r.id, r.seq) for r in ledger.read(spark, rows.schema).collect())
+
+    put(changes(spark, [("c", 5, 1, "a", 1.0), ("c", 4, 1, "a", 1.0)]), folder)
+    assert run() == [(1, 4), (2, 5)]
+    put(changes(spark, [("c", 1, 1, "a", 1.0)]), folder)
+    assert run() == [(1, 4), (2, 5), (3, 1)]
+
+
+def test_latency_quantiles_are_within_a_bucket(spark, folder):
+    table = LogTable(spark, f"{folder}/table", SPEC)
+    batches = [list(range(0, 100)), list(range(100, 130))]
+    for seqs in batches:
+        put(changes(spark, [("c", s, s, "a", 1.0) for s in seqs] + [("c", 10_000 + seqs[0], 1, None, None)]), folder)
+    clock = lambda n: T0 + dt.timedelta(hours=2 + n)
+    start_timed_ingest(feed(spark, folder), table, f"{folder}/cp", ONCE, clock).awaitTermination()
+    notes = read_latency(table)
+    got = {r.batch_id: r for r in latency_quantiles(notes).collect()}
+    for n, seqs in enumerate(batches):
+        late = sorted([max(0, (120 + 60 * n - s) * 60_000) for s in seqs] + [0])  # the one from the future counts as none
+        assert got[n].n_changes == len(late)
+        for q, found in ((0.5, got[n].p50_ms), (0.95, got[n].p95_ms)):
+            exact = late[-(-int(len(late) * q * 100) // 100) - 1]
+            assert found <= exact * 1.01 and found >= exact * 0.87
+    assert latency_quantiles(notes, []).first().n_changes == 132
+
+
+def test_values_of_a_table(spark):
+    rows = spark.createDataFrame([(1,), (1,), (2,), (None,), (9,)], "v int")
+    listed = spark.createDataFrame([(1,), (2,), (2,), (None,)], "x int")
+    rule = Rule("rows", "listed", "invalid_count", "v", {"values_table": "listed", "values_column": "x"})
+    found = report({"rows": rows, "listed": listed}, [rule]).first()
+    assert (found.value, found.status) == (1.0, "FAIL")
+    assert [r.v for r in failing_rows(rows, [rule], tables={"listed": listed}).collect()] == [9]
+    mixed = Rule("rows", "both", "invalid_count", "v", {"values_table": "listed", "values_column": "x", "min": 0})
+    with pytest.raises(ValueError):
+        report({"rows": rows, "listed": listed}, [mixed])
+
+
+def test_ten_thousand_chunks_are_searched_by_halving(spark):
+    bounds = [i * i for i in range(1, 10_001)]
+    df = spark.range(0, 100_010_000, 9973).withColumnRenamed("id", "k").unionByName(spark.createDataFrame([(None,), (1,), (0,), (100_000_000,)], "k long"))
+    got = {r.k: r.chunk for r in snapshot_chunks(df, "k", bounds).collect()}
+    assert got[None] == 0 and all(c == int(k**0.5 + 1e-9) for k, c in got.items() if k is not None)
+    plan = snapshot_chunks(df, "k", bounds)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction") < 10  # one constant, not an expression per bound
+    for few in ([], [5], [5, 7]):
+        assert sorted((r.k, r.chunk) for r in snapshot_chunks(spark.range(10).toDF("k"), "k", few).collect()) == [
+            (k, sum(b <= k for b in few)) for k in range(10)
+        ]
