@@ -12,31 +12,55 @@ from pyspark.sql import functions as F
 
 from .text import with_fields
 
-#: Names of hosts whose pages are not wanted, and of ordinary ones: the labelled table is made of them. Fixed values.
+# Words of which names of unwanted hosts are made, what they are joined with, and words of ordinary hosts.
 UNWANTED = (
-    "casino-win", "cheap-pills", "free-bets", "spam-farm", "adult-x", "ads-track", "poker-bonus", "pills-online",
-    "win-cash", "hot-singles", "click-ads", "bet-slots", "lucky-jackpot", "xxx-cams", "spam-links", "track-pixel",
-    "free-casino", "adult-cams", "bets-now", "buy-pills", "farm-links", "adserver-track",
-)
+    "casino poker slots jackpot lottery roulette betting bets gamble pills pharma viagra meds adult porn xxx cams escort spam ads adserver"
+    " banner popup tracker track pixel clickbait loans payday replica warez malware phish"
+).split()
+JOINED = "online win free cheap best bonus cash now buy hot club farm links vip deals king pro world top x".split()
 WANTED = (
-    "thered", "tionsh", "therly", "ththor", "thernt", "ererin", "anding", "handle", "nation", "weather", "thistle",
-    "garden", "library", "museum", "history", "science", "cooking", "travel", "thesis", "station", "together", "other",
-    "tiontion", "enheit", "schule", "zeitung", "journal", "maison", "ciudad", "noticias", "city-hall", "open-data",
-    "health-care", "book-club", "news-room", "jazz-fest", "farm-house", "free-school", "word-ly", "the-post",
-)
+    "garden library museum history science cooking travel station nation weather journal school zeitung wetter schule museo ciudad"
+    " noticias maison histoire cuisine voyage mairie gemeinde verein kirche university institute hospital theater concert football"
+    " recipes mountain river planet energy climate language letters village council government railway airport bicycle painting"
+    " teacher student research archive society reader writing thermal tension nothing brother weather another together"
+).split()
+_ORDINARY = "news club house center open my our new daily city land net art book room world".split()
+# Sounds of made-up names, which stand for the many hosts whose words nobody knows.
+_ONSETS, _VOWELS, _CODAS = "b br d f g h k l m n p r s st t th v w z".split(), "a e i o u ai ou ea".split(), "n r s t nd ng l nt th".split()
+_MADE_UP = 240
 _BITS = 14
 
 
-def labelled_urls() -> list[tuple[str, int]]:
-    """A small labelled table: each name under some prefixes, domains and paths; 1 is unwanted."""
+def _made_up(i: int) -> str:
+    """A name of two or three syllables."""
+    sounds = []
+    for k in range(2 + i % 2):
+        n = i * 7 + k * 11
+        sounds.append(_ONSETS[n % len(_ONSETS)] + _VOWELS[(n // 3) % len(_VOWELS)] + (_CODAS[(n // 5) % len(_CODAS)] if (i + k) % 3 else ""))
+    return "".join(sounds)
+
+
+def labelled_names() -> list[tuple[str, int]]:
+    """Host names of the labelled table: words of either kind alone and joined with some others, and made-up names; 1 is unwanted."""
+    rows = [(_made_up(i), 0) for i in range(_MADE_UP)]
+    for label, words, others in ((1, UNWANTED, JOINED), (0, WANTED, _ORDINARY)):
+        for i, word in enumerate(words):
+            mates = [others[(i * 5 + 3 * k) % len(others)] for k in range(4)]
+            joined = [f"{word}-{mates[0]}", f"{mates[1]}-{word}", f"{word}{mates[2]}", f"{mates[3]}{word}"]
+            rows += [(name, label) for name in [word, *joined]]
+    return rows
+
+
+def labelled_urls(names: Sequence[tuple[str, int]] | None = None) -> list[tuple[str, int]]:
+    """The labelled table: each name under some prefixes, domains and paths; 1 is unwanted."""
     prefixes, domains = ("", "www.", "m.", "blog."), ("example.com", "example.org", "example.net")
     paths = ("/", "/en/123", "/de/4567/", "/fr/89.html", "/es/2345", "/about", "/en/777?page=2")
-    rows = []
-    for label, names in ((1, UNWANTED), (0, WANTED)):
-        for i, name in enumerate(names):
-            for k in range(4):
-                rows.append((f"http://{prefixes[k]}{name}.{domains[(i + k) % 3]}{paths[(i + 2 * k) % 7]}", label))
-    return rows
+    names = labelled_names() if names is None else names
+    return [
+        (f"http://{prefixes[k]}{name}.{domains[(i + k) % 3]}{paths[(i + 2 * k) % 7]}", label)
+        for i, (name, label) in enumerate(names)
+        for k in range(4)
+    ]
 
 
 def split_url(url: str | Column) -> tuple[Column, Column]:
@@ -64,17 +88,16 @@ def grams(host: str, path: str) -> set[int]:
     return out
 
 
-def train(rows: Sequence[tuple[str, int]], steps: int = 400, rate: float = 0.5, ridge: float = 1e-4) -> np.ndarray:
-    """Weights by bucket, the bias last: logistic regression by gradient descent, classes of equal weight."""
+def train(rows: Sequence[tuple[str, int]], steps: int = 800, rate: float = 0.7, ridge: float = 1e-4) -> np.ndarray:
+    """Weights by bucket, the bias last: logistic regression by gradient descent."""
     inputs = [np.array(sorted(grams(*_parts(url)))) for url, _ in rows]
     y = np.array([label for _, label in rows], float)
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     at, who = np.concatenate(inputs), np.repeat(np.arange(len(inputs)), [len(x) for x in inputs])
     scale = 1 / np.sqrt(np.array([len(x) for x in inputs]))
     w, bias = np.zeros(1 << _BITS), 0.0
     for _ in range(steps):
         z = np.bincount(who, w[at], len(inputs)) * scale + bias
-        error = (1 / (1 + np.exp(-z)) - y) * share
+        error = (1 / (1 + np.exp(-z)) - y) / max(1, len(y))
         w -= rate * len(inputs) ** 0.5 * (np.bincount(at, (error * scale)[who], 1 << _BITS) + ridge * w)
         bias -= rate * error.sum()
     return np.append(w, bias).astype(np.float32)
