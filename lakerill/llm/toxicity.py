@@ -23,11 +23,14 @@ LEET = {
 }
 _SIZE = len(LETTERS) + 2  # the boundary is 0, an unknown letter the last
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
-_LEET_COST, _REPEAT_COST, _DROP_COST, _RARE_COST = log(5), log(4), log(3), log(2000)
+_LEET_COST, _REPEAT_COST, _DROP_COST, _RARE_COST, _SPLIT_COST = log(5), log(4), log(3), log(2000), log(20)
 _CACHE = 150_000
 _EDGE = re.compile(r"^[^\w@$]+|[^\w]+$|^[@$]+(?=[@$]|$)")
 _MARKS = ".,;:!?\"'()[]{}#*$%&|<>-_=+~/\\"
-_TRIPLE = re.compile(r"(.)\1\1")
+_TWICE, _TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
+_SIGNS = "".join(c for c in LEET if not c.isdigit())
+#: Signs stand for letters at the end of a word only where the word would be this short without them.
+_SHORT = 3
 _ODD = re.compile(r"(.)\1\1|[^\W\d_][\W\d_]+[^\W\d_]|^[@$0-9|!+(<€£]+[^\W\d_]|[^\W\d_][0-9]+$")
 _SPACED = re.compile(r"(?<!\S)(?:[\w@$!|+][\x20\x09-\x0D.\-_*]+){2,}[\w@$!|+](?!\S)")
 _GAPS = re.compile(r"[\x20\x09-\x0D]+")
@@ -79,8 +82,11 @@ def language_model(docs: DataFrame) -> np.ndarray:
 # ---- decoding
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Per run of a character: what it may stand for, and the cost. "" drops it, " " ends a word there."""
+def lattice(token: str, apart: bool = False) -> list[list[tuple[str, float]]]:
+    """Per run of a character: what it may stand for, and the cost. "" drops it, " " ends a word there.
+
+    In a token whose letters were written ``apart`` a word may end after any of them.
+    """
     out = []
     runs = [(m.group(1), len(m.group())) for m in re.finditer(r"(.)\1*", token, re.S)]
     for c, n in runs:
@@ -99,15 +105,20 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             else:
                 options += [("", _DROP_COST), (" ", 0.0)]
         out.append(options)
+        if apart:
+            out.append([("", 0.0), (" ", _SPLIT_COST)])
     return out
 
 
-def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest reading of a token, by Viterbi over its lattice; a state is the last two letters."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in lattice(token.lower()):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in best.items():
+def restore(token: str, model: np.ndarray, apart: bool = False) -> str:
+    """The likeliest reading of a token of any length, by Viterbi over its lattice; a state is the last two letters.
+
+    A state's path is a chain that shares its beginning with the others, so a long token takes time and memory in proportion.
+    """
+    best: dict[tuple[int, int], tuple] = {(0, 0): (0.0, None)}
+    for options in lattice(token.lower(), apart):
+        after: dict[tuple[int, int], tuple] = {}
+        for (a, b), (cost, path) in best.items():
             for letters, price in options:
                 state, total = (a, b), cost + price
                 for c in letters:
@@ -120,35 +131,56 @@ def restore(token: str, model: np.ndarray) -> str:
                     total += float(model[state[0], state[1], code])
                     state = (state[1], code)
                 if state not in after or total < after[state][0]:
-                    after[state] = (total, text + letters)
+                    after[state] = (total, (path, letters) if letters else path)
         best = after
-    return min((cost + (float(model[a, b, 0]) if (a, b) != (0, 0) else 0.0), text) for (a, b), (cost, text) in best.items())[1]
+    ends = [(cost + (float(model[a, b, 0]) if (a, b) != (0, 0) else 0.0), path) for (a, b), (cost, path) in best.items()]
+    least = min(cost for cost, _ in ends)
+    return min(_read(path) for cost, path in ends if cost == least)
 
 
-def _readings(token: str, model: np.ndarray) -> list[str]:
-    return [w for i in range(0, len(token), _LONGEST) for w in restore(token[i : i + _LONGEST], model).split()]
+def _read(path: tuple | None) -> str:
+    parts = []
+    while path:
+        path, letters = path
+        parts.append(letters)
+    return "".join(reversed(parts))
 
 
 def read_token(token: str, model: np.ndarray) -> list[str]:
-    """The words that a lower-case token stands for: itself without marks around it, or a restored reading if it looks odd."""
+    """The words that a lower-case token may stand for: itself without marks around it, and a restored reading if it looks odd.
+
+    A token of letters that begins with a sign of ``LEET``, ends with one after a few letters, or doubles a letter, keeps its plain
+    reading beside the restored one, and the one with a letter for each sign: any may be meant.
+    """
     core = token.strip(_MARKS)
     if not core.isalpha():
         core = _EDGE.sub("", token)
-        return _readings(core, model) if core and _ODD.search(core) else [core]
-    return _readings(core, model) if _TRIPLE.search(core) else [core]
+        return restore(core, model).split() if core and _ODD.search(core) else [core]
+    start = token.index(core)
+    before, after = token[:start], token[start + len(core) :]
+    lead = before[len(before.rstrip(_SIGNS)) :]
+    tail = after[: len(after) - len(after.lstrip(_SIGNS))] if len(core) < _SHORT else ""
+    if _TRIPLE.search(core):
+        return restore(lead + core + tail, model).split()
+    if not lead and not tail and not _TWICE.search(core):
+        return [core]
+    spelt = "".join(LEET.get(c, c)[0] for c in lead + core + tail)
+    return list(dict.fromkeys([core, spelt, *restore(lead + core + tail, model).split()]))
 
 
 def spaced_words(text: str, model: np.ndarray) -> list[str]:
-    """Words written with their letters apart, in lower-case text."""
+    """Words written with their letters apart, in lower-case text.
+
+    Read as one word, with words ended wherever that is likelier, and without the first or last letter, which may be a word
+    of its own that stands beside them.
+    """
     found = []
     for m in _SPACED.finditer(text):
         letters = _GAPS.sub("", m.group())
         if len(set(letters)) > 2:  # one letter over and over is no word
-            found += _readings(letters, model)
-    return found
-
-
-_LONGEST = 200  # a lattice's length; longer runs are read piece by piece
+            found += restore(letters, model).split() + restore(letters, model, apart=True).split()
+            found += [w for part in (letters[1:], letters[:-1]) for w in restore(part, model).split()]
+    return list(dict.fromkeys(found))
 
 
 # ---- scores

@@ -61,6 +61,25 @@ def test_disguised_words(model, token, want):
     assert toxicity.read_token(token, model) == [want]
 
 
+@pytest.mark.parametrize(
+    "token, want", [("$tupid", "stupid"), ("!diot", "idiot"), ("+rash", "trash"), ("a$$", "ass"), ("stuupid", "stupid"), ("iidiot", "idiot")]
+)
+def test_either_reading_may_be_meant(model, token, want):
+    assert want in toxicity.read_token(token, model)
+    assert token.strip(toxicity._MARKS) in toxicity.read_token(token, model)
+
+
+def test_a_letter_beside_letters_apart(model):
+    assert "stupid" in toxicity.spaced_words("you are a s t u p i d person", model)
+    assert "moron" in toxicity.spaced_words("such m o r o n s u", model) or "morons" in toxicity.spaced_words("such m o r o n s u", model)
+
+
+@pytest.mark.parametrize("size", [150, 197, 198, 199, 200, 201, 5000])
+def test_a_word_anywhere_in_a_long_token(model, size):
+    token = "the." * (size // 4) + "." * (size % 4) + "1d10t" + ".the" * 60
+    assert "idiot" in toxicity.read_token(token, model)
+
+
 def test_letters_apart(model):
     assert toxicity.spaced_words("you i d i o t and l o s e r", model)[:1] == ["idiot"]
     assert toxicity.spaced_words("a a a a a a a a", model) == []
@@ -95,5 +114,6 @@ def test_copies_of_a_disguised_word_are_caught(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     scorer = toxicity.fit(df.drop("toxic"), df.select("doc_id", "toxic"))
     new = [(1, "that 1d10t thing"), (2, "that i d i o t thing"), (3, "the iiidiooot"), (4, "the other thing"), (5, None)]
+    new += [(6, "that !diot thing"), (7, "the iidiot"), (8, "that a i d i o t with"), (9, "the thing " + "that." * 60 + "1d10t" + ".with" * 60)]
     got = {r.doc_id: r.score for r in scorer.score(spark.createDataFrame(new, "doc_id long, text string")).collect()}
-    assert min(got[1], got[2], got[3]) > 0.5 > max(got[4], got[5])
+    assert min(got[i] for i in (1, 2, 3, 6, 7, 8, 9)) > 0.5 > max(got[4], got[5])
