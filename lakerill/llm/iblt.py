@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 #: A sketch has this many tables, and each of them this many cells in every block.
 TABLES, WIDTH = 3, 8
-#: A block that does not peel is cut into this many, a power of two; so often at most, then digests are compared one by one.
-SPLIT_BITS, LEVELS = 3, 6
-#: Up to so many sentences of a line, or what is left of it.
-_PARAGRAPH = r"(?:[^.!?\n]+[.!?]+ ?){1,%d}|[^\n]+"
+#: A block that does not peel is cut into this many, a power of two. After so many cuts, when what is left agrees in 39 of its
+#: 64 bits, digests are compared one by one.
+SPLIT_BITS, LEVELS = 3, 10
+#: Differences up to this size mostly peel from one block.
+_FITS = 10
 _SENTENCE_END = r"\n|(?<=[.!?]) "
 _ROUNDS = TABLES * WIDTH  # each round empties a cell at least
 #: Documents in a slice of the doc_id order, about; and the most slices.
@@ -28,47 +29,54 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def paragraphs(text: str | Column, sentences: int = 3) -> Column:
-    """The different digests of a text's paragraphs: its lines, cut after so many sentences. A null has none.
+def paragraphs(text: str | Column) -> Column:
+    """The different digests of a text's paragraphs: its lines, cut after each sentence. A null has none.
 
-    With one sentence a digest depends on nothing around it; with more, an inserted sentence shifts all later cuts of its line.
+    A digest depends on nothing around it, so an inserted sentence costs one.
     """
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    if sentences == 1:
-        pieces = F.filter(F.split(text, _SENTENCE_END), lambda p: p != "")
-    else:
-        pieces = F.regexp_extract_all(text, F.lit(_PARAGRAPH % sentences), F.lit(0))
+    pieces = F.filter(F.split(text, _SENTENCE_END), lambda p: p != "")
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
-def _cell(key: Column, table: int) -> Column:
-    """The cell of a key in a table: three bits of it."""
-    return F.shiftrightunsigned(key, 3 * table).bitwiseAND(_long(WIDTH - 1))
-
-
 def _check(key: Column) -> Column:
     """What tells a cell of one key from a cell of several."""
     return F.xxhash64(key)
 
 
-def sketch(keys: Column) -> Column:
-    """The cells of an array of digests: number, exclusive or of the keys, count, exclusive or of their checks.
+def placed(keys: Column) -> Column:
+    """Keys with their check and their cell in every table (three bits of the key each), computed once."""
+
+    def place(k: Column) -> Column:
+        cells = (F.shiftrightunsigned(k, 3 * t).bitwiseAND(_long(WIDTH - 1)) + WIDTH * t for t in range(TABLES))
+        return F.struct(k.alias("k"), _check(k).alias("h"), *(c.alias(f"c{t}") for t, c in enumerate(cells)))
+
+    return F.transform(keys, place)
+
 
-    Nothing in a cell grows but its count, so a text may have any number of digests.
+def sketch(places: Column, without: Column | None = None) -> Column:
+    """The cells of placed keys: number, exclusive or of the keys, count, exclusive or of their checks.
+
+    Nothing in a cell grows but its count, so a text may have any number of digests. The keys of ``without`` are subtracted:
+    the same as the difference of two sketches, in one pass.
     """
-    def table(t: int) -> Column:
-        held = F.transform(F.sequence(_long(0), _long(WIDTH - 1)), lambda i: F.filter(keys, lambda k: _cell(k, t) == i))
-        return F.transform(
-            held,
-            lambda own, i: F.struct(
-                (i + WIDTH * t).cast("bigint").alias("c"),
-                F.aggregate(own, _long(0), lambda a, k: a.bitwiseXOR(k)).alias("k"),
-                F.size(own).cast("bigint").alias("n"),
-                F.aggregate(own, _long(0), lambda a, k: a.bitwiseXOR(_check(k))).alias("h"),
-            ),
-        )
 
-    return F.concat(*map(table, range(TABLES)))
+    def cells(t: int) -> Column:
+        def cell(i: Column) -> Column:
+            def add(sign: int):
+                return lambda c, p: F.struct(
+                    c["c"].alias("c"), c["k"].bitwiseXOR(p["k"]).alias("k"), (c["n"] + _long(sign)).alias("n"), c["h"].bitwiseXOR(p["h"]).alias("h")
+                )
+
+            held = F.struct(i.alias("c"), _long(0).alias("k"), _long(0).alias("n"), _long(0).alias("h"))
+            for keys, sign in ((places, 1), (without, -1)):
+                if keys is not None:
+                    held = F.aggregate(F.filter(keys, lambda p: p[f"c{t}"] == i), held, add(sign))
+            return held
+
+        return F.transform(F.sequence(_long(WIDTH * t), _long(WIDTH * t + WIDTH - 1)), cell)
+
+    return F.concat(*map(cells, range(TABLES)))
 
 
 def _less(a: Column, b: Column) -> Column:
@@ -93,68 +101,94 @@ def _peel_round(cells: Column) -> Column:
     keys = F.array_distinct(F.transform(alone, lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"), c["h"].alias("h"))))
 
     def place(p: Column) -> Column:
-        return F.struct(*(p[x].alias(x) for x in "knh"), *((_cell(p["k"], t) + WIDTH * t).alias(f"c{t}") for t in range(TABLES)))
-
-    placed = F.transform(keys, place)
+        cells = (F.shiftrightunsigned(p["k"], 3 * t).bitwiseAND(_long(WIDTH - 1)) + WIDTH * t for t in range(TABLES))
+        return F.struct(*(p[x].alias(x) for x in "knh"), *(c.alias(f"c{t}") for t, c in enumerate(cells)))
 
     def without(c: Column, keys: Column) -> Column:
         own = F.filter(keys, lambda p: (p["c0"] == c["c"]) | (p["c1"] == c["c"]) | (p["c2"] == c["c"]))
         return F.aggregate(own, c, _less)
 
     return _let(
-        placed,
+        F.transform(keys, place),
         lambda keys: F.struct(
             _held(F.transform(cells, lambda c: without(c, keys))).alias("cells"),
-            F.size(keys).alias("n"),
-            (F.size(keys) == 0).alias("stuck"),
+            F.transform(keys, lambda p: F.struct(p["k"].alias("k"), p["n"].alias("n"))).alias("keys"),
         ),
     )
 
 
+_DIGESTS = "array<struct<k:bigint,n:bigint>>"
+
+
 def peel(cells: Column) -> Column:
-    """How many digests a difference holds, all of them recovered; null if a round finds none while cells are left."""
-    start = F.struct(_held(cells).alias("cells"), F.lit(0).alias("n"), F.lit(False).alias("stuck"))
+    """The digests that a difference holds (``k``, and ``n``: 1 on the left side, -1 on the right); null if it does not peel."""
+    none = F.array().cast(_DIGESTS)
+    start = F.struct(_held(cells).alias("cells"), none.alias("keys"), F.lit(False).alias("stuck"))
 
     def step(state: Column, _: Column) -> Column:
         more = _let(
             _peel_round(state["cells"]),
-            lambda r: F.struct(r["cells"].alias("cells"), (state["n"] + r["n"]).alias("n"), r["stuck"].alias("stuck")),
+            lambda r: F.struct(
+                r["cells"].alias("cells"), F.concat(state["keys"], r["keys"]).alias("keys"), (F.size(r["keys"]) == 0).alias("stuck")
+            ),
         )
         return F.when((F.size(state["cells"]) == 0) | state["stuck"], state).otherwise(more)
 
     return F.aggregate(
-        F.sequence(F.lit(1), F.lit(_ROUNDS)), start, step, lambda s: F.when(F.size(s["cells"]) == 0, s["n"])
+        F.sequence(F.lit(1), F.lit(_ROUNDS)), start, step, lambda s: F.when(F.size(s["cells"]) == 0, s["keys"])
     )
 
 
-def difference(a: Column, b: Column, cells_a: Column | None = None, cells_b: Column | None = None, level: int = 0) -> Column:
-    """How many digests only one of two arrays has, from their sketches.
+def estimate(cells: Column, more: Column) -> Column:
+    """About how many digests a difference holds, from the squares of its cells' counts; ``more``: left ones less right ones.
+
+    Digests of the two sides meet in a cell with opposite signs, so a table's squared counts add up to the number of digests on
+    average, but for what the sides' different numbers add.
+    """
+    squares = F.aggregate(cells, _long(0), lambda s, c: s + c["n"] * c["n"]) / TABLES
+    return F.greatest((WIDTH * squares - more * more) / (WIDTH - 1), F.abs(more))
+
+
+def difference(a: Column, b: Column, cells_a: Column | None = None, cells_b: Column | None = None) -> Column:
+    """The digests that only one of two arrays of placed digests has, recovered from their sketches (see ``peel``).
 
-    Where the difference of two sketches does not peel, it is tried again with a sketch eight times as large: each digest's
-    further bits name its block, and every block is a sketch of its own, made larger in turn only if it does not peel.
+    Sketches grow eightfold at a time: further bits of a digest name its block, and every block is a sketch of its own. An
+    estimate of the difference says how large to begin; a block that does not peel is made larger in turn.
     """
-    if level == LEVELS:
-        return F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
     cells_a = sketch(a) if cells_a is None else cells_a
     cells_b = sketch(b) if cells_b is None else cells_b
 
-    def block(keys: Column, i: Column) -> Column:
-        shift = 3 * TABLES + SPLIT_BITS * level
-        return F.filter(keys, lambda k: F.shiftrightunsigned(k, shift).bitwiseAND(_long((1 << SPLIT_BITS) - 1)) == i)
+    def split(a: Column, b: Column, level: int, first: Column) -> Column:
+        def block(keys: Column, i: Column) -> Column:
+            shift = 3 * TABLES + SPLIT_BITS * level
+            return F.filter(keys, lambda p: F.shiftrightunsigned(p["k"], shift).bitwiseAND(_long((1 << SPLIT_BITS) - 1)) == i)
 
-    def part(i: Column) -> Column:
-        return _let(
-            F.struct(block(a, i).alias("a"), block(b, i).alias("b")), lambda p: difference(p["a"], p["b"], level=level + 1)
-        )
+        def part(i: Column) -> Column:
+            return _let(F.struct(block(a, i).alias("a"), block(b, i).alias("b")), lambda p: solve(p["a"], p["b"], level + 1, first))
+
+        return F.flatten(F.transform(F.sequence(_long(0), _long((1 << SPLIT_BITS) - 1)), part))
+
+    def solve(a: Column, b: Column, level: int, first: Column) -> Column:
+        if level == LEVELS:
+            left, right = (F.transform(x, lambda p: p["k"]) for x in (a, b))
+            sides = ((F.array_except(left, right), 1), (F.array_except(right, left), -1))
+            return F.concat(*(F.transform(x, lambda k: F.struct(k.alias("k"), _long(n).alias("n"))) for x, n in sides))
+        none = F.when((F.size(a) == 0) & (F.size(b) == 0), F.array().cast(_DIGESTS))
+        found = F.when(first <= level, peel(sketch(a, b)))
+        return F.coalesce(none, found, split(a, b, level, first))
+
+    def begin(cells: Column) -> Column:
+        about = estimate(cells, (F.size(a) - F.size(b)).cast("bigint"))
+        first = F.ceil(F.log2(F.greatest(about, F.lit(1.0)) / _FITS) / SPLIT_BITS)
+        return _let(first, lambda f: F.coalesce(F.when(f <= 0, peel(cells)), split(a, b, 0, f)))
 
-    parts = F.transform(F.sequence(_long(0), _long((1 << SPLIT_BITS) - 1)), part)
-    return F.coalesce(peel(subtract(cells_a, cells_b)), F.aggregate(parts, F.lit(0), lambda n, x: n + x))
+    return _let(subtract(cells_a, cells_b), begin)
 
 
 def likeness(a: Column, b: Column, cells_a: Column | None = None, cells_b: Column | None = None) -> Column:
-    """Shared digests among all digests of two arrays (1 if both are empty), by way of their sketches' difference."""
+    """Shared digests among all digests of two arrays of placed digests (1 if both are empty), by way of their sketches' difference."""
     both = F.size(a) + F.size(b)
-    apart = difference(a, b, cells_a, cells_b)
+    apart = F.size(difference(a, b, cells_a, cells_b))
     return F.when(both == 0, 1.0).otherwise(_let(apart, lambda d: (both - d) / (both + d))).cast("double")
 
 
@@ -185,8 +219,8 @@ def _slice_of(doc_id: Column, lows: list[int]) -> Column:
     return F.when(doc_id.isNull(), len(lows) - 1).otherwise(F.least(place, F.lit(len(lows) - 1)))
 
 
-def with_next(docs: DataFrame, sentences: int = 3) -> DataFrame:
-    """``doc_id``, ``text``, ``digests``, ``cells`` (their sketch) of every row, and ``next_text``, ``next_digests``,
+def with_next(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, ``digests`` (placed), ``cells`` (their sketch) of every row, and ``next_text``, ``next_digests``,
     ``next_cells`` of the one after it by descending doc_id.
 
     After the last row comes the first; nulls are last, rows with equal doc_id go by their text's hash. The order is cut into
@@ -212,7 +246,7 @@ def with_next(docs: DataFrame, sentences: int = 3) -> DataFrame:
     sent = F.when(head, F.array(F.struct("slice", F.lit(0).alias("donor")), F.struct(before.alias("slice"), F.lit(1).alias("donor"))))
     sent = sent.otherwise(F.array(F.struct("slice", F.lit(0).alias("donor"))))
     rows = rows.select("doc_id", "text", F.explode(sent).alias("to")).select("doc_id", "text", "to.slice", "to.donor")
-    rows = rows.repartition("slice").withColumn("digests", paragraphs("text", sentences))
+    rows = rows.repartition("slice").withColumn("digests", placed(paragraphs("text")))
     rows = rows.withColumn("cells", sketch(F.col("digests")))
     order = Window.partitionBy("slice").orderBy(F.col("donor"), F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     rows = rows.select(
@@ -222,26 +256,26 @@ def with_next(docs: DataFrame, sentences: int = 3) -> DataFrame:
     return rows.where("donor = 0").drop("donor")
 
 
-def fingerprints(docs: DataFrame, sentences: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited version, and their likeness.
 
     The edited version has its last third (rounded down, in code points) replaced by as much of the beginning of the next document
     (see ``with_next``). Returns ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited``, ``near_next``. Null texts are empty; an empty text's sketch is all zeros. Everything after the one
-    shuffle of the texts happens row by row. ``sentences``: of a line in one digest (see ``paragraphs``).
+    shuffle of the texts happens row by row.
     """
     third = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.length("text") - third), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third)
     )
-    rows = with_next(docs, sentences).withColumn("edited", edited)
+    rows = with_next(docs).withColumn("edited", edited)
     rows = rows.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         "digests",
         "cells",
-        paragraphs("edited", sentences).alias("edited_digests"),
+        placed(paragraphs("edited")).alias("edited_digests"),
         "next_digests",
         "next_cells",
     ).withColumn("edited_cells", sketch(F.col("edited_digests")))

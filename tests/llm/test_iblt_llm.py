@@ -9,7 +9,7 @@ from lakerill.llm import iblt, suite_llm
 
 def plain(rows):
     order = sorted((r for r in rows if r.doc_id is not None), key=lambda r: -r.doc_id) + [r for r in rows if r.doc_id is None]
-    pieces = lambda t: set(re.findall(r"(?:[^.!?\n]+[.!?]+ ?){1,3}|[^\n]+", t))
+    pieces = lambda t: {p for p in re.split(r"\n|(?<=[.!?]) ", t) if p}
     near = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     for i, r in enumerate(order):
         text, after = r.text or "", order[(i + 1) % len(order)].text or ""
@@ -55,23 +55,30 @@ def test_differences_are_recovered_at_every_size(spark):
     base = F.when(F.col("common") > 0, hashed(F.lit(1), F.col("common"))).otherwise(F.array().cast("array<bigint>"))
     more = F.when(F.col("n") > 0, hashed(F.lit(100_001), 100_000 + F.col("n"))).otherwise(F.array().cast("array<bigint>"))
     df = df.select("n", "common", base.alias("a"), F.concat(base, more).alias("b"))
-    out = df.select("n", iblt.difference(F.col("a"), F.col("b")).alias("d"), iblt.difference(F.col("b"), F.col("a")).alias("e"))
-    assert [(r.d, r.e) for r in out.collect()] == [(n, n) for n, _ in rows]
+    a, b = iblt.placed(F.col("a")), iblt.placed(F.col("b"))
+    held = df.select("n", "a", "b", a.alias("pa"), b.alias("pb"))
+    out = held.select("n", "a", "b", iblt.difference(F.col("pa"), F.col("pb")).alias("d"), iblt.difference(F.col("pb"), F.col("pa")).alias("e"))
+    for r in out.collect():  # the very digests, and whose they are
+        only = set(r.b) - set(r.a)
+        assert sorted((x.k, x.n) for x in r.d) == sorted((k, -1) for k in only) and len(only) == r.n
+        assert sorted((x.k, x.n) for x in r.e) == sorted((k, 1) for k in only)
 
 
 def test_a_sketch_peels_alone(spark):
     # six digests in 24 cells: now and then two share all their cells, which is never taken for a result
     keys = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.xxhash64(i, F.col("id")))
     df = spark.range(100).select(keys.alias("a"), F.array().cast("array<bigint>").alias("b"))
-    rows = df.select(iblt.peel(iblt.subtract(iblt.sketch(F.col("a")), iblt.sketch(F.col("b")))).alias("n")).collect()
-    assert {r.n for r in rows} <= {6, None} and sum(r.n == 6 for r in rows) > 85
+    a, b = (iblt.sketch(iblt.placed(F.col(c))) for c in "ab")
+    rows = df.select("a", iblt.peel(iblt.subtract(a, b)).alias("found")).collect()
+    assert all(r.found is None or {(x.k, x.n) for x in r.found} == {(k, 1) for k in r.a} for r in rows)
+    assert sum(r.found is not None for r in rows) > 85
 
 
 def test_many_different_lines(spark):
     lines = [f"entry {i}" for i in range(100_000)]
     texts = spark.createDataFrame([("\n".join(lines), "\n".join(lines[20:]))], "a string, b string")
-    keys = texts.select(iblt.paragraphs("a").alias("a"), iblt.paragraphs("b").alias("b"))
-    assert keys.select(iblt.difference(F.col("a"), F.col("b")).alias("d")).first().d == 20
+    keys = texts.select(iblt.placed(iblt.paragraphs("a")).alias("a"), iblt.placed(iblt.paragraphs("b")).alias("b"))
+    assert keys.select(F.size(iblt.difference(F.col("a"), F.col("b"))).alias("d")).first().d == 20
     docs = spark.createDataFrame([(2, "\n".join(lines[:6000])), (1, "\n".join(lines[3:6000]))], "doc_id long, text string")
     got = {r.doc_id: r for r in iblt.fingerprints(docs).collect()}
     for doc_id, _, digest, near_edited, near_next in plain(docs.collect()):
@@ -87,14 +94,14 @@ def test_an_inserted_sentence_costs_one_digest(spark, folder):
     assert got == {1: pytest.approx(40 / 41), 2: pytest.approx(40 / 41)}
 
 
-def test_likeness_of_documents_by_sentences(spark):
-    docs = documents(spark)
-    got = {r.doc_id: r for r in iblt.fingerprints(docs, sentences=1).collect()}
-    pieces = lambda t: {p for p in re.split(r"\n|(?<=[.!?]) ", t or "") if p}
-    order = sorted(docs.collect(), key=lambda r: -r.doc_id)
-    for r, after in zip(order, order[1:] + order[:1]):
-        a, b = pieces(r.text), pieces(after.text)
-        assert got[r.doc_id].near_next == pytest.approx(len(a & b) / len(a | b))
+def test_the_estimate_is_near(spark):
+    keys = lambda a, b: F.transform(F.sequence(a, b), lambda x: F.xxhash64(x, F.col("id")))
+    for left, right in ((40, 40), (200, 100), (5, 300)):
+        a, b = (iblt.placed(keys(F.lit(x), F.lit(x + n - 1))) for x, n in ((0, left), (100_000, right)))
+        about = iblt.estimate(iblt.subtract(iblt.sketch(a), iblt.sketch(b)), F.lit(left - right).cast("bigint"))
+        found = [r[0] for r in spark.range(200).select(about).collect()]
+        assert sum(found) / 200 == pytest.approx(left + right, rel=0.1)
+        assert sum(0.4 < x / (left + right) < 2 for x in found) > 180
 
 
 def test_main_path_is_native(spark):
