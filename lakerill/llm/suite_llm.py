@@ -24,7 +24,7 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return iblt.fingerprints(table(spark, folder, "documents"), sentences=1)
+    return iblt.fingerprints(table(spark, folder, "documents"))
 
 
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,7 +37,9 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs)
     taken = (F.col("size") * F.size("positions")).cast("bigint").alias("taken")
-    return mixed.select("doc_id", "size", "source_size", "target", taken)
+    # when the curriculum takes a document: once, twice or never
+    places = [F.round(F.get("positions", F.lit(i)), 6).alias(f"{name}_position") for i, name in enumerate(("first", "second"))]
+    return mixed.select("doc_id", "size", "source_size", "target", taken, *places)
 
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,16 +121,30 @@ levels as (
             / (sum(w) over () - coalesce(sum(w) over before, 0)) as level
     from weighed window before as (order by cap / w, r rows between unbounded preceding and 1 preceding)),
 water as (select level from levels where level * w <= cap order by cap / w, r limit 1),
-targets as (select source, source_size, least(w * (select level from water), cap) as target from weighed),
+targets as (select source, source_size, r, least(w * (select level from water), cap) as target from weighed),
 stream as (
-    select d.doc_id, d.size, t.source_size, t.target,
+    select d.doc_id, d.size, t.source_size, t.target, t.r,
         coalesce(sum(d.size) over (partition by d.source order by d.h, d.doc_id
             rows between unbounded preceding and 1 preceding), 0) as start
-    from sized d join targets t on d.source is not distinct from t.source)
+    from sized d join targets t on d.source is not distinct from t.source),
+-- each schedule's pieces: the share used before, the weight and its slope there, and when the piece begins
+pieces(k, before, height, slope, begins) as (values
+    (0, 0.0::double, 1.5::double, -1.0::double, 0.0::double), (0, 0.625, 1.0, -1.0, 0.5),
+    (1, 0.0, 1.0, 0.0, 0.0), (1, 0.5, 1.0, 0.0, 0.5), (2, 0.0, 0.5, 1.0, 0.0), (2, 0.375, 1.0, 1.0, 0.5)),
+middles as (
+    select *, unnest([0, 1]) as time from (select *, row_number() over () as i from stream)),
+used as (
+    select *, start + time * source_size + size / 2.0::double as middle,
+        case when target > 0 then (start + time * source_size + size / 2.0::double) / target else 0.0::double end as u from middles),
+-- the weight's integral, inverted: height * x + slope / 2 * x * x is the share used since the piece began
+placed as (
+    select x.*, case when middle <= target then round(least(begins + 0.5, begins + case when u > before
+        then 2 * (u - before) / (height + sqrt(greatest(0.0, height * height + 2 * slope * (u - before)))) else 0 end), 6) end as position
+    from used x join pieces p on p.k = x.r % 3 and p.before <= x.u
+    qualify row_number() over (partition by i, time order by before desc) = 1)
 select doc_id, size, source_size::bigint as source_size, target::double as target,
-    (size * ((start + size / 2.0::double <= target)::int
-        + (start + source_size + size / 2.0::double <= target)::int))::bigint as taken
-from stream""",
+    (size * count(position))::bigint as taken, min(position) filter (time = 0) as first_position, min(position) filter (time = 1) as second_position
+from placed group by i, doc_id, size, source_size, target""",
     "op6_quality_rules": r"""
 with split as (
     select doc_id, coalesce(text, '') as text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w,

@@ -8,17 +8,17 @@ from lakerill.llm import simhash
 LOWER = {i: i + 32 for i in range(65, 91)}
 
 
-def plain_fingerprint(text):
+def plain_fingerprint(text, shingle=4):
     parts = words((text or "").translate(LOWER))
     if not parts:
         return 0
-    shingles = [" ".join(parts[i : i + 4]) for i in range(len(parts) - 3)] or [" ".join(parts)]
+    shingles = [" ".join(parts[i : i + shingle]) for i in range(len(parts) - shingle + 1)] or [" ".join(parts)]
     hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def plain_components(rows):
-    prints = [plain_fingerprint(r.text) for r in rows]
+def plain_components(rows, shingle=4):
+    prints = [plain_fingerprint(r.text, shingle) for r in rows]
     n = len(rows)
     root = roots(n, [(i, j) for i in range(n) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4])
     best = {}
