@@ -102,18 +102,37 @@ def _flagged(
 ) -> tuple[DataFrame, list[str]]:
     """``df`` with a column per rule that is true where the row fails it.
 
-    Repeated values come from one count per value, orphans from the parent's different keys, each joined back to the rows; a
-    value that many rows have is one row of the joined side, so large partitions of the rows can be split.
+    Rules about a row alone are expressions. Repeated values and orphans are found on the columns concerned alone, and then the
+    rows are marked by one join (see ``_bad_values``).
     """
     df = with_time(df, rules, as_of)
     flags = [f"__fails{i}" for i in range(len(rules))]
+    beyond = {flag: r for flag, r in zip(flags, rules) if r.metric not in ROW_METRICS}
+    if beyond:
+        bad, columns = _bad_values(df, beyond, tables)
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__value{i}")) for i, c in enumerate(columns)))
+        df = df.join(bad, same, "left").drop(*(f"__value{i}" for i in range(len(columns))))
     for flag, rule in zip(flags, rules):
-        if rule.metric in ROW_METRICS:
-            df = df.withColumn(flag, fails(rule, df.schema))
-            continue
-        value = F.col(rule.column)
+        found = F.coalesce(F.col(flag), F.lit(False)) & row_filter(rule) if flag in beyond else fails(rule, df.schema)
+        df = df.withColumn(flag, found)
+    return df, flags
+
+
+def _bad_values(
+    df: DataFrame, rules: Mapping[str, Rule], tables: Mapping[str, DataFrame] | None
+) -> tuple[DataFrame, list[str]]:
+    """What values of the rules' columns occur together and break a rule, with a column per rule; and the columns.
+
+    Repeated values come from one count per value, orphans from the parent's different keys; both are joined with the
+    different combinations of values, which have no more columns than the rules name. A value that many rows have is one
+    row here, so large partitions of the rows that are joined with it can be split.
+    """
+    columns = list(dict.fromkeys(r.column for r in rules.values()))
+    values = df.select(*(F.col(c).alias(f"__value{i}") for i, c in enumerate(columns))).distinct()
+    for flag, rule in rules.items():
+        value = F.col(f"__value{columns.index(rule.column)}")
         if rule.metric in _REPEATS:
-            counts = df.where(row_filter(rule)).groupBy(value.alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
+            counts = df.where(row_filter(rule)).groupBy(F.col(rule.column).alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
             known = counts.where("__n > 1").select("__value", F.lit(True).alias("__known"))
             if rule.metric == "duplicate_count":
                 known = known.where("__value is not null")
@@ -123,8 +142,8 @@ def _flagged(
             known = parent.where("__value is not null").distinct().withColumn("__known", F.lit(True))
             bad = value.isNotNull() & F.col("__known").isNull()
         same = value.eqNullSafe(F.col("__value")) if rule.metric == "surplus_count" else value == F.col("__value")
-        df = df.join(known, same, "left").withColumn(flag, bad & row_filter(rule)).drop("__value", "__known")
-    return df, flags
+        values = values.join(known, same, "left").withColumn(flag, bad).drop("__value", "__known")
+    return values.where(_any(list(rules))), columns
 
 
 def _any(flags: Sequence[str]) -> Column:

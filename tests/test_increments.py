@@ -343,3 +343,30 @@ def test_ten_thousand_chunks_are_searched_by_halving(spark):
         assert sorted((r.k, r.chunk) for r in snapshot_chunks(spark.range(10).toDF("k"), "k", few).collect()) == [
             (k, sum(b <= k for b in few)) for k in range(10)
         ]
+
+
+def test_rows_are_marked_by_one_join(spark):
+    wide = spark.range(2000).selectExpr("id", "id % 700 as a", "id % 90 as b", "if(id % 5 = 0, null, id % 11) as c", "repeat('x', 50) as payload")
+    parents = spark.createDataFrame([(i,) for i in range(9)], "p long")
+    rules = [
+        Rule("t", "a once", "duplicate_count", "a", filter="b < 50"),
+        Rule("t", "b once", "surplus_count", "b", filter="a = 3"),
+        Rule("t", "c once", "surplus_count", "c", filter="id < 40"),
+        Rule("t", "c known", "orphan_count", "c", {"parent": "p", "parent_column": "p"}),
+        Rule("t", "a small", "invalid_count", "a", {"max": 650}),
+    ]
+    found = failing_rows(wide, rules, "t", {"p": parents})
+    rows = wide.collect()
+    chosen = {"a once": ("a", lambda r: r.b < 50), "b once": ("b", lambda r: r.a == 3), "c once": ("c", lambda r: r.id < 40)}
+    counts = {name: [getattr(r, c) for r in rows if test(r)] for name, (c, test) in chosen.items()}
+    want = {}
+    for r in rows:
+        names = [n for n, (c, test) in chosen.items() if test(r) and counts[n].count(getattr(r, c)) > 1]
+        names += ["c known"] * (r.c is not None and r.c > 8) + ["a small"] * (r.a > 650)
+        if names:
+            want[r.id] = names
+    assert {r.id: r.failed_rules for r in found.collect()} == want
+    # the wide column is joined once
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [i for i, line in enumerate(plan) if "Join" in line]
+    assert len(joins) == 5 and sum("payload" in line and "Join" not in line and "Aggregate" not in line for line in plan[joins[1] :]) <= 1
