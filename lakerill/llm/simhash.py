@@ -8,15 +8,21 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
 from .text import with_fields
 
-#: Variants that meet in one task group on average; eight bytes each.
-_GROUP = 4_000_000
+#: Variants that meet in one task group on average and at most; eight bytes each.
+_GROUP, _LARGEST = 4_000_000, 16_000_000
+#: By so many leading bits a group that is too large is split further.
+_MORE_BITS = 4
 _EDGE = "a long, b long"
+#: Shingles of a text that are hashed at once.
+_SHINGLES = 1 << 16
+#: Pairs that a group holds before it keeps a forest of them.
+_PAIRS = 2_000_000
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -29,9 +35,12 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     last = ends[min(shingle, len(parts)) - 1 :] - 1
     first = (ends - [len(p) + 1 for p in parts])[: len(last)]
     digest = xxhash.xxh64_digest  # the highest byte comes first
-    hashes = b"".join([digest(joined[i:j], 42) for i, j in zip(first.tolist(), last.tolist())])
-    bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
-    ones = bits.sum(axis=0, dtype=np.int32) * 2 > len(bits)
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(last), _SHINGLES):
+        block = slice(at, at + _SHINGLES)
+        hashes = b"".join([digest(joined[i:j], 42) for i, j in zip(first[block].tolist(), last[block].tolist())])
+        ones += np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    ones = ones * 2 > len(last)
     return int.from_bytes(np.packbits(ones).tobytes())
 
 
@@ -74,53 +83,66 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
     return kept
 
 
-def _collide(radius: int, bits: int):
-    """Within one range of variants: fingerprints that share a variant, as a spanning forest of checked links."""
-    half, low = radius // 2, 64 - bits
-    keep = np.uint64((1 << low) - 1)
+def _thinned(pairs: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
+    """A spanning forest of the pairs (two places in one number) that are near enough."""
+    a, b = pairs // len(prints), pairs % len(prints)
+    near = np.bitwise_count(prints[a] ^ prints[b]) <= radius
+    pairs, a, b = pairs[near], a[near], b[near]
+    return pairs[_forest(a, b, len(prints))]
+
+
+def _collide(radius: int):
+    """Within one range of variants (and its leading bits): fingerprints that share a variant, as a spanning forest of checked links."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        prints = np.unique(group["print"].to_numpy()).view(np.uint64)
-        away = np.bitwise_count((prints >> np.uint64(low)) ^ np.uint64(key[0].as_py())) if bits else np.zeros(len(prints))
-        made: list[tuple[np.ndarray, np.ndarray]] = []  # the places of fingerprints, and the masks of their variants
-        for d in range(half + 1):
-            at, masks = np.flatnonzero(away == d), _flips(low, half - d)
-            step = max(1, 500_000 // len(masks))
-            made += [(at[i : i + step], masks) for i in range(0, len(at), step)]
-        total = sum(len(at) * len(masks) for at, masks in made)
-        variants, filled = np.empty(total, np.uint64), 0
-        for at, masks in made:
-            part = ((prints[at] & keep)[:, None] ^ masks[None, :]).ravel()
-            variants[filled : filled + len(part)] = part
-            filled += len(part)
-        variants.sort()
-        twice = np.unique(variants[1:][variants[1:] == variants[:-1]])
-        del variants
-        a = b = np.zeros(0, np.int64)
-        if len(twice):
-            center = np.full(len(twice), -1, np.int64)  # the first fingerprint seen with each shared variant
-            links = set()
-            for at, masks in made:
-                part = ((prints[at] & keep)[:, None] ^ masks[None, :]).ravel()
-                slot = np.minimum(np.searchsorted(twice, part), len(twice) - 1)
-                hit = np.flatnonzero(twice[slot] == part)
-                slot, who = slot[hit], at[hit // len(masks)]
-                fresh = center[slot] < 0
-                center[slot[fresh]] = who[fresh]
-                pair = np.unique(center[slot] * len(prints) + who)
-                links.update(pair[pair // len(prints) != pair % len(prints)].tolist())
-            pair = np.array(sorted(links), np.int64)
-            a, b = pair // len(prints), pair % len(prints)
-            near = np.bitwise_count(prints[a] ^ prints[b]) <= radius
-            a, b = a[near], b[near]
-            kept = _forest(a, b, len(prints))
-            a, b = a[kept], b[kept]
-        signed = prints.view(np.int64)
-        return pa.table({"a": signed[a], "b": signed[b]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        return _linked(group["print"].to_numpy(), key[0].as_py(), key[1].as_py(), radius)
 
     return run
 
 
+def _linked(prints: np.ndarray, within: int, bits: int, radius: int) -> pa.Table:
+    half, low = radius // 2, 64 - bits
+    keep = np.uint64((1 << low) - 1)
+    prints = np.unique(prints).view(np.uint64)
+    away = np.bitwise_count((prints >> np.uint64(low)) ^ np.uint64(within)) if bits else np.zeros(len(prints))
+    made: list[tuple[np.ndarray, np.ndarray]] = []  # the places of fingerprints, and the masks of their variants
+    for d in range(half + 1):
+        at, masks = np.flatnonzero(away == d), _flips(low, half - d)
+        step = max(1, 500_000 // len(masks))
+        made += [(at[i : i + step], masks) for i in range(0, len(at), step)]
+    total = sum(len(at) * len(masks) for at, masks in made)
+    variants, filled = np.empty(total, np.uint64), 0
+    for at, masks in made:
+        part = ((prints[at] & keep)[:, None] ^ masks[None, :]).ravel()
+        variants[filled : filled + len(part)] = part
+        filled += len(part)
+    variants.sort()
+    twice = np.unique(variants[1:][variants[1:] == variants[:-1]])
+    del variants
+    a = b = np.zeros(0, np.int64)
+    if len(twice):
+        center = np.full(len(twice), -1, np.int64)  # the first fingerprint seen with each shared variant
+        pairs = np.zeros(0, np.int64)
+        for at, masks in made:
+            part = ((prints[at] & keep)[:, None] ^ masks[None, :]).ravel()
+            slot = np.minimum(np.searchsorted(twice, part), len(twice) - 1)
+            hit = np.flatnonzero(twice[slot] == part)
+            slot, who = slot[hit], at[hit // len(masks)]
+            fresh = center[slot] < 0
+            center[slot[fresh]] = who[fresh]
+            pair = np.unique(center[slot] * len(prints) + who)
+            pairs = np.union1d(pairs, pair[pair // len(prints) != pair % len(prints)])
+            if len(pairs) > _PAIRS:  # what is joined already needs no more than a forest
+                pairs = _thinned(pairs, prints, radius)
+        a, b = pairs // len(prints), pairs % len(prints)
+        near = np.bitwise_count(prints[a] ^ prints[b]) <= radius
+        a, b = a[near], b[near]
+        kept = _forest(a, b, len(prints))
+        a, b = a[kept], b[kept]
+    signed = prints.view(np.int64)
+    return pa.table({"a": signed[a], "b": signed[b]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+
 def links(prints: DataFrame, n: int, radius: int = 4) -> DataFrame:
     """Links ``a``, ``b`` that join all fingerprints (column ``print``, different ones, about ``n``) within ``radius`` bits.
 
@@ -128,18 +150,43 @@ def links(prints: DataFrame, n: int, radius: int = 4) -> DataFrame:
     bits name the group it belongs to; a fingerprint is sent once to each group that its variants reach, and the variants are
     made there, so the shuffle holds some dozens of rows per fingerprint in place of thousands of variants. Whatever shares
     a variant is within ``radius`` of each other, so a variant needs no more than a star of links, and a group sends on a
-    spanning forest: never more links than fingerprints. Groups are even, since the fingerprints are different.
+    spanning forest: never more links than fingerprints.
+
+    Near copies that differ a little have fingerprints with the same leading bits. A group with more variants than a task may hold is
+    split by further bits, again and again until each one fits; a variant is in one part alone, so nothing is lost.
     """
     if radius % 2:
         raise ValueError("the radius has to be even")
-    per_print = len(_flips(64, radius // 2))
+    half = radius // 2
+    per_print = len(_flips(64, half))
     bits = min(40, max(0, int(np.ceil(np.log2(max(1, n * per_print / _GROUP))))))
-    masks = F.array(*(F.lit(int(m)).cast("bigint") for m in _flips(bits, radius // 2)))
     own = F.shiftrightunsigned("print", 64 - bits) if bits else F.lit(0).cast("bigint")
-    sent = prints.select("print", own.alias("own")).select(
-        "print", F.explode(F.transform(masks, lambda m: m.bitwiseXOR(F.col("own")))).alias("range")
-    )
-    return sent.groupBy("range").applyInArrow(_collide(radius, bits), _EDGE)
+    now = _dealt(prints.select("print", own.alias("own"), F.lit(half).alias("left")), F.lit(0).cast("bigint"), bits, half)
+    done = None
+    while True:
+        now = materialise(now, "ranges")
+        # how many variants a fingerprint has in a range: those with the flips that are left to it
+        weight = F.element_at(F.array(*(F.lit(len(_flips(64 - bits, k))) for k in range(half + 1))), F.col("left") + 1)
+        sizes = now.groupBy("range").agg(F.sum(weight).alias("variants"))
+        large = materialise(sizes.where(F.col("variants") > _LARGEST).select("range"), "large")
+        fits = now if bits > 64 - _MORE_BITS or large.isEmpty() else now.join(large, "range", "left_anti")
+        part = fits.select("print", "range", F.lit(bits).alias("bits"))
+        done = part if done is None else done.unionAll(part)
+        if fits is now:
+            break
+        bits += _MORE_BITS
+        more = F.shiftrightunsigned("print", 64 - bits).bitwiseAND(F.lit((1 << _MORE_BITS) - 1).cast("bigint"))
+        rest = now.join(large, "range").select("print", more.alias("own"), "left", F.shiftleft("range", _MORE_BITS).alias("range"))
+        now = _dealt(rest, F.col("range"), _MORE_BITS, half)
+    return done.groupBy("range", "bits").applyInArrow(_collide(radius), _EDGE)
+
+
+def _dealt(rows: DataFrame, start: Column, bits: int, half: int) -> DataFrame:
+    """Each fingerprint once per range that its variants reach by ``bits`` more bits, with the flips that are ``left`` to it there."""
+    masks = [(int(m), int(m).bit_count()) for m in _flips(bits, half)]
+    steps = F.array(*(F.struct(F.lit(m).cast("bigint").alias("m"), F.lit(n).alias("n")) for m, n in masks))
+    reached = rows.select("print", "own", "left", start.alias("start"), F.explode(steps).alias("x")).where("x.n <= left")
+    return reached.select("print", (F.col("start") + F.col("own").bitwiseXOR(F.col("x.m"))).alias("range"), (F.col("left") - F.col("x.n")).alias("left"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -200,4 +247,4 @@ def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
     """
     kept = near_duplicates(docs, radius, shingle).where("doc_id <=> component_id").select("doc_id").distinct()
     there = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
-    return docs.alias("d").join(kept.hint("shuffle_hash").alias("k"), there, "left_semi").select("d.*")
+    return docs.alias("d").join(kept.alias("k"), there, "left_semi").select("d.*")

@@ -72,3 +72,22 @@ def test_links_of_planted_fingerprints(spark):
         for i, s in enumerate(signed):
             group = [signed[j] for j in range(n) if want[j] == want[i]]
             assert named.get(s, s) == min(group)
+
+
+def test_a_dense_family_is_split_until_it_fits(spark, monkeypatch):
+    # a third of all fingerprints are within a few bits of each other
+    rng = random.Random(4)
+    center = rng.getrandbits(64)
+    dense = {center ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(6))) & (1 << 64) - 1 for _ in range(150)}
+    prints = sorted(dense | {rng.getrandbits(64) for _ in range(300)})
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    df = spark.createDataFrame([(p,) for p in signed], "print long")
+    want = roots(len(prints), [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4])
+    place = {p: i for i, p in enumerate(signed)}
+    for largest, pairs in ((16_000_000, 2_000_000), (40_000, 50), (4_000, 50)):
+        monkeypatch.setattr(simhash, "_LARGEST", largest)
+        monkeypatch.setattr(simhash, "_PAIRS", pairs)
+        monkeypatch.setattr(simhash, "_GROUP", 100_000)
+        edges = [(place[r.a], place[r.b]) for r in simhash.links(df, len(prints)).collect()]
+        assert all((prints[a] ^ prints[b]).bit_count() <= 4 for a, b in edges)
+        assert roots(len(prints), edges) == want, largest
