@@ -280,13 +280,13 @@ class Scorer:
         return rows.mapInArrow(_measure(self.model, self.lexicon, self.weights, names), schema)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, least_documents: int = 3, lexicon: int = 50_000) -> Scorer:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, least_documents: int = 3) -> Scorer:
     """Learn from the labels of documents outside the held-out fold (crc32 of the id modulo 5 is 0).
 
     The language model reads all texts. The classifier is fitted on at most about ``most`` labelled documents, those of the
     lowest hashes: two thirds of them count in how many toxic and clean documents each feature occurs, which gives
-    the lexicon (features of ``least_documents`` toxic ones or more, of which chance makes about one; at most ``lexicon``), the rest weigh
-    the measures of a document. Equal texts count once. Rows without label, id or text are left out of the fit.
+    the lexicon (features of ``least_documents`` toxic ones or more, of which chance makes about one), the rest weigh
+    the measures of a document. The lexicon is bounded by the sample: it has features of these documents alone. Equal texts count once. Rows without label, id or text are left out of the fit.
     Without labels of both kinds every score is the share of toxic labels, or 0.
     """
     model = language_model(docs)
@@ -316,7 +316,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, least_documents:
     odds = F.log((k + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     counts = materialise(counts.where(k >= least_documents), "features")
     far = counts.where((k > n * share) & (surprise > log(max(2, counts.count()))))
-    rows = far.select("feature", odds.alias("odds")).where("odds > 1").orderBy(F.desc("odds"), "feature").limit(lexicon)
+    rows = far.select("feature", odds.alias("odds")).where("odds > 1")
     words = {f: float(s) for f, s in rows.collect()}
     check = sample.where("part = 0").select("toxic", F.col("text").alias("__text"))
     got = check.mapInArrow(_measure(model, words, None, ["toxic"]), "toxic long, a double, b double, c double, d double")
