@@ -15,7 +15,7 @@ from ..session import materialise
 #: Shares are counted in these; every kept term is taken to occur so many times more than it does.
 UNIT, PRIOR = 1_000_000_000, 5
 #: Bytes of text whose terms a task counts at once, about; cells of a block of term rows; pair sums that a task holds.
-_BLOCK, _CELLS, _HELD = 16 << 20, 1 << 20, 1 << 22
+_BLOCK, _CELLS, _HELD = 6 << 20, 1 << 19, 1 << 20
 
 _COUNTS = "lang string, source string, term string, n long, docs long"
 _SUMS = "lang string, i int, j int, value long"
@@ -159,8 +159,9 @@ def _tree_sums(rows: DataFrame) -> DataFrame:
     their number before anything is sorted; then ranges of the sorted rows are inserted into a tree, range by range.
     """
     distinct = rows.groupBy("lang", "path").agg(F.count(F.lit(1)).alias("m"))
-    # written, since cutting ranges reads its input twice
-    ranges = materialise(distinct, "paths").repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    # written, since cutting ranges reads its input twice; the cuts go by how a row begins, which keeps the sample of them small
+    ranges = materialise(distinct, "paths").repartitionByRange("lang", F.slice("path", 1, 3), F.xxhash64("path"))
+    ranges = ranges.sortWithinPartitions("lang", "path")
     return ranges.mapInArrow(_walk, _SUMS).groupBy("lang", "i", "j").agg(F.sum("value").alias("value"))
 
 
