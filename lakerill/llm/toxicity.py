@@ -149,8 +149,9 @@ def _read(path: tuple | None) -> str:
 def read_token(token: str, model: np.ndarray) -> list[str]:
     """The words that a lower-case token may stand for: itself without marks around it, and a restored reading if it looks odd.
 
-    A token of letters that begins with a sign of ``LEET``, ends with one after a few letters, or doubles a letter, keeps its plain
-    reading beside the restored one, and the one with a letter for each sign: any may be meant.
+    A token of letters that begins with a sign of ``LEET``, or ends with one after a few letters, keeps its plain reading beside the
+    restored one and the one with a letter for each sign; one that doubles a letter also stands for itself with each
+    doubled letter, and with all of them, written once. Any may be meant.
     """
     core = token.strip(_MARKS)
     if not core.isalpha():
@@ -162,10 +163,14 @@ def read_token(token: str, model: np.ndarray) -> list[str]:
     tail = after[: len(after) - len(after.lstrip(_SIGNS))] if len(core) < _SHORT else ""
     if _TRIPLE.search(core):
         return restore(lead + core + tail, model).split()
-    if not lead and not tail and not _TWICE.search(core):
-        return [core]
-    spelt = "".join(LEET.get(c, c)[0] for c in lead + core + tail)
-    return list(dict.fromkeys([core, spelt, *restore(lead + core + tail, model).split()]))
+    readings = [core]
+    if lead or tail:
+        whole = lead + core + tail
+        readings += ["".join(LEET.get(c, c)[0] for c in whole), *restore(whole, model).split()]
+    doubled = list(_TWICE.finditer(core))
+    if doubled:
+        readings += [core[: m.start()] + core[m.start() + 1 :] for m in doubled] + [_TWICE.sub(r"\1", core)]
+    return list(dict.fromkeys(readings))
 
 
 def spaced_words(text: str, model: np.ndarray) -> list[str]:
