@@ -21,7 +21,8 @@ from .text import with_fields
 
 #: Pieces that are packed together on average.
 GROUP = 4096
-_CACHE = 200_000  # chunks of text whose ids a worker remembers
+_CACHE = 200_000  # chunks of text whose ids a worker remembers,
+_CACHED = 48  # none of them longer than this, which bounds the bytes too
 _CHUNK = re.compile(r" (?=\S)")
 _WIDE = re.compile(r" (?!\S)")
 _PIECE = "piece int, start long, length long, ids_crc32 long"
@@ -46,7 +47,7 @@ def _encoder(path: str, added: bool = False):
     class Known(dict):
         def __missing__(self, chunk: str) -> bytes:
             found = array("I", encode(" " + chunk)).tobytes()
-            if len(self) < _CACHE:
+            if len(chunk) <= _CACHED and len(self) < _CACHE:
                 self[chunk] = found
             return found
 
@@ -125,6 +126,24 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def _gives(members: list[int], lengths: list[int]) -> list[tuple[int, ...]]:
+    """What a bin can give: one or two of its documents for each total length, since documents of one length are alike.
+
+    The lengths add up to a bin's fill, so its distinct ones, and with them their pairs, are few however many documents it has.
+    """
+    alike: dict[int, list[int]] = {}
+    for i in members:
+        alike.setdefault(lengths[i], []).append(i)
+    found = {n: (same[0],) for n, same in alike.items()}
+    sizes = list(alike)
+    for a, m in enumerate(sizes):
+        if len(alike[m]) > 1:
+            found.setdefault(2 * m, (alike[m][0], alike[m][1]))
+        for n in sizes[:a]:
+            found.setdefault(m + n, (alike[m][0], alike[n][0]))
+    return list(found.values())
+
+
 def local_search(lengths: list[int], bins: list[list[int]], capacity: int, patience: int = 12) -> list[list[int]]:
     """Empty bins by moving documents and exchanging one for one or two for one between underfull bins.
 
@@ -151,7 +170,7 @@ def local_search(lengths: list[int], bins: list[list[int]], capacity: int, patie
             others = open_items[(where[open_items] != giver) & (fill[where[open_items]] < capacity)]
             others = others[fill[where[others]] >= fill[giver]]
             room = capacity - fill[where[others]]
-            gives = [(i,) for i in bins[giver]] + [(i, j) for a, i in enumerate(bins[giver]) for j in bins[giver][:a]]
+            gives = _gives(bins[giver], lengths)
             best, step = 0, None
             for out in gives:
                 given = int(size[list(out)].sum())

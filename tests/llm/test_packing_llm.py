@@ -120,3 +120,33 @@ def test_added_tokens_of_the_file(spark, folder):
     assert {r.doc_id: r.ids_crc32 for r in suite_llm.op1_best_fit_packing(spark, folder).collect()} == sums
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     assert {r.doc_id: r.ids_crc32 for r in corpus_pipeline.packed(spark, docs, folder).collect()} == sums
+
+
+def test_a_bin_gives_one_pair_per_total():
+    lengths = [3, 3, 3, 5, 5, 7]
+    gives = packing._gives([0, 1, 2, 3, 4, 5], lengths)
+    totals = [sum(lengths[i] for i in g) for g in gives]
+    every = {lengths[i] for i in range(6)} | {lengths[i] + lengths[j] for i in range(6) for j in range(i)}
+    assert sorted(totals) == sorted(every) and all(len(set(g)) == len(g) for g in gives)
+
+
+def test_search_with_many_documents_of_few_lengths():
+    # each long piece leaves one token, which the short ones (two) cannot take
+    lengths = [2047] * 300 + [2] * 2000
+    bins = packing.local_search(lengths, packing.best_fit(lengths, 2048), 2048)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    assert len(bins) == 300 + 2 and all(sum(lengths[i] for i in b) <= 2048 for b in bins)
+
+
+def test_search_beats_best_fit_on_whole_groups():
+    # thirds and halves that best fit pairs badly, in a group of the usual size
+    rng = random.Random(5)
+    won = 0
+    for _ in range(3):
+        lengths = [rng.randrange(500, 1100) for _ in range(600)]
+        first = packing.best_fit(lengths, 2048)
+        last = packing.local_search(lengths, first, 2048)
+        assert sorted(i for b in last for i in b) == list(range(600)) and all(sum(lengths[i] for i in b) <= 2048 for b in last)
+        assert len(last) <= len(first)
+        won += len(first) - len(last)
+    assert won > 0

@@ -23,6 +23,24 @@ def test_measures(spark):
         assert quality.measure(r.text) == plain(r.text)
 
 
+def test_long_texts_by_numbers(spark, monkeypatch):
+    texts = [r.text for r in documents(spark).where("n_chars < 4000").collect()] + [r.text for r in awkward(spark).collect()]
+    for t in texts:
+        raw = (t or "").encode()
+        assert quality.repeat_words_numbered(quality.word_numbers(raw, block=7)) == quality.repeat_words(raw.split())
+        assert quality.word_numbers(raw, block=7).tolist() == quality.word_numbers(raw).tolist()
+    long = [" ".join(f"w{i * k % 211}" for i in range(900)) + "\nw1 w2\n\nw1 w2" for k in (1, 2, 211)] + ["a" * 5000]
+    want = [plain(t) for t in long]
+    monkeypatch.setattr(quality, "_LONG", 100)
+    assert [quality.measure(t) for t in long] == want
+
+
+def test_very_long_text():
+    text = " ".join(f"w{i}" for i in range(300_000)) + " w0 w1 w2 w3 w4 w5"  # only the last six words are there twice
+    assert len(text) > quality._LONG
+    assert quality.measure(text)[0] == 300_006 and quality.measure(text)[5] == 12
+
+
 def test_ledger_and_policies(spark):
     docs = awkward(spark, ["failures", "n_words"])
     rows = quality.ledger(docs).withColumn("kept", quality.passes("base")).collect()
