@@ -144,13 +144,13 @@ def _gives(members: list[int], lengths: list[int]) -> list[tuple[int, ...]]:
     return list(found.values())
 
 
-def local_search(lengths: list[int], bins: list[list[int]], capacity: int, patience: int = 12) -> list[list[int]]:
+def local_search(lengths: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
     """Empty bins by moving documents and exchanging one for one or two for one between underfull bins.
 
     The emptiest bin gives: each step moves a document of it to another bin, or exchanges one or two for one there, such that
     the other bin grows by the most it can. The giver is never the fuller of the two, so the squared fill increases with every
-    step, which ends the search. A bin that gives its last document is gone. ``patience``: bins that can't be emptied before
-    the search ends; it also ends at the least number of bins that the total allows.
+    step, which ends the search. A bin that gives its last document is gone. The search ends when no bin can give any more, or at
+    the least number of bins that the total allows.
     """
     size = np.array(lengths, np.int64)
     bins = [list(b) for b in bins]
@@ -161,7 +161,7 @@ def local_search(lengths: list[int], bins: list[list[int]], capacity: int, patie
     least, n = -(-int(size.sum()) // capacity), len(bins)
     open_items = np.flatnonzero(fill[where] < capacity)
     stuck: set[int] = set()
-    while n > least and len(stuck) < patience:
+    while n > least:
         under = [k for k in np.flatnonzero(fill < capacity).tolist() if bins[k] and k not in stuck]
         if not under:
             break

@@ -25,39 +25,62 @@ _SHINGLES = 1 << 16
 _PAIRS = 2_000_000
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """64-bit SimHash of a text: ASCII lower case, word shingles, XXH64 with seed 42; repeats count each time."""
+def fingerprints(text: str | None, shingle: int = 4, prints: int = 1) -> list[int]:
+    """64-bit SimHashes of a text: ASCII lower case, word shingles, XXH64 with seed 42; repeats count each time.
+
+    The first fingerprint has a shingle's hash as it is, each further one that hash mixed with the fingerprint's number, so they err
+    independently of each other.
+    """
     parts = (text or "").encode().lower().split()  # bytes: only A-Z change, only the six characters split
     if not parts:
-        return 0
+        return [0] * prints
     joined = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts])
     last = ends[min(shingle, len(parts)) - 1 :] - 1
     first = (ends - [len(p) + 1 for p in parts])[: len(last)]
     digest = xxhash.xxh64_digest  # the highest byte comes first
-    ones = np.zeros(64, np.int64)
+    ones = np.zeros((prints, 64), np.int64)
     for at in range(0, len(last), _SHINGLES):
         block = slice(at, at + _SHINGLES)
         hashes = b"".join([digest(joined[i:j], 42) for i, j in zip(first[block].tolist(), last[block].tolist())])
-        ones += np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    ones = ones * 2 > len(last)
-    return int.from_bytes(np.packbits(ones).tobytes())
+        own = np.frombuffer(hashes, ">u8").astype(np.uint64)
+        for k in range(prints):
+            raw = (_mixed(own, k) if k else own).astype(">u8").view(np.uint8)
+            ones[k] += np.unpackbits(raw.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    bits = np.packbits(ones * 2 > len(last), axis=1)
+    return [int.from_bytes(b.tobytes()) for b in bits]
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    return fingerprints(text, shingle)[0]
 
 
-def _fingerprints(shingle: int, names: list[str]):
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """A bijection of 64-bit numbers for each ``k``, whose bits have nothing to do with those of another."""
+    h = hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+def _fingerprints(shingle: int, names: list[str], prints: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(x.as_py(), shingle) for x in batch["__text"]]
-            prints = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), prints], names=[*names, "__print"])
+            found = np.array([fingerprints(x.as_py(), shingle, prints) for x in batch["__text"]], np.uint64).reshape(-1, prints)
+            made = [pa.array(np.ascontiguousarray(column).view(np.int64)) for column in found.T]
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), *made], names=[*names, *_print_names(prints)])
 
     return run
 
 
-def with_fingerprint(docs: DataFrame, keep: list[str], shingle: int = 4) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and ``__print``, the fingerprint as a signed long."""
-    schema = with_fields(docs.select(*keep).schema, "__print long")
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(_fingerprints(shingle, keep), schema)
+def _print_names(prints: int) -> list[str]:
+    return ["__print", *(f"__print{k}" for k in range(1, prints))]
+
+
+def with_fingerprint(docs: DataFrame, keep: list[str], shingle: int = 4, prints: int = 1) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and ``__print``, the fingerprint as a signed long (then ``__print1`` and so on)."""
+    schema = with_fields(docs.select(*keep).schema, ", ".join(f"{n} long" for n in _print_names(prints)))
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(_fingerprints(shingle, keep, prints), schema)
 
 
 def _flips(width: int, most: int) -> np.ndarray:
@@ -216,18 +239,46 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).union(now.select("a", "a").distinct())
 
 
-def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row of ``docs``.
+def _links_of_texts(stored: DataFrame, prints: int, radius: int) -> DataFrame:
+    """Links ``a``, ``b`` between first fingerprints: of texts that any of their fingerprints bring within ``radius`` bits.
 
-    Fingerprints link at ``radius`` or fewer differing bits; a component's id is its smallest doc_id. Equal fingerprints are
+    The fingerprints of each number are linked by themselves. A fingerprint that texts of several first ones share stands for the
+    smallest of those, and links each of the others to it.
+    """
+    names = _print_names(prints)
+    different = materialise(stored.select(*names).distinct(), "fingerprints")
+    found = None
+    for name in names:
+        own = different.groupBy(F.col(name).alias("print")).agg(F.min("__print").alias("rep"), F.max("__print").alias("top"))
+        own = materialise(own, "fingerprints")
+        near = links(own.select("print"), own.count(), radius)
+        for side in ("a", "b"):
+            rep = own.select(F.col("print").alias(side), F.col("rep").alias(f"rep_{side}"))
+            near = near.join(rep, side)
+        near = near.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+        shared = own.where("rep != top").select(F.col("print").alias(name), F.col("rep").alias("b"))
+        if name != "__print":
+            near = near.unionAll(different.join(shared, name).select(F.col("__print").alias("a"), "b"))
+        near = materialise(near, "edges")
+        found = near if found is None else found.unionAll(near)
+    return found
+
+
+def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, prints: int = 1) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits, the first one) and ``component_id`` of every row of ``docs``.
+
+    Fingerprints link at ``radius`` or fewer differing bits; a component's id is its smallest doc_id. With several ``prints``, documents
+    link if any of their fingerprints do: what one misses of pairs that are less alike, the others may find, at the price
+    of one search each. Fingerprints have 64 bits whatever the number, so texts that aren't alike stay apart. Equal fingerprints are
     gathered before anything is compared, so exact copies cost one fingerprint. Texts without words (nulls too) have
     fingerprint zero and link like any other. Null doc_ids are kept, and name a component only if it has no other.
     """
-    stored = materialise(with_fingerprint(docs, ["doc_id"], shingle), "fingerprints")
+    stored = materialise(with_fingerprint(docs, ["doc_id"], shingle, prints), "fingerprints")
     first = stored.groupBy(F.col("__print").alias("print")).agg(F.min("doc_id").alias("first"))
     first = materialise(first, "fingerprints")
     # sizes of files are known without reading: the count comes from their footers
-    joined = components(links(first.select("print"), first.count(), radius))
+    edges = links(first.select("print"), first.count(), radius) if prints == 1 else _links_of_texts(stored, prints, radius)
+    joined = components(edges)
     rooted = joined.join(first, joined.node == first.print).select("print", "root", "first")
     smallest = rooted.groupBy("root").agg(F.min("first").alias("id"))
     linked = rooted.join(smallest, "root").select(F.col("print").alias("p"), "id")
@@ -240,11 +291,11 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataF
     return stored.join(named, "__print").select("doc_id", text.alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, radius: int = 4, shingle: int = 4, prints: int = 1) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component: one document of each group of near-duplicates.
 
     Where several rows carry that doc_id, or a whole component has no doc_id, all of them stay.
     """
-    kept = near_duplicates(docs, radius, shingle).where("doc_id <=> component_id").select("doc_id").distinct()
+    kept = near_duplicates(docs, radius, shingle, prints).where("doc_id <=> component_id").select("doc_id").distinct()
     there = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
     return docs.alias("d").join(kept.alias("k"), there, "left_semi").select("d.*")

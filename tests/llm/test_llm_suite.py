@@ -38,7 +38,7 @@ def test_pipeline_stages(spark):
     clean = stages["toxicity"](spark, docs, SMALL).cache()
     assert clean.columns == docs.columns and 0 < clean.count() <= docs.count()
     once = stages["near_duplicates"](spark, clean, SMALL).cache()
-    want = {c for _, _, c in plain_components(clean.collect(), 5)}
+    want = {c for _, _, c in plain_components(clean.collect(), 5, 4)}
     assert sorted(r.doc_id for r in once.collect()) == sorted(want)
     cut = stages["substrings"](spark, once, SMALL).cache()
     lost = {d: n for d, _, n, _ in plain_removal(once.collect(), 50)}

@@ -17,10 +17,33 @@ def plain_fingerprint(text, shingle=4):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def plain_components(rows, shingle=4):
-    prints = [plain_fingerprint(r.text, shingle) for r in rows]
+def plain_mix(h, k):
+    h ^= k * 0x9E3779B97F4A7C15 % 2**64
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 1):
+        h = (h ^ h >> 33) * factor % 2**64
+    return h
+
+
+def plain_fingerprints(text, shingle, count):
+    """Further fingerprints are those of mixed hashes."""
+    parts = words((text or "").translate(LOWER))
+    if not parts:
+        return [0] * count
+    shingles = [" ".join(parts[i : i + shingle]) for i in range(len(parts) - shingle + 1)] or [" ".join(parts)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    out = [plain_fingerprint(text, shingle)]
+    for k in range(1, count):
+        mixed = [plain_mix(h, k) for h in hashes]
+        out.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in mixed) > len(mixed)))
+    return out
+
+
+def plain_components(rows, shingle=4, count=1):
+    every = [plain_fingerprints(r.text, shingle, count) for r in rows]
+    prints = [p[0] for p in every]
     n = len(rows)
-    root = roots(n, [(i, j) for i in range(n) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4])
+    near = [(i, j) for i in range(n) for j in range(i) if any((x ^ y).bit_count() <= 4 for x, y in zip(every[i], every[j]))]
+    root = roots(n, near)
     best = {}
     for i, r in enumerate(rows):
         if r.doc_id is not None:
@@ -91,3 +114,37 @@ def test_a_dense_family_is_split_until_it_fits(spark, monkeypatch):
         edges = [(place[r.a], place[r.b]) for r in simhash.links(df, len(prints)).collect()]
         assert all((prints[a] ^ prints[b]).bit_count() <= 4 for a, b in edges)
         assert roots(len(prints), edges) == want, largest
+
+
+def rewritten(rng, parts, share):
+    """The words with a share of them replaced."""
+    at = set(rng.sample(range(len(parts)), round(share * len(parts))))
+    return [f"x{rng.randrange(10**6)}" if i in at else w for i, w in enumerate(parts)]
+
+
+def alike(a, b, shingle=5):
+    x, y = ({tuple(p[i : i + shingle]) for i in range(len(p) - shingle + 1)} for p in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_several_fingerprints(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        parts = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 250))]
+        rows.append((3 * i, " ".join(parts)))
+        rows += [(3 * i + k, " ".join(rewritten(rng, parts, share))) for k, share in ((1, 0.01), (2, 0.03))]
+    rows += [(1000, None), (1001, ""), (None, rows[0][1]), (1002, rows[5][1]), (1002, rows[5][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for count in (2, 4):
+        got = sorted(map(tuple, simhash.near_duplicates(docs, shingle=5, prints=count).collect()), key=str)
+        assert got == plain_components(docs.collect(), 5, count)
+    # more fingerprints link more, and never fewer
+    one, four = ({r.doc_id for r in simhash.keep_one(docs, shingle=5, prints=n).collect()} for n in (1, 4))
+    assert four < one
+    texts = dict(rows)
+    assert {0, 9, 60} <= four  # the smallest id of each family stays
+    for i in range(60):  # very much alike: found
+        if alike(texts[3 * i].split(), texts[3 * i + 1].split()) >= 0.97:
+            assert 3 * i + 1 not in four
+    assert simhash.near_duplicates(empty(spark), prints=3).collect() == []
