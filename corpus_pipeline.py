@@ -19,9 +19,9 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates: fingerprints of five-word shingles, 4 or fewer bits apart."""
+    """Keeps one document of each group of near-duplicates: any of four fingerprints of five-word shingles 4 or fewer bits apart."""
     ship(spark)
-    return simhash.keep_one(docs, shingle=5)
+    return simhash.keep_one(docs, shingle=5, prints=4)
 
 
 def passages_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
