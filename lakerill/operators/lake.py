@@ -126,14 +126,14 @@ class LogTable:
     def _folder(self, writer: str, batch_id: int) -> str:
         return f"{self.root}/log/writer={writer}/batch_id={batch_id}"
 
-    def append_batch(self, changes: DataFrame, batch_id: int, writer: str = "batch") -> None:
+    def append_batch(self, changes: DataFrame, batch_id: int, writer: str = "batch", exact: bool = False) -> None:
         """Commit change records as batch ``batch_id`` of ``writer``, replacing an earlier attempt.
 
-        A base that holds the earlier attempt is withdrawn, so reads go by an older base or the log until the next compaction.
+        With ``exact`` they have the table's types already and are written as they are, timestamps too. A base that holds the earlier attempt is withdrawn, so reads go by an older base or the log until the next compaction.
         """
         if "/" in writer or "@" in writer:
             raise ValueError("a writer is one path segment without @")
-        rows = align(changes, self.spec).select(*self.spec.change_schema.fieldNames())
+        rows = (changes if exact else align(changes, self.spec)).select(*self.spec.change_schema.fieldNames())
         commit = f"{self.root}/log/_commits/{writer}.{batch_id}@"
         for old in files.glob(self.spark, f"{commit}*"):
             files.delete(self.spark, old)
@@ -190,6 +190,23 @@ class LogTable:
             rows = rows.where(F.col("ts").isNull() | (F.col("ts") <= as_of_ts))
         return dedup(rows, self.spec.key) if once else rows
 
+    def batch(self, batch_id: int, writer: str = "batch") -> DataFrame:
+        """The change records of one committed batch."""
+        found = [b for b in self._listed() if (b.writer, b.batch_id) == (writer, batch_id)]
+        return self._read_log(found).drop("writer", "batch_id")
+
+    def versions(self, as_of_batch: int | None = None, writer: str | None = None) -> DataFrame:
+        """The rows of the newest base that fits and the changes since, deletes included and not merged: the newest of a key counts."""
+        everything = self._listed()
+        base, batches = self._parts(everything, self._chosen(everything, as_of_batch, writer, None))
+        since = self._read_log(batches).drop("writer", "batch_id")
+        return since if base is None else self._open(base).unionByName(since)
+
+    def since_base(self, as_of_batch: int) -> int:
+        """How many batches up to ``as_of_batch`` the newest base that fits does not cover."""
+        everything = self._listed()
+        return len(self._parts(everything, [b for b in everything if b.batch_id <= as_of_batch])[1])
+
     def read(
         self,
         as_of_batch: int | None = None,

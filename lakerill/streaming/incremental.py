@@ -15,9 +15,10 @@ from ..quality import Rule
 from ..quality.report import judged, value_rows
 from ..quality.rows import fails, needs_time, row_filter
 from ..sources import files
-from ..specs import BIGINT, INT, TableSpec, schema_of
+from ..specs import BIGINT, DELETE, INT, STRING, TableSpec, schema_of
+from .ingest import stream_id
 from .quality_scan import SCAN_SCHEMA
-from .retract import row_changes, running_sums, start_keyed
+from .retract import fold, held_before, row_changes, row_state, running_sums, sum_state
 
 _COUNTS = ("row_count", "missing_count", "invalid_count")
 _VALUES = ("duplicate_count", "surplus_count")
@@ -39,21 +40,30 @@ def _token(rule: Rule, schema: T.StructType) -> Column:
     return F.when(fails(rule, schema), "")
 
 
-def rule_deltas(changes: DataFrame, spec: TableSpec, rules: Sequence[Rule]) -> DataFrame:
-    """``rule`` (its place), ``token``, ``n_before`` and ``n_after`` of what a stream of changes moves.
+_TOKENS = schema_of(rule=INT, token=STRING)
 
-    A token is a rule's count, or a value of the column in which a rule looks for repetitions. The first state is a row's tokens
-    per key, the second how often each token occurs, so a micro-batch touches its keys and their old and new values.
+
+def rule_deltas(changes: DataFrame, batch_id: int, spec: TableSpec, rules: Sequence[Rule], root: str) -> DataFrame:
+    """``rule`` (its place), ``token``, ``n_before`` and ``n_after`` of what a batch of changes moves.
+
+    A token is a rule's count, or a value of the column in which a rule looks for repetitions. Under ``root`` are kept the tokens
+    of each key's row and how often each token occurs; a batch appends its keys and their old and new values.
     """
+    spark = changes.sparkSession
     names = [f"t{i}" for i in range(len(rules))]
     # rules may name columns as they like: tokens are made before anything is renamed
     tokens = [_token(r, changes.schema).alias(n) for n, r in zip(names, rules)]
-    keys = [F.col(k).alias(f"k{i}") for i, k in enumerate(spec.key)]
-    keyed = TableSpec(spec.name, spec.schema, tuple(f"k{i}" for i in range(len(keys))))
-    rows = row_changes(changes.select(*keys, "op", "seq", *tokens), keyed, names)
+    key = [f"k{i}" for i in range(len(spec.key))]
+    made = changes.select(*[F.col(k).alias(n) for n, k in zip(key, spec.key)], "op", "seq", *tokens)
+    rows = row_changes(made, batch_id, row_state(spark, f"{root}/rows", made.schema, key, names), key, names)
     each = F.array(*[F.struct(F.lit(i).alias("rule"), F.col(n).alias("token")) for i, n in enumerate(names)])
     deltas = rows.select("weight", F.explode(each).alias("x")).where("x.token is not null")
-    return running_sums(deltas.select("x.rule", "x.token", F.col("weight").alias("n")), ["rule", "token"], ["n"])
+    counts = sum_state(spark, f"{root}/tokens", _TOKENS, _TOKENS.fieldNames(), ["n"])
+    fold(counts, batch_id)
+    moved = running_sums(deltas.select("x.rule", "x.token", F.col("weight").alias("n")), _TOKENS.fieldNames(), ["n"], held_before(counts, batch_id))
+    meta = [F.when(F.col("n_after") == 0, DELETE).otherwise("u").alias("op"), F.lit(batch_id).cast("bigint").alias("seq")]
+    counts.append_batch(moved.select(*meta, F.lit(None).cast("timestamp_ntz").alias("ts"), "rule", "token", F.col("n_after").alias("n"), "n_before"), batch_id)
+    return counts.batch(batch_id).select("rule", "token", "n_before", F.col("n").alias("n_after"))
 
 
 def _moved(rules: Sequence[Rule]) -> Column:
@@ -88,11 +98,11 @@ def start_incremental_scan(
     if others := {r.table for r in rules} - {spec.name}:
         raise ValueError(f"the changes are those of {spec.name}, not of {sorted(others)}")
     spark = changes.sparkSession
-    moved = rule_deltas(changes, spec, rules)
 
     def commit(batch: DataFrame, batch_id: int) -> None:
+        moved = rule_deltas(batch, batch_id, spec, rules, f"{out}/_state/{stream_id(spark, checkpoint)}")
         # a row per rule from here on
-        sums = batch.select("rule", _moved(rules).alias("value"))
+        sums = moved.select("rule", _moved(rules).alias("value"))
         last = f"{out}/_state/batch={batch_id - 1}"
         if files.exists(spark, last):
             sums = sums.unionAll(spark.read.schema(_STATE).parquet(last))
@@ -103,4 +113,4 @@ def start_incremental_scan(
         stamped = found.withColumn("scan_ts", as_of_column(None)).select(*SCAN_SCHEMA.fieldNames())
         stamped.coalesce(1).write.mode("overwrite").parquet(f"{out}/scan={batch_id}")
 
-    return start_keyed(moved.writeStream.foreachBatch(commit), checkpoint, trigger)
+    return changes.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -1,141 +1,123 @@
-"""Keyed state in a stream: what a change of a row takes back and adds, and sums kept up to date by it.
+"""What a change of a row takes back and adds, and sums kept up to date by it, one micro-batch after the other.
 
-Both operators hold their state in Spark's state store (on disk, by RocksDB), so a micro-batch looks up and writes the keys
-it touches and nothing else.
+What the batches before have left is held in lake tables. A batch reads them as of the batch before, puts what is held and what it
+brings together by one aggregation, and appends what it has changed; a batch that runs again replaces its own. If a batch is
+small, only the keys it names are shuffled; a scan of what is held finds them. Now and then the changes are folded into a base.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from typing import Any
+from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.streaming.state import GroupState
 
-from ..specs import DELETE, TableSpec
+from ..functions import same_key
+from ..operators.lake import LogTable
+from ..specs import BIGINT, BOOLEAN, DELETE, TableSpec
 
 _OLDEST = -(1 << 63)
-#: Types that a cast to text and back leaves as they were.
-_PLAIN = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+#: A batch of no more rows sends its keys to all tasks, and of what is held only these go on.
+FEW = 100_000
+#: A state with more batches than this since its last base gets a new one.
+FOLD_AFTER = 32
 
 
-def _packed(columns: Sequence[str | Column]) -> Column:
-    return F.to_json(F.array(*[(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]))
+def _fields(prefix: str, schema: T.StructType, columns: Sequence[str]) -> list[T.StructField]:
+    return [T.StructField(f"{prefix}{i}", schema[c].dataType) for i, c in enumerate(columns)]
 
 
-def _unpacked(packed: str, fields: Sequence[T.StructField]) -> list[Column]:
-    parts = F.from_json(packed, "array<string>")
-    return [F.get(parts, F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]
+def row_state(spark: SparkSession, root: str, schema: T.StructType, key: Sequence[str], columns: Sequence[str]) -> LogTable:
+    """Where ``row_changes`` keeps the newest row of each key, with the row it has replaced."""
+    kept = [*_fields("k", schema, key), *_fields("now", schema, columns), *_fields("was", schema, columns)]
+    kept.append(T.StructField("there", BOOLEAN))
+    return LogTable(spark, root, TableSpec("rows", T.StructType(kept), tuple(f"k{i}" for i in range(len(key))))).create()
 
 
-def _plain_fields(schema: T.StructType, columns: Sequence[str]) -> list[T.StructField]:
-    fields = [schema[c] for c in columns]
-    if nested := [f.name for f in fields if not isinstance(f.dataType, _PLAIN)]:
-        raise ValueError(f"nested and binary columns can't be kept: {nested}")
-    return fields
+def sum_state(spark: SparkSession, root: str, schema: T.StructType, by: Sequence[str], sums: Sequence[str]) -> LogTable:
+    """Where the sums of ``running_sums`` are kept if no other table has them, with those before."""
+    ends = [T.StructField(f"{s}{end}", BIGINT) for end in ("", "_before") for s in sums]
+    return LogTable(spark, root, TableSpec("sums", T.StructType([*[schema[c] for c in by], *ends]), tuple(by))).create()
 
 
-def _settle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The newest row of a key against the one held: a row to take back, a row to add, or nothing."""
-    old = state.get if state.exists else (None, None)
-    seq, row = old
-    for frame in frames:
-        i = int(frame["seq"].to_numpy().argmax())
-        if seq is None or frame["seq"].iat[i] > seq:
-            seq, row = int(frame["seq"].iat[i]), frame["row"].iat[i]
-    row = None if pd.isna(row) else row
-    if seq != old[0]:
-        state.update((seq, row))
-    if row != old[1]:
-        steps = [(w, r) for w, r in ((-1, old[1]), (1, row)) if r is not None]
-        yield pd.DataFrame(steps, columns=["weight", "row"])
+def held_before(state: LogTable, batch_id: int, writer: str = "batch") -> DataFrame:
+    """What a batch starts from: all that may be the newest row of a key as of the batch before it."""
+    if batch_id and batch_id - 1 not in {b.batch_id for b in state.batches() if b.writer == writer}:
+        raise ValueError(f"{state.root} does not hold what batch {batch_id - 1} has left; begin with a new checkpoint")
+    return state.versions(batch_id - 1, writer)
 
 
-def row_changes(changes: DataFrame, spec: TableSpec, columns: Sequence[str]) -> DataFrame:
-    """A change stream as rows to take back (``weight`` -1) and rows to add (+1), with ``columns``.
-
-    Per key the newest change by ``seq`` counts, whenever it comes: what arrives late or twice changes nothing. A micro-batch
-    with several changes of a key shows the last one only, an update that leaves ``columns`` alike shows nothing. A
-    change without ``seq`` is older than any other. A key's changes stream through its task one Arrow batch at a time.
-    """
-    fields = _plain_fields(changes.schema, columns)
-    alive = F.coalesce(F.col("op") != DELETE, F.lit(True))
-    rows = changes.select(
-        *spec.key, F.coalesce(F.col("seq"), F.lit(_OLDEST)).alias("seq"), F.when(alive, _packed(columns)).alias("row")
-    )
-    steps = rows.groupBy(*spec.key).applyInPandasWithState(_settle, "weight int, row string", "seq long, row string", "append", "NoTimeout")
-    return steps.select("weight", *_unpacked("row", fields))
-
-
-def _combine(names: list[str]):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.groupby("group", as_index=False)[names].sum()
-
-    return run
+def fold(state: LogTable, batch_id: int) -> None:
+    """Fold the batches before ``batch_id`` into a base once there are many."""
+    if state.since_base(batch_id - 1) > FOLD_AFTER:
+        state.compact(upto=batch_id - 1)
 
 
-class _Add(StatefulProcessor):
-    """Sums of a group before and after what a micro-batch adds."""
+def _together(fresh: DataFrame, held: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Both, without those of ``held`` that a small ``fresh`` does not touch."""
+    if fresh.limit(FEW + 1).count() <= FEW:
+        keys = F.broadcast(fresh.select(*by)).alias("k")
+        held = held.alias("h").join(keys, same_key("h", "k", by), "left_semi").select("h.*")
+    return fresh.unionAll(held)
 
-    def __init__(self, n: int):
-        self.n = n
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.held = handle.getValueState("sums", ", ".join(f"s{i} bigint" for i in range(self.n)))
+def row_changes(changes: DataFrame, batch_id: int, state: LogTable, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """A batch of changes as rows to take back (``weight`` -1) and rows to add (+1), with ``columns``.
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        before = self.held.get() or (0,) * self.n
-        after = list(before)
-        for frame in rows:
-            for i in range(self.n):
-                after[i] += sum(frame[f"s{i}"].tolist())  # whole numbers of any length
-        if tuple(after) != tuple(before):
-            if any(after):
-                self.held.update(tuple(after))
-            else:
-                self.held.clear()
-            ends = [f"s{i}{end}" for end in "ba" for i in range(self.n)]
-            yield pd.DataFrame([(key[0], *before, *after)], columns=["group", *ends])
-
-    def close(self) -> None:
-        pass
+    Per key the newest change by ``seq`` counts, whenever it comes: what arrives late or twice changes nothing. A batch
+    with several changes of a key shows the last one only, an update that leaves ``columns`` alike shows nothing. A
+    change without ``seq`` is older than any other. A null in the key is a key like any other. ``state`` is of ``row_state``.
+    """
+    fold(state, batch_id)
+    by, now, was = ([f"{p}{i}" for i in range(len(some))] for p, some in (("k", key), ("now", columns), ("was", columns)))
+    alive = F.coalesce(F.col("op") != DELETE, F.lit(True)).alias("alive")
+    seq = F.coalesce(F.col("seq"), F.lit(_OLDEST)).alias("seq")
+    named = [F.col(c).alias(n) for c, n in zip([*key, *columns], [*by, *now])]
+    fresh = changes.select(*named, seq, alive, F.lit(True).alias("new"))
+    held = held_before(state, batch_id).select(*by, *now, seq, alive, F.lit(False).alias("new"))
+    at_new, at_old = F.when(F.col("new"), F.col("seq")), F.when(~F.col("new"), F.col("seq"))
+    both = _together(fresh, held, by).groupBy(*by).agg(
+        F.max(at_new).alias("seq"),
+        F.max(at_old).alias("old_seq"),
+        F.max_by("alive", at_new).alias("alive"),
+        F.coalesce(F.max_by("alive", at_old), F.lit(False)).alias("there"),
+        *[F.max_by(n, at_new).alias(n) for n in now],
+        *[F.max_by(n, at_old).alias(w) for n, w in zip(now, was)],
+    )
+    settled = both.where("seq is not null and (old_seq is null or seq > old_seq)").select(
+        F.when(F.col("alive"), "u").otherwise(DELETE).alias("op"),
+        "seq",
+        F.lit(None).cast("timestamp_ntz").alias("ts"),
+        *by,
+        *[F.when(F.col("alive"), F.col(n)).alias(n) for n in now],
+        *[F.when(F.col("there"), F.col(w)).alias(w) for w in was],
+        "there",
+    )
+    state.append_batch(settled, batch_id, exact=True)
+    alike = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(w)) for n, w in zip(now, was)], F.lit(True))
+    stays = F.col("op") != DELETE
+    moved = state.batch(batch_id).where(~(F.col("there") & stays & alike))
+    back = moved.where("there").select(F.lit(-1).alias("weight"), *[F.col(w).alias(c) for c, w in zip(columns, was)])
+    add = moved.where(stays).select(F.lit(1).alias("weight"), *[F.col(n).alias(c) for c, n in zip(columns, now)])
+    return back.unionAll(add)
 
 
-def running_sums(deltas: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Sums of whole numbers per group, kept over a stream: the groups a micro-batch changes, as ``<sum>_before`` and ``<sum>_after``.
+def running_sums(deltas: DataFrame, by: Sequence[str], sums: Sequence[str], held: DataFrame) -> DataFrame:
+    """Sums of whole numbers per group: the groups that a batch changes, as ``<sum>_before`` and ``<sum>_after``.
 
-    Each task adds up what it has per group before the shuffle, so a group that most rows belong to costs no more than another.
-    A group whose sums are all zero is forgotten. A missing number adds nothing.
+    ``held`` has the sums of the batches before, with their ``seq``; of a group the newest row counts (``held_before``). Each task adds
+    up what it has per group before the shuffle, so a group that most rows belong to costs no more than another. A missing
+    number adds nothing.
     """
-    fields = _plain_fields(deltas.schema, by)
-    names = [f"s{i}" for i in range(len(sums))]
-    rows = deltas.select(
-        _packed(by).alias("group") if by else F.lit("[]").alias("group"),
-        *[F.coalesce(F.col(c).cast("bigint"), F.lit(0)).alias(n) for n, c in zip(names, sums)],
-    )
-    combined = rows.mapInPandas(_combine(names), rows.schema)
-    ends = [f"{n}{end}" for end in "ba" for n in names]
-    shape = ", ".join(["group string", *(f"{e} bigint" for e in ends)])
-    changed = combined.groupBy("group").transformWithStateInPandas(_Add(len(names)), shape, "append", "none")
-    named = [F.col(f"{n}{e}").alias(f"{c}_{word}") for e, word in (("b", "before"), ("a", "after")) for n, c in zip(names, sums)]
-    return changed.select(*_unpacked("group", fields), *named)
-
-
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def start_keyed(stream: DataStreamWriter, checkpoint: str, trigger: Mapping[str, Any]) -> StreamingQuery:
-    """Start a stream of this module's operators, whose state is in RocksDB whatever the session's own choice."""
-    conf = stream._spark.conf
-    chosen = conf.get(_PROVIDER, None)
-    conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        return stream.outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    finally:
-        conf.unset(_PROVIDER) if chosen is None else conf.set(_PROVIDER, chosen)
+    groups, names = [f"g{i}" for i in range(len(by))], [f"s{i}" for i in range(len(sums))]
+    of_group = [F.col(c).alias(g) for c, g in zip(by, groups)]
+    numbers = [F.coalesce(F.col(c).cast("bigint"), F.lit(0)).alias(n) for c, n in zip(sums, names)]
+    fresh = deltas.select(*of_group, *numbers, F.lit(None).cast("bigint").alias("seq"))
+    both = _together(fresh, held.select(*of_group, *numbers, "seq"), groups)
+    before = [F.coalesce(F.max_by(n, "seq"), F.lit(0)).alias(f"{n}b") for n in names]
+    more = [F.coalesce(F.sum(F.when(F.col("seq").isNull(), F.col(n))), F.lit(0)).alias(n) for n in names]
+    changed = both.groupBy(*groups).agg(*before, *more).where(reduce(lambda a, b: a | b, [F.col(n) != 0 for n in names]))
+    ends = [(F.col(f"{n}b").alias(f"{c}_before"), (F.col(f"{n}b") + F.col(n)).alias(f"{c}_after")) for n, c in zip(names, sums)]
+    return changed.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], *[b for b, _ in ends], *[a for _, a in ends])

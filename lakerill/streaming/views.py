@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.lake import LogTable
 from ..specs import BIGINT, DELETE, INT, TableSpec, schema_of
 from .ingest import stream_id
-from .retract import row_changes, running_sums, start_keyed
+from .retract import held_before, row_changes, row_state, running_sums
 
 #: Sales by product and day; money in cents.
 SALES_VIEW = TableSpec(
@@ -24,9 +24,13 @@ SALES_VIEW = TableSpec(
 _SUMS = ("sales_count", "units", "price", "revenue")
 
 
-def sales_deltas(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """What a stream of sales changes takes from and adds to each product and day."""
-    rows = row_changes(changes, spec, ["product_id", "qty", "price", "sale_ts"])
+#: What of a sale the view depends on.
+_ROW = ("product_id", "qty", "price", "sale_ts")
+
+
+def sales_deltas(changes: DataFrame, batch_id: int, state: LogTable, spec: TableSpec) -> DataFrame:
+    """What a batch of sales changes takes from and adds to each product and day; ``state`` holds the sales (``row_state``)."""
+    rows = row_changes(changes, batch_id, state, spec.key, _ROW)
     weight, qty, cents = F.col("weight").cast("bigint"), F.col("qty"), (F.col("price") * 100).cast("bigint")
     return rows.select(
         "product_id",
@@ -44,18 +48,20 @@ def start_sales_view(
     """Keep ``view`` (of spec SALES_VIEW) in step with a stream of sales changes.
 
     An update takes the row it replaces out of its product and day and adds the new one to its own, a delete only takes. A
-    micro-batch commits the groups it has changed, those that are empty now as deletes; neither the sales nor the other
-    groups are read. A batch that runs again replaces itself. A new checkpoint starts from nothing and needs a view of
-    its own; one that another stream wrote is refused.
+    micro-batch commits the groups it has changed, those that are empty now as deletes. The rows that changes replace are
+    kept beside the view, by stream; the sales are not read. A batch that runs again replaces itself. A new checkpoint starts
+    from nothing and needs a view of its own; one that another stream wrote is refused.
     """
     view.create()
-    changed = running_sums(sales_deltas(changes, spec), ["product_id", "sale_date"], _SUMS)
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         writer = stream_id(view.spark, checkpoint)
         if others := {b.writer for b in view.batches()} - {writer}:
             raise ValueError(f"{view.root} is kept by another stream: {sorted(others)}")
-        rows = batch.select(
+        state = row_state(view.spark, f"{view.root}/_rows/{writer}", changes.schema, spec.key, _ROW)
+        deltas = sales_deltas(batch, batch_id, state, spec)
+        changed = running_sums(deltas, SALES_VIEW.key, _SUMS, held_before(view, batch_id, writer))
+        rows = changed.select(
             F.when(F.col("sales_count_after") == 0, DELETE).otherwise("u").alias("op"),
             F.lit(batch_id).cast("bigint").alias("seq"),
             F.lit(None).cast("timestamp_ntz").alias("ts"),
@@ -65,7 +71,7 @@ def start_sales_view(
         )
         view.append_batch(rows, batch_id, writer)
 
-    return start_keyed(changed.writeStream.foreachBatch(commit), checkpoint, trigger)
+    return changes.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def _money(cents: str) -> Column:
