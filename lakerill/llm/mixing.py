@@ -86,7 +86,7 @@ def mix(
     Returns the columns of ``docs`` (those named as follows are replaced) plus ``size`` (words, or the column named by
     ``size``), ``source_size``, ``target`` (those of its source) and ``positions`` (array, empty if the mix leaves it out).
     Null texts have size 0, null sources are one source and come last. Documents without words are taken or not by their
-    place in the stream. Rows with equal doc_id follow each other in an order given by all their columns' hash.
+    place in the stream. Rows come in no order; ``schedule`` and ``in_training_order`` sort them by position. Rows with equal doc_id follow each other in an order given by all their columns' hash.
     """
     made = ("size", "source_size", "target", "positions")
     names = [c for c in docs.columns if c not in made or c == size]
@@ -120,6 +120,27 @@ def mix(
     return joined.select(*kept, F.col("__size").alias("size"), "source_size", "target", positions)
 
 
+def schedule(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    schedules: Sequence[Sequence[float]] = SCHEDULES,
+    share: float = 1.5,
+    most: int = 2,
+) -> DataFrame:
+    """``mix`` without the texts, in training order: range-partitioned and sorted by the first position of each document.
+
+    Returns ``doc_id``, ``source`` and what ``mix`` adds, a row per document; those that the mix leaves out come last, ties go by
+    doc_id. Words are counted once and written with the ids, so neither the sums nor the cutting of ranges reads a text again.
+    Rows with equal doc_id, source and size are alike.
+    """
+    sizes = materialise(docs.select("doc_id", "source", n_words("text").alias("size")), "sizes")
+    mixed = mix(sizes, weights, schedules, "size", share, most)
+    # beyond every position
+    first = F.coalesce(F.get("positions", F.lit(0)), F.lit(2.0))
+    mixed = materialise(mixed.withColumn("__first", first), "mixed")  # ranges are cut from the files
+    return mixed.repartitionByRange("__first", "doc_id").sortWithinPartitions("__first", "doc_id").drop("__first")
+
+
 def in_training_order(mixed: DataFrame) -> DataFrame:
     """One row per time a document is taken, range-partitioned and sorted by ``position``."""
     taken = mixed.withColumn("position", F.explode("positions")).drop("positions")

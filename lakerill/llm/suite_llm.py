@@ -35,7 +35,7 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    mixed = mixing.mix(docs)
+    mixed = mixing.schedule(docs)
     taken = (F.col("size") * F.size("positions")).cast("bigint").alias("taken")
     # when the curriculum takes a document: once, twice or never
     places = [F.round(F.get("positions", F.lit(i)), 6).alias(f"{name}_position") for i, name in enumerate(("first", "second"))]

@@ -68,3 +68,25 @@ def test_training_order(spark):
 def test_size_from_a_column(spark):
     docs = documents(spark).withColumn("size", F.lit(10))
     assert {r.size for r in mixing.mix(docs, size="size").collect()} == {10}
+
+
+@pytest.mark.parametrize("make", [documents, awkward])
+def test_the_schedule_is_sorted_by_ranges_of_positions(spark, make):
+    docs = make(spark)
+    planned = mixing.schedule(docs)
+    assert "rangepartitioning(" in planned._jdf.queryExecution().executedPlan().toString()
+    rows = planned.collect()
+    places = [r.positions[0] if r.positions else 2.0 for r in rows]
+    assert places == sorted(places) and len(set(places)) > 1
+    columns = ["doc_id", "source", "size", "source_size", "target"]
+    assert sorted(map(str, planned.select(columns).collect())) == sorted(map(str, mixing.mix(docs).select(columns).collect()))
+    assert mixing.schedule(empty(spark)).collect() == []
+
+
+def test_the_query_gives_documents_in_training_order(spark):
+    from conftest import SMALL
+
+    from lakerill.llm.suite_llm import op5_mixing
+
+    places = [2.0 if r.first_position is None else r.first_position for r in op5_mixing(spark, SMALL).collect()]
+    assert places == sorted(places) and len(set(places)) > 1
