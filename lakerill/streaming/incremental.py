@@ -34,7 +34,10 @@ def mergeable(rule: Rule) -> bool:
 def _token(rule: Rule, schema: T.StructType) -> Column:
     """What a row adds one to: nothing (null), a rule's count (empty), or the value that may repeat."""
     if rule.metric in _VALUES:
-        return F.when(row_filter(rule), F.to_json(F.array(F.col(rule.column).cast("string"))))
+        value = F.col(rule.column)
+        if rule.column in schema.names and isinstance(schema[rule.column].dataType, (T.DoubleType, T.FloatType)):
+            value = value + F.lit(0.0)  # zeros of either sign are one value
+        return F.when(row_filter(rule), F.to_json(F.array(value.cast("string"))))
     if rule.metric == "row_count":
         return F.when(row_filter(rule), "")
     return F.when(fails(rule, schema), "")

@@ -94,3 +94,11 @@ def test_scans_of_large_batches_and_folded_states(spark, folder, monkeypatch):
     for n in range(4):
         got = {r.check_name: (r.value, r.passed, r.status) for r in found if r.scan == n}
         assert got == full(spark, [r for rows in batches[: n + 1] for r in rows]), n
+
+
+def test_zeros_of_either_sign_are_one_value(spark, folder):
+    rows = [("c", 1, 3, "a", 0.0), ("c", 2, 4, "b", -0.0), ("c", 3, 5, "c", 1.0)]
+    put(changes(spark, rows), folder)
+    start_incremental_scan(feed(spark, folder), SPEC, RULES, f"{folder}/scans", f"{folder}/cp", ONCE).awaitTermination()
+    got = {r.check_name: (r.value, r.passed, r.status) for r in read_scans(spark, f"{folder}/scans").collect()}
+    assert got == full(spark, rows) and got["values differ"][0] == 1
